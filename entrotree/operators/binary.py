@@ -81,7 +81,7 @@ def fit_binary(df: DataFrame, features: Sequence[str], label: str, max_depth: in
             long = unpivot_features(data, features, "_y", keys=keys, weight=w, value_type="double")
             dense = materialize(long.groupBy(*keys, "feature", "value").agg(
                 *[F.sum(F.when(F.col("label") == F.lit(v), wcol).otherwise(F.lit(0)))
-                   .cast("long").alias(c) for v, c in zip(labels, cnames)]))
+                   .cast("long").alias(c) for v, c in zip(labels, cnames)]), partition_by=keys)
         if nodes is None:
             root = (dense.where(F.col("feature") == features[0])
                          .groupBy(*keys).agg(*[F.sum(c).cast("long").alias(c) for c in cnames]))

@@ -72,6 +72,17 @@ def node_stats(cont: DataFrame, keys: Sequence[str], first_feature: str, *,
     return label_stats(cont.where(F.col("feature") == first_feature), keys, tie=tie)
 
 
+def weighted_scores(vstats: DataFrame, features: Sequence[str],
+                    keys: Sequence[str] = ()) -> DataFrame:
+    """``keys..., feature, feature_index, node_n, weighted_entropy, n_values``
+    from value statistics alone (A8, A10)."""
+    return (vstats.groupBy(*keys, "feature")
+                  .agg(F.sum("n").cast("long").alias("node_n"),
+                       (F.sum(F.col("n") * F.col("entropy")) / F.sum("n")).alias("weighted_entropy"),
+                       F.count(F.lit(1)).alias("n_values"))
+                  .withColumn("feature_index", feature_index("feature", features)))
+
+
 def feature_scores(cont: DataFrame, features: Sequence[str],
                    keys: Sequence[str] = (), *,
                    vstats: DataFrame | None = None) -> DataFrame:
@@ -84,14 +95,10 @@ def feature_scores(cont: DataFrame, features: Sequence[str],
     both sides join on ``(keys, feature)`` and no extra pass over data is made.
     """
     vstats = value_stats(cont, keys) if vstats is None else vstats
-    fs = (vstats.groupBy(*keys, "feature")
-                .agg(F.sum("n").cast("long").alias("node_n"),
-                     (F.sum(F.col("n") * F.col("entropy")) / F.sum("n")).alias("weighted_entropy"),
-                     F.count(F.lit(1)).alias("n_values")))
+    fs = weighted_scores(vstats, features, keys)
     ne = (label_stats(cont, [*keys, "feature"])
           .select(*keys, "feature", F.col("entropy").alias("node_entropy")))
     return (fs.join(ne, [*keys, "feature"])
-              .withColumn("feature_index", feature_index("feature", features))
               .withColumn("gain", F.col("node_entropy") - F.col("weighted_entropy")))
 
 

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from entrotree.functions.exprs import child_path, pick_feature
 from entrotree.operators.counts import compact_rows, contingency
-from entrotree.operators.entropy import best_feature, feature_scores, node_stats, value_stats
+from entrotree.operators.entropy import best_feature, node_stats, value_stats, weighted_scores
 from entrotree.runtime import BROADCAST_ROWS, materialize, sized_broadcast
 
 TREE_COLUMNS = ["node", "parent", "depth", "parent_feature", "branch_value",
@@ -80,8 +80,10 @@ def fit_id3(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
     nodes = None
     levels = []
     for depth in range(max_depth):
+        # The one pass over the rows of this level; the result is tiny and is
+        # kept hash-partitioned by node for everything that follows.
         cont = materialize(contingency(data, features, "_y", keys=keys, weight=w,
-                                       value_type=value_type))
+                                  value_type=value_type), partition_by=keys)
         vstats = value_stats(cont, keys, tie=tie)
         if nodes is None:
             nodes = node_stats(cont, keys, features[0], tie=tie).select(
@@ -91,21 +93,22 @@ def fit_id3(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
                 F.lit(None).cast("string").alias("branch_value"),
                 "n", "entropy", "majority",
                 F.array().cast("array<string>").alias("_used"))
-        fs = feature_scores(cont, features, keys, vstats=vstats)
+        fs = weighted_scores(vstats, features, keys)
         if not reuse_features:
             fs = (fs.join(nodes.select(*keys, "_used"), keys)
                     .where(~F.array_contains("_used", F.col("feature")))
                     .drop("_used"))
         best = best_feature(fs, keys).select(
             *keys, F.col("feature").alias("split_feature"),
-            F.col("feature_index").alias("split_index"), "weighted_entropy", "gain")
+            F.col("feature_index").alias("split_index"), "weighted_entropy")
         is_last = depth == max_depth - 1
         stop = F.col("split_feature").isNull() | F.lit(is_last)
         if not split_pure_nodes:
             stop = stop | (F.col("entropy") <= 0)
         level = materialize(nodes.join(best, keys, "left")
-                                 .withColumn("depth", F.lit(depth))
-                                 .withColumn("is_leaf", stop))
+                            .withColumn("depth", F.lit(depth))
+                            .withColumn("gain", F.col("entropy") - F.col("weighted_entropy"))
+                            .withColumn("is_leaf", stop))
         levels.append(level)
         if is_last:
             break

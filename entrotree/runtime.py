@@ -3,7 +3,9 @@
 * ``materialize`` cuts lineage of an intermediate table.  It uses a reliable
   ``checkpoint()`` into the cluster's shared ``spark.checkpoint.dir`` when the
   session names one; otherwise it falls back to ``persist`` (lineage is kept,
-  so lost blocks are recomputed after an executor loss).
+  so lost blocks are recomputed after an executor loss).  Besides surviving
+  executor loss, the checkpoint truncates the logical plan: level-wise loops
+  would otherwise re-analyse an ever longer plan at every level.
 * ``sized_broadcast`` broadcasts a side only after its row count has been
   checked against a bound; above the bound the plain join is left to the
   planner (sort-merge, or a runtime broadcast chosen by AQE).
@@ -13,6 +15,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +31,13 @@ MAX_LABELS = 1_000
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The session's shared checkpoint folder, if the cluster names one."""
+    """The session's checkpoint folder.
+
+    The cluster's ``spark.checkpoint.dir`` (or a folder set on the context) is
+    used as is.  Only a ``local[...]`` session without one -- a single machine,
+    e.g. tests -- gets a fresh temporary folder; on a cluster without a shared
+    folder ``None`` is returned and callers fall back to ``persist``.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -36,11 +46,21 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if sc.master.startswith("local"):
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="entrotree-ck-"))
+        return sc.getCheckpointDir()
     return None
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut (or pin) its lineage."""
+def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+    """Compute ``df`` once and cut (or pin) its lineage.
+
+    ``partition_by`` hash-partitions the result first; the partitioning is
+    kept by the materialised table, so later aggregations and windows keyed
+    by a superset of those columns need no further exchange.
+    """
+    if partition_by:
+        df = df.repartition(*partition_by)
     if checkpoint_dir(df.sparkSession):
         return df.checkpoint(eager=True)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
