@@ -1,0 +1,38 @@
+"""Row-wise and additive operators on Structured Streaming sources.
+
+* ``score_stream`` -- T8/T9 on a stream: the same per-level lookups as batch
+  ``predict``, as stream-static left joins against the (small, broadcast) tree
+  table, so no state is kept.
+* ``running_contingency`` -- A2 on a stream: contingency counts are sums, so a
+  streaming ``groupBy`` keeps them current in the state store; entropies and
+  the best feature can be read from any snapshot with the batch operators.
+* ``running_confusion`` -- M1 counts on a scored stream.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+
+from entrotree.operators.counts import contingency
+from entrotree.operators.metrics import confusion_counts
+from entrotree.operators.score import predict
+
+
+def score_stream(stream: DataFrame, tree: DataFrame, features: Sequence[str], *,
+                 value_type: str = "int", out: str = "prediction",
+                 node_out: str | None = None) -> DataFrame:
+    """Add the predicted label to every row of a streaming DataFrame."""
+    return predict(stream, tree, features, value_type=value_type, out=out, node_out=node_out)
+
+
+def running_contingency(stream: DataFrame, features: Sequence[str], label: str, *,
+                        keys: Sequence[str] = (), value_type: str = "int") -> DataFrame:
+    """Streaming contingency ``keys, feature, value, label, n`` (complete/update mode)."""
+    return contingency(stream, features, label, keys=keys, value_type=value_type)
+
+
+def running_confusion(scored: DataFrame, actual: str, predicted: str = "prediction") -> DataFrame:
+    """Streaming confusion cells ``actual, predicted, n`` (complete/update mode)."""
+    return confusion_counts(scored, actual, predicted)
