@@ -29,10 +29,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from entrotree.functions.exprs import binary_segment, entropy_from_sums, nlog2n, pick_feature
+from entrotree.functions.exprs import binary_segment, entropy_from_sums, nlog2n
 from entrotree.operators.counts import unpivot_features
 from entrotree.operators.entropy import TIE_DIGITS
-from entrotree.operators.grow import prepare_rows
+from entrotree.operators.grow import prepare_rows, route_rows
 from entrotree.runtime import BROADCAST_ROWS, bounded_values, materialize, sized_broadcast
 
 BINARY_TREE_COLUMNS = ["node", "parent", "depth", "parent_feature", "branch_value",
@@ -71,7 +71,6 @@ def fit_binary(df: DataFrame, features: Sequence[str], label: str, max_depth: in
     labels = list(labels) if labels is not None else bounded_values(data, "_y")
     K = len(labels)
     cnames = [f"c{i}" for i in range(K)]
-    data = data.withColumn("node", F.lit(""))
     wcol = F.col(w) if w else F.lit(1)
 
     nodes = None
@@ -164,11 +163,9 @@ def fit_binary(df: DataFrame, features: Sequence[str], label: str, max_depth: in
                 *[c.alias(cn) for c, cn in zip(counts, cnames)],
                 *[v.alias(k) for k, v in st.items()]))
         nodes = sides[0].unionByName(sides[1])
-        data = (data.join(expand.select(*keys, "split_feature", "split_index", "threshold"), keys)
-                    .withColumn("node", binary_segment("node", "split_feature",
-                                                       pick_feature(features, "split_index", "double"),
-                                                       "threshold"))
-                    .drop("split_feature", "split_index", "threshold"))
+        data = route_rows(
+            data, expand.select(*keys, "split_feature", "split_index", "threshold"), keys, depth,
+            features, "double", binary_segment, extra=["threshold"])
 
     tree = reduce(lambda a, b: a.unionByName(b), levels)
     return tree.select(*by, *BINARY_TREE_COLUMNS)

@@ -36,10 +36,16 @@ def unpivot_features(df: DataFrame, features: Sequence[str], label: str, *,
 
 def contingency(df: DataFrame, features: Sequence[str], label: str, *,
                 keys: Sequence[str] = (), weight: str | None = None,
-                value_type: str = "int") -> DataFrame:
-    """Counts per (keys, feature, value, label) -- all nodes of a level in one job."""
+                value_type: str = "int", where: Column | None = None) -> DataFrame:
+    """Counts per (keys, feature, value, label) -- all nodes of a level in one job.
+
+    ``where`` (over the unpivoted columns) drops (row, feature) pairs before
+    counting, e.g. features that a key's tree may not use.
+    """
     long = unpivot_features(df, features, label, keys=keys, weight=weight,
                             value_type=value_type)
+    if where is not None:
+        long = long.where(where)
     return long.groupBy(*keys, "feature", "value", "label").agg(count_expr(weight).alias("n"))
 
 

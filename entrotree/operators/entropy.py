@@ -62,14 +62,15 @@ def value_stats(cont: DataFrame, keys: Sequence[str] = (), *,
     return _finish(cont.groupBy(*keys, "feature", "value").agg(*_distribution_aggs(tie)))
 
 
-def node_stats(cont: DataFrame, keys: Sequence[str], first_feature: str, *,
+def node_stats(cont: DataFrame, keys: Sequence[str], first_feature: str | Column, *,
                tie: str = "high") -> DataFrame:
     """Per-node label statistics read off one feature's slice of the contingency.
 
     Every row of a node is counted once under every feature, so any single
     feature's counts summed over its values are the node's label counts.
     """
-    return label_stats(cont.where(F.col("feature") == first_feature), keys, tie=tie)
+    first = F.lit(first_feature) if isinstance(first_feature, str) else first_feature
+    return label_stats(cont.where(F.col("feature") == first), keys, tie=tie)
 
 
 def weighted_scores(vstats: DataFrame, features: Sequence[str],

@@ -27,10 +27,10 @@ itself (``reuse_features``) and pure nodes are still split
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entrotree.functions.exprs import child_path, pick_feature
@@ -48,8 +48,11 @@ def prepare_rows(df: DataFrame, features: Sequence[str], label: str, *,
                  value_type: str = "int", compact: bool = True) -> tuple[DataFrame, str | None]:
     """Project (and by default compact) the fit input.
 
-    Returns ``(rows, weight_column)`` with columns ``by..., features..., _y[, _w]``;
-    rows with a null label are dropped.
+    Returns ``(rows, weight_column)`` with columns ``by..., features..., _y,
+    [_w,] node``; rows with a null label are dropped and every row starts at
+    the root node ``""``.  The compacted table is materialised, so ``node`` is
+    a stored column there (not a literal the optimiser would fold into the
+    first level's join).
     """
     cols = [*by, *[F.col(f).cast(value_type).alias(f) for f in features], F.col(label).alias("_y")]
     if weight:
@@ -57,25 +60,66 @@ def prepare_rows(df: DataFrame, features: Sequence[str], label: str, *,
     rows = df.select(*cols).where(F.col("_y").isNotNull())
     w = "_w" if weight else None
     if compact:
-        rows = materialize(compact_rows(rows, [*by, *features, "_y"], weight=w, out="_w"))
+        rows = compact_rows(rows, [*by, *features, "_y"], weight=w, out="_w")
         w = "_w"
+    rows = rows.withColumn("node", F.lit(""))
+    if compact:
+        rows = materialize(rows)
     return rows, w
 
 
+def route_rows(data: DataFrame, splits: DataFrame, keys: Sequence[str], depth: int,
+               features: Sequence[str], value_type: str,
+               child: Callable[..., Column], extra: Sequence[str] = ()) -> DataFrame:
+    """Move rows to the child node chosen by their node's split.
+
+    ``splits`` holds ``keys, split_feature, split_index[, extra...]`` (already
+    size-checked and broadcast by the caller); rows of nodes without a split
+    drop out.  ``child(node, feature, value, *extra)`` builds the child path.
+    The root of a single tree has exactly one split, which is read as
+    scalars: the rows are then rewritten by a projection over the split
+    column itself, with no join against a constant node key.
+    """
+    cols = ["split_feature", "split_index", *extra]
+    if depth == 0 and list(keys) == ["node"]:
+        root = splits.first()
+        sf = root["split_feature"]
+        return data.withColumn("node", child(F.lit(""), F.lit(sf), F.col(sf).cast(value_type),
+                                             *[F.lit(root[c]) for c in extra]))
+    value = pick_feature(features, "split_index", cast=value_type)
+    return (data.join(splits, list(keys))
+                .withColumn("node", child(F.col("node"), F.col("split_feature"), value,
+                                          *[F.col(c) for c in extra]))
+                .drop(*cols))
+
+
 def fit_id3(df: DataFrame, features: Sequence[str], label: str, max_depth: int = 3, *,
             by: Sequence[str] = (), weight: str | None = None, value_type: str = "int",
             reuse_features: bool = True, split_pure_nodes: bool = True,
             compact: bool = True, tie: str = "high",
+            feature_sets: Mapping | None = None,
             broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Grow a multiway entropy tree; ``by`` grows one independent tree per key."""
+    """Grow a multiway entropy tree; ``by`` grows one independent tree per key.
+
+    ``feature_sets`` (with exactly one ``by`` column) maps each key value to
+    the features its tree may use, so trees over different feature groups
+    grow in the same jobs; ``features`` is then the union, in tie-break order.
+    """
     if max_depth < 1:
         raise ValueError("max_depth must be >= 1")
     features = list(features)
     by = list(by)
     keys = [*by, "node"]
+    allowed = first = None
+    if feature_sets is not None:
+        if len(by) != 1:
+            raise ValueError("feature_sets needs exactly one by column")
+        sets = F.create_map(*[x for k, fs in feature_sets.items()
+                              for x in (F.lit(k), F.array(*[F.lit(f) for f in fs]))])
+        allowed = F.array_contains(F.element_at(sets, F.col(by[0])), F.col("feature"))
+        first = F.element_at(F.element_at(sets, F.col(by[0])), 1)
     data, w = prepare_rows(df, features, label, by=by, weight=weight,
                            value_type=value_type, compact=compact)
-    data = data.withColumn("node", F.lit(""))
 
     nodes = None
     levels = []
@@ -83,10 +127,12 @@ def fit_id3(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
         # The one pass over the rows of this level; the result is tiny and is
         # kept hash-partitioned by node for everything that follows.
         cont = materialize(contingency(data, features, "_y", keys=keys, weight=w,
-                                  value_type=value_type), partition_by=keys)
+                                       value_type=value_type, where=allowed),
+                           partition_by=keys)
         vstats = value_stats(cont, keys, tie=tie)
         if nodes is None:
-            nodes = node_stats(cont, keys, features[0], tie=tie).select(
+            nodes = node_stats(cont, keys, features[0] if first is None else first,
+                               tie=tie).select(
                 *keys,
                 F.lit(None).cast("string").alias("parent"),
                 F.lit(None).cast("string").alias("parent_feature"),
@@ -128,10 +174,8 @@ def fit_id3(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
                          "n", "entropy", "majority",
                          F.array_union("_used", F.array(F.col("feature"))).alias("_used")))
         # Rows follow their node's split (rows of leaves drop out).
-        data = (data.join(expand.drop("_used"), keys)
-                    .withColumn("node", child_path("node", "split_feature",
-                                                   pick_feature(features, "split_index")))
-                    .drop("split_feature", "split_index"))
+        data = route_rows(data, expand.drop("_used"), keys, depth, features, value_type,
+                          child_path)
 
     tree = reduce(lambda a, b: a.unionByName(b), levels)
     return tree.select(*by, *TREE_COLUMNS)

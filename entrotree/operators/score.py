@@ -62,9 +62,24 @@ def predict(df: DataFrame, tree: DataFrame, features: Sequence[str], *,
             cand = binary_segment("_node", "_sf", value, "_thr")
         else:
             cand = child_path("_node", "_sf", pick_feature(features, "_si", cast=value_type))
-        rows = (rows.join(sized_broadcast(splits, n_split, broadcast_rows), [*by, "_node"], "left")
-                    .withColumn("_cand", F.when(F.col("_sf").isNotNull(), cand))
-                    .drop("_sf", "_si", "_thr")
+        if d == 0 and not by:
+            # A single tree has one root split: read it as scalars and build
+            # the child path from that feature's column, instead of joining
+            # every row on the constant root key.
+            root = splits.first()
+            sf = root["_sf"]
+            if binary:
+                first = binary_segment(F.lit(""), F.lit(sf), F.col(sf).cast("double"),
+                                       F.lit(root["_thr"]))
+            else:
+                first = child_path(F.lit(""), F.lit(sf), F.col(sf).cast(value_type))
+            looked_up = rows.withColumn("_cand", first)
+        else:
+            looked_up = (rows.join(sized_broadcast(splits, n_split, broadcast_rows),
+                                   [*by, "_node"], "left")
+                             .withColumn("_cand", F.when(F.col("_sf").isNotNull(), cand))
+                             .drop("_sf", "_si", "_thr"))
+        rows = (looked_up
                     .join(sized_broadcast(children, n_child, broadcast_rows), [*by, "_cand"], "left")
                     .withColumn("_node", F.when(F.col("_hit"), F.col("_cand")).otherwise(F.col("_node")))
                     .drop("_cand", "_hit"))
