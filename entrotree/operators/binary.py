@@ -23,16 +23,16 @@ split.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from entrotree.functions.exprs import binary_segment, entropy_from_sums, nlog2n
+from entrotree.functions.exprs import binary_segment
 from entrotree.operators.counts import unpivot_features
 from entrotree.operators.entropy import TIE_DIGITS
-from entrotree.operators.grow import prepare_rows, route_rows
+from entrotree.operators.grow import feature_set_exprs, prepare_rows, route_rows
 from entrotree.runtime import BROADCAST_ROWS, bounded_values, materialize, sized_broadcast
 
 BINARY_TREE_COLUMNS = ["node", "parent", "depth", "parent_feature", "branch_value",
@@ -40,32 +40,50 @@ BINARY_TREE_COLUMNS = ["node", "parent", "depth", "parent_feature", "branch_valu
                        "majority", "weighted_entropy", "gain", "is_leaf"]
 
 
-def _dist(counts: Sequence[Column], labels: Sequence, tie: str) -> dict[str, Column]:
-    """n, entropy and majority of a label distribution given as count columns."""
-    n = reduce(lambda a, b: a + b, counts)
-    s = reduce(lambda a, b: a + b, [nlog2n(c) for c in counts])
-    k = reduce(lambda a, b: a + b, [F.when(c > 0, 1).otherwise(0) for c in counts])
-    arr = F.array(*counts)
-    lab = F.array(*[F.lit(v) for v in labels])
+def _dist(cols: Sequence[str], labels: Sequence, tie: str) -> dict[str, Column]:
+    """n, entropy and majority of a label distribution held in count columns.
+
+    Built once per fit (the expressions only name columns); the arithmetic is
+    one SQL expression each: ``H = log2 N - sum(c log2 c) / N``, exactly 0
+    when only one label is present.
+    """
+    n = " + ".join(f"`{c}`" for c in cols)
+    s = " + ".join(f"IF(`{c}` > 0, CAST(`{c}` AS DOUBLE) * log2(`{c}`), 0D)" for c in cols)
+    k = " + ".join(f"IF(`{c}` > 0, 1, 0)" for c in cols)
+    total = f"CAST(({n}) AS DOUBLE)"
+    entropy = f"IF(({k}) <= 1, 0D, greatest(0D, log2({total}) - ({s}) / {total}))"
+    arr = "array(" + ", ".join(f"`{c}`" for c in cols) + ")"
     if tie == "low":
-        pos = F.array_position(arr, F.array_max(arr))
+        pos = f"array_position({arr}, array_max({arr}))"
     else:
-        pos = F.size(arr) - F.array_position(F.reverse(arr), F.array_max(arr)) + 1
-    return {"n": n.cast("long"), "entropy": entropy_from_sums(n, s, k),
-            "majority": F.element_at(lab, pos.cast("int"))}
+        pos = f"size({arr}) - array_position(reverse({arr}), array_max({arr})) + 1"
+    majority = F.element_at(F.array(*[F.lit(v) for v in labels]), F.expr(f"CAST({pos} AS INT)"))
+    return {"n": F.expr(f"CAST(({n}) AS BIGINT)"), "entropy": F.expr(entropy),
+            "majority": majority}
 
 
 def fit_binary(df: DataFrame, features: Sequence[str], label: str, max_depth: int = 3, *,
                by: Sequence[str] = (), weight: str | None = None,
                labels: Sequence | None = None, compact: bool = True, tie: str = "low",
+               feature_sets: Mapping | None = None,
                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Grow binary entropy trees (one per ``by`` key) with up to ``max_depth`` split levels."""
+    """Grow binary entropy trees (one per ``by`` key) with up to ``max_depth`` split levels.
+
+    ``feature_sets`` restricts each key's tree to its own features, as in
+    ``fit_id3``.
+    """
     if max_depth < 0:
         raise ValueError("max_depth must be >= 0")
     features = list(features)
     by = list(by)
     keys = [*by, "node"]
-    clean = df.where(reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in features]))
+    allowed = first = None
+    if feature_sets is not None:
+        allowed, first, uses = feature_set_exprs(feature_sets, by)
+        needed = [~uses(f) | F.col(f).isNotNull() for f in features]
+    else:
+        needed = [F.col(f).isNotNull() for f in features]
+    clean = df.where(reduce(lambda a, b: a & b, needed))
     data, w = prepare_rows(clean, features, label, by=by, weight=weight,
                            value_type="double", compact=compact)
     labels = list(labels) if labels is not None else bounded_values(data, "_y")
@@ -73,71 +91,79 @@ def fit_binary(df: DataFrame, features: Sequence[str], label: str, max_depth: in
     cnames = [f"c{i}" for i in range(K)]
     wcol = F.col(w) if w else F.lit(1)
 
+    lnames = [f"l{i}" for i in range(K)]
+    rnames = [f"r{i}" for i in range(K)]
+    node_dist = _dist(cnames, labels, tie)
+    ls, rs = _dist(lnames, labels, tie), _dist(rnames, labels, tie)
+    split_wh = (ls["n"] * ls["entropy"] + rs["n"] * rs["entropy"]) / (ls["n"] + rs["n"])
+    positions = F.array(*[F.lit(f) for f in features])
+    order = F.struct(F.round("weighted_entropy", TIE_DIGITS), F.col("split_index"),
+                     F.col("threshold"))
+    payload = ["feature", "split_index", "threshold", "weighted_entropy", *lnames, *rnames]
+
     nodes = None
     levels = []
     for depth in range(max_depth + 1):
         if depth < max_depth or nodes is None:
+            # The one pass over the rows of this level: label-dense counts.
             long = unpivot_features(data, features, "_y", keys=keys, weight=w, value_type="double")
+            if allowed is not None:
+                long = long.where(allowed)
             dense = materialize(long.groupBy(*keys, "feature", "value").agg(
                 *[F.sum(F.when(F.col("label") == F.lit(v), wcol).otherwise(F.lit(0)))
                    .cast("long").alias(c) for v, c in zip(labels, cnames)]), partition_by=keys)
         if nodes is None:
-            root = (dense.where(F.col("feature") == features[0])
+            root = (dense.where(F.col("feature") == (F.lit(features[0]) if first is None else first))
                          .groupBy(*keys).agg(*[F.sum(c).cast("long").alias(c) for c in cnames]))
-            st = _dist([F.col(c) for c in cnames], labels, tie)
             nodes = root.select(*keys,
                                 F.lit(None).cast("string").alias("parent"),
                                 F.lit(None).cast("string").alias("parent_feature"),
                                 F.lit(None).cast("string").alias("branch_value"),
-                                *cnames, *[v.alias(k) for k, v in st.items()])
+                                *cnames, *[v.alias(k) for k, v in node_dist.items()])
         if depth == max_depth:
-            levels.append(materialize(
-                nodes.withColumn("depth", F.lit(depth))
-                     .withColumn("is_leaf", F.lit(True))
-                     .select(*keys, "parent", "depth", "parent_feature", "branch_value",
+            # Leaves at the depth limit: a projection of the checkpointed
+            # parent level's winning counts (nothing to materialise).
+            levels.append((
+                nodes.select(*keys, "parent", F.lit(depth).alias("depth"), "parent_feature",
+                             "branch_value",
                              F.lit(None).cast("string").alias("split_feature"),
                              F.lit(None).cast("int").alias("split_index"),
                              F.lit(None).cast("double").alias("threshold"),
                              "n", "entropy", "majority",
                              F.lit(None).cast("double").alias("weighted_entropy"),
-                             F.lit(None).cast("double").alias("gain"), "is_leaf")))
+                             F.lit(None).cast("double").alias("gain"),
+                             F.lit(True).alias("is_leaf"))))
             break
 
+        # Every threshold between two adjacent present values: left counts are
+        # running sums in value order, right counts the rest of the partition.
         win = Window.partitionBy(*keys, "feature").orderBy("value")
         cum = win.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         full = win.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        cand = dense.select(
-            *keys, "feature", "value",
-            F.lead("value").over(win).alias("_next"),
-            *[F.sum(c).over(cum).alias(f"l{i}") for i, c in enumerate(cnames)],
-            *[F.sum(c).over(full).alias(f"t{i}") for i, c in enumerate(cnames)],
-        ).where(F.col("_next").isNotNull())
-        left = [F.col(f"l{i}") for i in range(K)]
-        right = [F.col(f"t{i}") - F.col(f"l{i}") for i in range(K)]
-        ls, rs = _dist(left, labels, tie), _dist(right, labels, tie)
-        n_all = ls["n"] + rs["n"]
-        cand = cand.select(
-            *keys, "feature",
-            ((F.col("value") + F.col("_next")) / 2).alias("threshold"),
-            ((ls["n"] * ls["entropy"] + rs["n"] * rs["entropy"]) / n_all).alias("weighted_entropy"),
-            *[c.alias(f"l{i}") for i, c in enumerate(left)],
-            *[c.alias(f"r{i}") for i, c in enumerate(right)],
-        ).withColumn("split_index", (F.array_position(F.array(*[F.lit(f) for f in features]),
-                                                      F.col("feature")) - 1).cast("int"))
-        payload = ["feature", "split_index", "threshold", "weighted_entropy",
-                   *[f"l{i}" for i in range(K)], *[f"r{i}" for i in range(K)]]
-        order = F.struct(F.round("weighted_entropy", TIE_DIGITS), F.col("split_index"),
-                         F.col("threshold"))
+        cand = (dense.select(
+                    *keys, "feature", "value",
+                    F.lead("value").over(win).alias("_next"),
+                    *[F.sum(c).over(cum).alias(f"l{i}") for i, c in enumerate(cnames)],
+                    *[F.sum(c).over(full).alias(f"t{i}") for i, c in enumerate(cnames)])
+                .where(F.col("_next").isNotNull())
+                .select(*keys, "feature",
+                        ((F.col("value") + F.col("_next")) / 2).alias("threshold"),
+                        (F.array_position(positions, F.col("feature")) - 1).cast("int")
+                        .alias("split_index"),
+                        *lnames, *[(F.col(f"t{i}") - F.col(f"l{i}")).alias(f"r{i}") for i in range(K)])
+                .withColumn("weighted_entropy", split_wh))
         best = (cand.groupBy(*keys)
                     .agg(F.min_by(F.struct(*[F.col(c) for c in payload]), order).alias("_b"))
                     .select(*keys, *[F.col(f"_b.{c}").alias(c) for c in payload]))
+        leaf = F.col("feature").isNull() | (F.col("entropy") <= 0)
         level = materialize(
             nodes.join(best, keys, "left")
-                 .withColumn("depth", F.lit(depth))
-                 .withColumn("is_leaf", F.col("feature").isNull() | (F.col("entropy") <= 0))
-                 .withColumn("gain", F.when(~F.col("is_leaf"),
-                                            F.col("entropy") - F.col("weighted_entropy")))
-                 .withColumnRenamed("feature", "split_feature"))
+                 .select(*keys, "parent", F.lit(depth).alias("depth"), "parent_feature",
+                         "branch_value",
+                         F.col("feature").alias("split_feature"), "split_index", "threshold",
+                         "n", "entropy", "majority", "weighted_entropy",
+                         F.when(~leaf, F.col("entropy") - F.col("weighted_entropy")).alias("gain"),
+                         leaf.alias("is_leaf"), *lnames, *rnames))
         levels.append(level.select(
             *keys, "parent", "depth", "parent_feature", "branch_value",
             *[F.when(~F.col("is_leaf"), F.col(c)).alias(c) for c in
@@ -149,19 +175,18 @@ def fit_binary(df: DataFrame, features: Sequence[str], label: str, max_depth: in
         if n_expand == 0:
             break
         expand = sized_broadcast(expand, n_expand, broadcast_rows)
+        # Children's statistics are the winning candidate's left/right counts.
         sides = []
-        for side, prefix, op in (("<=", "l", "<="), (">", "r", ">")):
-            counts = [F.col(f"{prefix}{i}") for i in range(K)]
-            st = _dist(counts, labels, tie)
+        for op, names, dist in (("<=", lnames, ls), (">", rnames, rs)):
             sides.append(expand.select(
                 *by,
                 F.concat(F.col("node"), F.lit("/"), F.col("split_feature"), F.lit(op),
                          F.col("threshold").cast("string")).alias("node"),
                 F.col("node").alias("parent"),
                 F.col("split_feature").alias("parent_feature"),
-                F.concat(F.lit(side), F.col("threshold").cast("string")).alias("branch_value"),
-                *[c.alias(cn) for c, cn in zip(counts, cnames)],
-                *[v.alias(k) for k, v in st.items()]))
+                F.concat(F.lit(op), F.col("threshold").cast("string")).alias("branch_value"),
+                *[F.col(c).alias(cn) for c, cn in zip(names, cnames)],
+                *[v.alias(k) for k, v in dist.items()]))
         nodes = sides[0].unionByName(sides[1])
         data = route_rows(
             data, expand.select(*keys, "split_feature", "split_index", "threshold"), keys, depth,

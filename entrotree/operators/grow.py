@@ -68,6 +68,22 @@ def prepare_rows(df: DataFrame, features: Sequence[str], label: str, *,
     return rows, w
 
 
+def feature_set_exprs(feature_sets: Mapping, by: Sequence[str]):
+    """Expressions for per-key feature sets (one ``by`` column).
+
+    Returns ``(allowed, first, uses)``: ``allowed`` is true for unpivoted
+    (key, feature) pairs the key's tree may use, ``first`` is the key's first
+    feature, ``uses(f)`` tells whether the key's set contains feature ``f``.
+    """
+    if len(by) != 1:
+        raise ValueError("feature_sets needs exactly one by column")
+    sets = F.create_map(*[x for k, fs in feature_sets.items()
+                          for x in (F.lit(k), F.array(*[F.lit(f) for f in fs]))])
+    mine = F.element_at(sets, F.col(by[0]))
+    return (F.array_contains(mine, F.col("feature")), F.element_at(mine, 1),
+            lambda f: F.array_contains(mine, F.lit(f)))
+
+
 def route_rows(data: DataFrame, splits: DataFrame, keys: Sequence[str], depth: int,
                features: Sequence[str], value_type: str,
                child: Callable[..., Column], extra: Sequence[str] = ()) -> DataFrame:
@@ -112,12 +128,7 @@ def fit_id3(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
     keys = [*by, "node"]
     allowed = first = None
     if feature_sets is not None:
-        if len(by) != 1:
-            raise ValueError("feature_sets needs exactly one by column")
-        sets = F.create_map(*[x for k, fs in feature_sets.items()
-                              for x in (F.lit(k), F.array(*[F.lit(f) for f in fs]))])
-        allowed = F.array_contains(F.element_at(sets, F.col(by[0])), F.col("feature"))
-        first = F.element_at(F.element_at(sets, F.col(by[0])), 1)
+        allowed, first, _ = feature_set_exprs(feature_sets, by)
     data, w = prepare_rows(df, features, label, by=by, weight=weight,
                            value_type=value_type, compact=compact)
 

@@ -87,7 +87,8 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, key: str,
 
     held = compact.withColumn("model", F.col("fold"))
     scored = predict(held, trees, features, by=["model"], value_type=_value_type(kind))
-    conf = confusion_counts(scored, "_y", by=["model"], weight="w")
+    # k x K x K cells: materialised once, read by the fold table, mean and best.
+    conf = materialize(confusion_counts(scored, "_y", by=["model"], weight="w"))
     fold_metrics = summary(conf, by=["model"]).select(
         "model", "n", "accuracy", "precision_macro", "recall_macro")
     mean = fold_metrics.agg(F.avg("accuracy").alias("accuracy"),
@@ -117,18 +118,31 @@ def feature_group_error(df: DataFrame, groups: Mapping[str, Sequence[str]], labe
                         max_depth: int = 3, kind: str = "id3") -> DataFrame:
     """Test error per feature group (P3): ``group, n, error_rate``.
 
-    Every group is fit on the same keyed train part and scored on the rest;
-    all groups read one compacted copy of the rows.
+    All groups grow in the same level jobs: rows are replicated once per
+    group with the features outside the group set to null (so compaction
+    merges them), ``group`` is part of the node key, and each tree may only
+    split on its own group's features.  Held-out rows are scored by their
+    group's tree.
     """
-    all_features = sorted({f for fs in groups.values() for f in fs})
+    names = list(groups)
+    all_features = list(dict.fromkeys(f for fs in groups.values() for f in fs))
+    sets = F.create_map(*[x for n in names
+                          for x in (F.lit(n), F.array(*[F.lit(f) for f in groups[n]]))])
     flag = keyed_train_flag(key, seed, train_percent)
     base = df.select(key, *all_features, F.col(label).alias("_y")).where(F.col("_y").isNotNull())
-    train = materialize(compact_rows(base.where(flag), [*all_features, "_y"], out="w"))
-    test = materialize(compact_rows(base.where(~flag), [*all_features, "_y"], out="w"))
-    out = []
-    for name, feats in groups.items():
-        tree = _fit(kind, train, list(feats), "_y", max_depth, weight="w", compact=True)
-        scored = predict(test, tree, list(feats), value_type=_value_type(kind))
-        s = summary(confusion_counts(scored, "_y", weight="w"))
-        out.append(s.select(F.lit(name).alias("group"), "n", "error_rate"))
-    return reduce(lambda a, b: a.unionByName(b), out)
+
+    def per_group(rows: DataFrame) -> DataFrame:
+        rep = rows.select(F.explode(F.array(*[F.lit(n) for n in names])).alias("group"),
+                          *all_features, "_y")
+        mine = F.element_at(sets, F.col("group"))
+        return rep.select("group", *[F.when(F.array_contains(mine, F.lit(f)), F.col(f)).alias(f)
+                                     for f in all_features], "_y")
+
+    train = per_group(base.where(flag))
+    test = materialize(compact_rows(per_group(base.where(~flag)),
+                                    ["group", *all_features, "_y"], out="w"))
+    trees = _fit(kind, train, all_features, "_y", max_depth, by=["group"],
+                 feature_sets=groups)
+    scored = predict(test, trees, all_features, by=["group"], value_type=_value_type(kind))
+    conf = confusion_counts(scored, "_y", by=["group"], weight="w")
+    return summary(conf, by=["group"]).select("group", "n", "error_rate")
