@@ -35,6 +35,10 @@ from entrotree.operators.entropy import TIE_DIGITS
 from entrotree.operators.grow import feature_set_exprs, prepare_rows, route_rows
 from entrotree.runtime import BROADCAST_ROWS, bounded_values, materialize, sized_broadcast
 
+# Largest number of distinct values of one feature inside one node that the
+# threshold scan (a window partition) accepts.
+MAX_WINDOW_VALUES = 100_000
+
 BINARY_TREE_COLUMNS = ["node", "parent", "depth", "parent_feature", "branch_value",
                        "split_feature", "split_index", "threshold", "n", "entropy",
                        "majority", "weighted_entropy", "gain", "is_leaf"]
@@ -66,11 +70,15 @@ def fit_binary(df: DataFrame, features: Sequence[str], label: str, max_depth: in
                by: Sequence[str] = (), weight: str | None = None,
                labels: Sequence | None = None, compact: bool = True, tie: str = "low",
                feature_sets: Mapping | None = None,
+               max_values: int = MAX_WINDOW_VALUES,
                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Grow binary entropy trees (one per ``by`` key) with up to ``max_depth`` split levels.
 
     ``feature_sets`` restricts each key's tree to its own features, as in
-    ``fit_id3``.
+    ``fit_id3``.  Features must be discretised: a feature with more than
+    ``max_values`` distinct values at the root is rejected (bin it first with
+    ``operators.prep.equal_width_bins``), since its threshold scan is one
+    window partition.
     """
     if max_depth < 0:
         raise ValueError("max_depth must be >= 0")
@@ -113,6 +121,12 @@ def fit_binary(df: DataFrame, features: Sequence[str], label: str, max_depth: in
                 *[F.sum(F.when(F.col("label") == F.lit(v), wcol).otherwise(F.lit(0)))
                    .cast("long").alias(c) for v, c in zip(labels, cnames)]), partition_by=keys)
         if nodes is None:
+            # Window partitions are (node, feature) groups of distinct values;
+            # the root holds the most, so one check bounds every level.
+            widest = dense.groupBy(*keys, "feature").count().agg(F.max("count")).first()[0]
+            if widest is not None and widest > max_values:
+                raise ValueError(f"a feature has {widest} distinct values (> {max_values}); "
+                                 "discretise it before fitting a binary tree")
             root = (dense.where(F.col("feature") == (F.lit(features[0]) if first is None else first))
                          .groupBy(*keys).agg(*[F.sum(c).cast("long").alias(c) for c in cnames]))
             nodes = root.select(*keys,

@@ -22,7 +22,7 @@ from entrotree.operators.metrics import confusion_counts, confusion_matrix, labe
 from entrotree.operators.prep import bin_occupancy, equal_width_bins
 from entrotree.operators.score import leaf_labels, predict, tree_listing
 from entrotree.operators.validate import (assign_folds, cross_validate, feature_group_error,
-                                          keyed_split, split_frames)
+                                          keyed_split, random_split, split_frames)
 from entrotree.sources.fixtures import (DOC_FEATURES, EV_FEATURES, LI_FEATURES, doc_bins,
                                         ev_bins, li_bins)
 from entrotree.sources.tables import read_table
@@ -290,6 +290,15 @@ def fold_sizes(spark, sf):
         F.sum(F.col("is_train").cast("long")).alias("n_train"))
 
 
+def random_split_sizes(spark, sf):
+    """Spark's seeded ``randomSplit`` 80:20 (V1 literal form); sizes depend on
+    the input partitioning, so there is no SQL twin (rows-only check)."""
+    li = read_table(spark, sf, "lineitem").select("l_orderkey")
+    train, test = random_split(li, (0.8, 0.2), seed=SEED)
+    return (train.agg(F.count(F.lit(1)).alias("n")).select(F.lit("train").alias("side"), "n")
+            .unionByName(test.agg(F.count(F.lit(1)).alias("n")).select(F.lit("test").alias("side"), "n")))
+
+
 def binary_root_split(spark, sf):
     tree = fit_binary(li_bins(spark, sf), LI_FEATURES, "y", 1)
     return tree.where(F.col("depth") == 0).select(
@@ -304,6 +313,18 @@ def binary_tree(spark, sf):
                        r6("weighted_entropy").alias("weighted_entropy"), "is_leaf")
 
 
+def binary_tree_events(spark, sf):
+    tree = fit_binary(ev_bins(spark, sf), EV_FEATURES, "y", DEPTH)
+    return tree.select("node", "depth", "split_feature", "threshold", "n",
+                       r6("entropy").alias("entropy"), "majority", "is_leaf")
+
+
+def id3_tree_events(spark, sf):
+    tree = fit_id3(ev_bins(spark, sf), EV_FEATURES, "y", 2)
+    return tree.select("node", "depth", "split_feature", "n", r6("entropy").alias("entropy"),
+                       "majority", r6("weighted_entropy").alias("weighted_entropy"), "is_leaf")
+
+
 def _cv(spark, sf):
     return cross_validate(li_bins(spark, sf), LI_FEATURES, "y", "k", k=5, seed=SEED,
                           holdout_percent=30, max_depth=DEPTH, kind="binary")
@@ -393,8 +414,11 @@ QUERIES: dict[str, Query] = {
     "holdout_split": holdout_split,
     "holdout_split_70": holdout_split_70,
     "fold_sizes": fold_sizes,
+    "random_split_sizes": random_split_sizes,
     "binary_root_split": binary_root_split,
     "binary_tree": binary_tree,
+    "binary_tree_events": binary_tree_events,
+    "id3_tree_events": id3_tree_events,
     "cv_fold_metrics": cv_fold_metrics,
     "cv_mean": cv_mean,
     "cv_best_fold": cv_best_fold,

@@ -572,6 +572,15 @@ def _add_later():
     ORACLE["best_feature_group"] = _feature_group_sql() + (
         f"SELECT \"group\", {r6('err')} AS error_rate FROM (SELECT *, ROW_NUMBER() OVER "
         f"(ORDER BY round(err, 12), \"group\") AS rk FROM ge) x WHERE rk = 1")
+    ev_labels = ["click", "error", "purchase", "signup", "view"]
+    bc, btree = binary_ctes("ev_bins", EV_FEATURES, DEPTH, ev_labels)
+    ORACLE["binary_tree_events"] = _with(EV_BINS, *bc) + (
+        f"SELECT node, depth, split_feature, threshold, n, {r6('entropy')} AS entropy, "
+        f"majority, is_leaf FROM {btree}")
+    ctes, tree = id3_ctes("ev_bins", EV_FEATURES, 2)
+    ORACLE["id3_tree_events"] = _with(EV_BINS, *ctes) + (
+        f"SELECT node, depth, split_feature, n, {r6('entropy')} AS entropy, majority, "
+        f"{r6('weighted_entropy')} AS weighted_entropy, is_leaf FROM {tree}")
     ctes, tree = id3_ctes("doc_bins", DOC_FEATURES, DEPTH, vtype="VARCHAR")
     ORACLE["id3_tree_docs"] = _with(DOC_BINS, *ctes) + (
         f"SELECT node, depth, split_feature, n, {r6('entropy')} AS entropy, majority, is_leaf FROM {tree}")

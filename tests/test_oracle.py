@@ -19,6 +19,7 @@ SLICE = ["scan_count", "peek", "bin_occupancy", "dataset_entropy_events", "unpiv
          "value_entropy_docs", "majority_label_events", "info_gain", "min_weighted_entropy",
          "root_profile", "branch_counts", "id3_tree", "tree_listing", "score_unseen",
          "confusion", "metrics_summary", "precision_per_label", "fold_sizes", "binary_tree",
+         "binary_tree_events", "id3_tree_events",
          "cv_fold_metrics", "cv_holdout_labels", "feature_group_error"]
 
 
@@ -37,7 +38,8 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(se.oracle_sql()) == set(se.queries())
+    # only Spark's partition-dependent randomSplit has no SQL twin
+    assert set(se.queries()) - set(se.oracle_sql()) == {"random_split_sizes"}
 
 
 @pytest.mark.parametrize("name", SLICE)

@@ -103,3 +103,9 @@ def test_multiway_lineitem_level2(spark):
            for r in tree.where("depth = 1").collect()}
     assert got["/f2=0"] == ("f0", 0.682662)
     assert got["/f2=5"][0] == "f1" and got["/f2=6"][0] == "f1"
+
+
+def test_binary_rejects_undiscretised_feature(spark):
+    df = spark.range(50).selectExpr("cast(id as double) as a", "cast(id % 2 as int) as y")
+    with pytest.raises(ValueError, match="discretise"):
+        fit_binary(df, ["a"], "y", 2, max_values=10)
