@@ -109,3 +109,12 @@ def test_binary_rejects_undiscretised_feature(spark):
     df = spark.range(50).selectExpr("cast(id as double) as a", "cast(id % 2 as int) as y")
     with pytest.raises(ValueError, match="discretise"):
         fit_binary(df, ["a"], "y", 2, max_values=10)
+
+
+def test_tree_invariant_under_repartition(spark):
+    from conftest import SF001
+    df = li_bins(spark, SF001)
+    a = fit_id3(df, LI_FEATURES, "y", 3)
+    b = fit_id3(df.repartition(7, "f5").sortWithinPartitions("k"), LI_FEATURES, "y", 3)
+    cols = ["node", "split_feature", "n", "majority", "is_leaf"]
+    assert sorted(a.select(*cols).collect()) == sorted(b.select(*cols).collect())
