@@ -38,7 +38,10 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     e.g. tests -- gets a fresh temporary folder; on a cluster without a shared
     folder ``None`` is returned and callers fall back to ``persist``.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- sessions without a JVM context (Spark Connect)
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
