@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entrotree.operators.counts import count_expr
-from entrotree.runtime import MAX_LABELS, bounded_values
+from entrotree.runtime import MAX_LABELS, bounded_values, materialize
 
 
 def confusion_counts(scored: DataFrame, actual: str, predicted: str = "prediction", *,
@@ -35,6 +35,8 @@ def confusion_matrix(conf: DataFrame, *, by: Sequence[str] = (),
     the grid is built per ``by`` key from that literal list.
     """
     if labels is None:
+        # The cells are read twice (label list, grid): compute them once.
+        conf = materialize(conf)
         both = conf.select(F.col("actual").alias("l")).unionByName(
             conf.select(F.col("predicted").alias("l")))
         labels = bounded_values(both, "l", MAX_LABELS)
