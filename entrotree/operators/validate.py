@@ -83,7 +83,10 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, key: str,
     compact = materialize(compact_rows(train, [*features, "_y", "fold"], out="w"))
     models = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda m: m != F.col("fold"))
     replicated = compact.withColumn("model", F.explode(models))
-    trees = _fit(kind, replicated, features, "_y", max_depth, by=["model"], weight="w")
+    # Already compact: each level reads the checkpointed table and replicates
+    # it on the fly (a narrow explode feeding the partial aggregate).
+    trees = _fit(kind, replicated, features, "_y", max_depth, by=["model"], weight="w",
+                 compact=False)
 
     held = compact.withColumn("model", F.col("fold"))
     scored = predict(held, trees, features, by=["model"], value_type=_value_type(kind))
