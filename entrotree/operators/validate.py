@@ -67,12 +67,13 @@ def _value_type(kind: str) -> str:
 
 def cross_validate(df: DataFrame, features: Sequence[str], label: str, key: str, *,
                    k: int = 5, seed: int = 200, holdout_percent: int = 30,
-                   max_depth: int = 3, kind: str = "binary") -> dict[str, DataFrame]:
+                   max_depth: int = 3, kind: str = "binary",
+                   holdout: bool = True) -> dict[str, DataFrame]:
     """k-fold cross-validation on the keyed train part, then the hold-out check.
 
     Returns DataFrames: ``trees`` (all fold models, key ``model``),
-    ``fold_metrics`` (V6), ``mean`` (A12), ``best`` (V7), ``holdout_confusion``,
-    ``holdout_labels`` and ``holdout_summary`` (V8).
+    ``fold_metrics`` (V6), ``mean`` (A12), ``best`` (V7) and, with ``holdout``,
+    ``holdout_confusion``, ``holdout_labels`` and ``holdout_summary`` (V8).
     """
     features = list(features)
     flag = keyed_train_flag(key, seed, 100 - holdout_percent)
@@ -101,19 +102,17 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, key: str,
         F.max_by(F.col("model"), F.struct(F.col("accuracy"), -F.col("model"))).alias("model"),
         F.max("accuracy").alias("accuracy"))
 
+    out = {"trees": trees, "fold_metrics": fold_metrics, "mean": mean, "best": best}
+    if not holdout:
+        return out
     best_model = best.first()["model"]  # one scalar chooses the model
     best_tree = trees.where(F.col("model") == best_model).drop("model")
     test_scored = predict(test, best_tree, features, value_type=_value_type(kind))
     hconf = confusion_counts(test_scored, "_y")
-    return {
-        "trees": trees,
-        "fold_metrics": fold_metrics,
-        "mean": mean,
-        "best": best,
-        "holdout_confusion": hconf,
-        "holdout_labels": label_metrics(hconf),
-        "holdout_summary": summary(hconf),
-    }
+    return {**out,
+            "holdout_confusion": hconf,
+            "holdout_labels": label_metrics(hconf),
+            "holdout_summary": summary(hconf)}
 
 
 def feature_group_error(df: DataFrame, groups: Mapping[str, Sequence[str]], label: str,

@@ -325,24 +325,24 @@ def id3_tree_events(spark, sf):
                        "majority", r6("weighted_entropy").alias("weighted_entropy"), "is_leaf")
 
 
-def _cv(spark, sf):
+def _cv(spark, sf, holdout=True):
     return cross_validate(li_bins(spark, sf), LI_FEATURES, "y", "k", k=5, seed=SEED,
-                          holdout_percent=30, max_depth=DEPTH, kind="binary")
+                          holdout_percent=30, max_depth=DEPTH, kind="binary", holdout=holdout)
 
 
 def cv_fold_metrics(spark, sf):
-    fm = _cv(spark, sf)["fold_metrics"]
+    fm = _cv(spark, sf, holdout=False)["fold_metrics"]
     return fm.select("model", "n", *[r6(c).alias(c) for c in
                                      ("accuracy", "precision_macro", "recall_macro")])
 
 
 def cv_mean(spark, sf):
-    m = _cv(spark, sf)["mean"]
+    m = _cv(spark, sf, holdout=False)["mean"]
     return m.select(*[r6(c).alias(c) for c in ("accuracy", "precision_macro", "recall_macro")])
 
 
 def cv_best_fold(spark, sf):
-    b = _cv(spark, sf)["best"]
+    b = _cv(spark, sf, holdout=False)["best"]
     return b.select("model", r6("accuracy").alias("accuracy"))
 
 
