@@ -20,10 +20,19 @@ from entrotree.functions.exprs import NULL_BRANCH, binary_segment, child_path, p
 from entrotree.runtime import BROADCAST_ROWS, sized_broadcast
 
 
-def _depth_sizes(tree: DataFrame) -> dict[tuple[int, bool], int]:
-    # One small job: node counts per (depth, is_leaf).
-    rows = tree.groupBy("depth", "is_leaf").count().collect()
-    return {(r["depth"], r["is_leaf"]): r["count"] for r in rows}
+def _tree_outline(tree: DataFrame, split_cols: list) -> tuple[dict, object]:
+    """Node counts per (depth, is_leaf) and the first root split, in one job.
+
+    The counts size the broadcasts; the root split (one row for a single
+    tree) lets the first level route rows without a join.
+    """
+    root = F.when((F.col("depth") == 0) & ~F.col("is_leaf"), F.struct(*split_cols))
+    rows = (tree.groupBy("depth", "is_leaf")
+                .agg(F.count(F.lit(1)).alias("count"), F.first(root, ignorenulls=True).alias("root"))
+                .collect())
+    sizes = {(r["depth"], r["is_leaf"]): r["count"] for r in rows}
+    roots = [r["root"] for r in rows if r["root"] is not None]
+    return sizes, (roots[0] if roots else None)
 
 
 def predict(df: DataFrame, tree: DataFrame, features: Sequence[str], *,
@@ -38,15 +47,15 @@ def predict(df: DataFrame, tree: DataFrame, features: Sequence[str], *,
     """
     by = list(by)
     features = list(features)
-    sizes = _depth_sizes(tree)
-    if not sizes:
-        raise ValueError("empty tree")
-    max_depth = max(d for d, _ in sizes)
     binary = "threshold" in tree.columns
     split_cols = [F.col("node").alias("_node"), F.col("split_feature").alias("_sf"),
                   F.col("split_index").alias("_si")]
     if binary:
         split_cols.append(F.col("threshold").alias("_thr"))
+    sizes, root = _tree_outline(tree, split_cols)
+    if not sizes:
+        raise ValueError("empty tree")
+    max_depth = max(d for d, _ in sizes)
 
     rows = df.withColumn("_node", F.lit(""))
     for d in range(max_depth):
@@ -66,7 +75,6 @@ def predict(df: DataFrame, tree: DataFrame, features: Sequence[str], *,
             # A single tree has one root split: read it as scalars and build
             # the child path from that feature's column, instead of joining
             # every row on the constant root key.
-            root = splits.first()
             sf = root["_sf"]
             if binary:
                 first = binary_segment(F.lit(""), F.lit(sf), F.col(sf).cast("double"),
