@@ -7,7 +7,7 @@ All of them read the small contingency table, never the data rows:
 * ``best_feature``  -- arg-min of the weighted entropy per node (T1, T2)
 
 Entropy is in bits.  One aggregation gives it: ``log2 N - sum(n log2 n) / N``.
-Majority ties go to the highest label (the reference's ``lb0 > lb1 ? 0 : 1``);
+Majority ties go to the highest label (as the reference decides a tie);
 ``tie="low"`` gives the lowest label instead.  Feature ties go to the lowest
 position in the feature list; weighted entropies are compared after rounding
 to 12 places so that summation-order noise cannot decide a tie.
