@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from entrotree.functions.exprs import entropy_from_sums, feature_index, nlog2n
@@ -85,22 +85,38 @@ def weighted_scores(vstats: DataFrame, features: Sequence[str],
 
 
 def feature_scores(cont: DataFrame, features: Sequence[str],
-                   keys: Sequence[str] = (), *,
-                   vstats: DataFrame | None = None) -> DataFrame:
+                   keys: Sequence[str] = ()) -> DataFrame:
     """``keys..., feature, feature_index, node_n, node_entropy, weighted_entropy,
     gain, n_values`` from a contingency table.
 
     ``weighted_entropy = sum(n_v * H_v) / sum(n_v)`` over the feature's values;
-    ``gain = node_entropy - weighted_entropy``.  The node entropy is read off
-    the same contingency (label counts summed over the feature's values), so
-    both sides join on ``(keys, feature)`` and no extra pass over data is made.
+    ``gain = node_entropy - weighted_entropy``.  One chain reads the
+    contingency once: a window gives each label's total inside the node
+    (``n_l``), and one row per (feature, label) carries ``n_l log2 n_l`` into
+    the per-value aggregate, so the node entropy needs no second aggregation
+    over the contingency (which would re-read its source).
     """
-    vstats = value_stats(cont, keys) if vstats is None else vstats
-    fs = weighted_scores(vstats, features, keys)
-    ne = (label_stats(cont, [*keys, "feature"])
-          .select(*keys, "feature", F.col("entropy").alias("node_entropy")))
-    return (fs.join(ne, [*keys, "feature"])
-              .withColumn("gain", F.col("node_entropy") - F.col("weighted_entropy")))
+    per_label = Window.partitionBy(*keys, "feature", "label")
+    c = cont.select(*keys, "feature", "value", "label", "n",
+                    F.sum("n").over(per_label).alias("_nl"),
+                    F.row_number().over(per_label.orderBy("value")).alias("_r"))
+    first = F.col("_r") == 1
+    per_value = (c.groupBy(*keys, "feature", "value")
+                  .agg(F.sum("n").alias("n"), F.sum(nlog2n("n")).alias("_s"),
+                       F.count(F.lit(1)).alias("_k"),
+                       F.sum(F.when(first, nlog2n("_nl")).otherwise(F.lit(0.0))).alias("_sl"),
+                       F.sum(F.when(first, 1).otherwise(0)).alias("_kl"))
+                  .withColumn("entropy", entropy_from_sums("n", "_s", "_k")))
+    fs = (per_value.groupBy(*keys, "feature")
+                   .agg(F.sum("n").cast("long").alias("node_n"),
+                        (F.sum(F.col("n") * F.col("entropy")) / F.sum("n")).alias("weighted_entropy"),
+                        F.count(F.lit(1)).alias("n_values"),
+                        F.sum("_sl").alias("_sl"), F.sum("_kl").alias("_kl")))
+    return (fs.withColumn("node_entropy", entropy_from_sums("node_n", "_sl", "_kl"))
+              .withColumn("feature_index", feature_index("feature", features))
+              .withColumn("gain", F.col("node_entropy") - F.col("weighted_entropy"))
+              .select(*keys, "feature", "feature_index", "node_n", "node_entropy",
+                      "weighted_entropy", "gain", "n_values"))
 
 
 def best_feature(fs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

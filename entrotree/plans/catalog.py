@@ -25,6 +25,7 @@ from entrotree.operators.validate import (assign_folds, cross_validate, feature_
                                           keyed_split, random_split, split_frames)
 from entrotree.sources.fixtures import (DOC_FEATURES, EV_FEATURES, LI_FEATURES, doc_bins,
                                         ev_bins, li_bins)
+from entrotree.runtime import materialize
 from entrotree.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -156,7 +157,8 @@ def root_feature(spark, sf):
 
 def root_profile(spark, sf):
     df = li_bins(spark, sf)
-    cont = contingency(df, LI_FEATURES, "y")
+    # read twice below (scores and the winner's profile): computed once
+    cont = materialize(contingency(df, LI_FEATURES, "y"))
     best = best_feature(feature_scores(cont, LI_FEATURES)).select("feature")
     vs = value_stats(cont).join(best, "feature", "left_semi")
     return vs.select("feature", "value", "n", r6("entropy").alias("entropy"), "majority")
