@@ -50,17 +50,24 @@ def confusion_matrix(conf: DataFrame, *, by: Sequence[str] = (),
 
 
 def label_metrics(conf: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
-    """Per label (M5, M8): ``by..., label, tp, n_actual, n_predicted, precision, recall``."""
+    """Per label (M5, M8): ``by..., label, tp, n_actual, n_predicted, precision, recall``.
+
+    Each cell counts once for its actual label and once for its predicted
+    label: one ``explode`` of two records per cell (a single pass over the
+    cells, so whatever computes them runs once).
+    """
     zero = F.lit(0).cast("long")
-    as_actual = conf.select(*by, F.col("actual").alias("label"),
-                            F.when(F.col("actual") == F.col("predicted"), F.col("n"))
-                             .otherwise(zero).alias("tp"),
-                            F.col("n").alias("n_actual"), zero.alias("n_predicted"))
-    as_pred = conf.select(*by, F.col("predicted").alias("label"), zero.alias("tp"),
-                          zero.alias("n_actual"), F.col("n").alias("n_predicted"))
-    per = (as_actual.unionByName(as_pred)
-                    .groupBy(*by, "label")
-                    .agg(*[F.sum(c).cast("long").alias(c) for c in ("tp", "n_actual", "n_predicted")]))
+    n = F.col("n").cast("long")
+    tp = F.when(F.col("actual") == F.col("predicted"), n).otherwise(zero)
+    records = F.explode(F.array(
+        F.struct(F.col("actual").alias("label"), tp.alias("tp"), n.alias("n_actual"),
+                 zero.alias("n_predicted")),
+        F.struct(F.col("predicted").alias("label"), zero.alias("tp"), zero.alias("n_actual"),
+                 n.alias("n_predicted"))))
+    per = (conf.select(*by, records.alias("_r"))
+               .select(*by, "_r.*")
+               .groupBy(*by, "label")
+               .agg(*[F.sum(c).cast("long").alias(c) for c in ("tp", "n_actual", "n_predicted")]))
     return per.select(
         *by, "label", "tp", "n_actual", "n_predicted",
         F.when(F.col("n_predicted") > 0, F.col("tp") / F.col("n_predicted"))
