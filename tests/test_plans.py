@@ -36,3 +36,24 @@ def test_scoring_is_map_only(spark):
     assert "BroadcastHashJoin" in plan
     assert not any(p in plan for p in PY_NODES)
     assert "SortMergeJoin" not in plan
+
+
+def _final_plan(df) -> str:
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue().split("== Initial Plan ==")[0].split("\n\n(1)")[0]
+
+
+def test_each_source_table_is_read_once(spark):
+    import __spark_entry__ as se
+    expected = {"info_gain": 1, "weighted_entropy_docs": 2, "metrics_summary": 1,
+                "score_rows": 1, "min_weighted_entropy": 4}
+    for name, scans in expected.items():
+        df = se.queries()[name](spark, SF001)
+        df.write.format("noop").mode("overwrite").save()
+        plan = _final_plan(df)
+        assert plan.count("Scan parquet") == scans, name
+        assert not any(p in plan for p in PY_NODES + ("NestedLoopJoin", "CartesianProduct")), name
