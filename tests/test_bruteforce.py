@@ -135,3 +135,38 @@ def test_binary_equals_brute_force(spark, rows):
                    scored.select("a", "b", "c", "y", "prediction").collect())
     expect = sorted((tuple(r), brute_predict(want, r, True)) for r in rows)
     assert preds == expect
+
+
+def _random_rows(seed: int, n: int = 60):
+    import random
+    rnd = random.Random(seed)
+    return [(rnd.randint(0, 3), rnd.randint(0, 2), rnd.randint(0, 4), rnd.randint(0, 2))
+            for _ in range(n)]
+
+
+def test_other_depths_equal_brute_force(spark):
+    rows = _random_rows(7)
+    df = spark.createDataFrame(rows, "a int, b int, c int, y int")
+    for depth in (1, 4):
+        got = {r["node"]: (r["split_feature"], r["n"], r["majority"], round(r["entropy"], 9))
+               for r in fit_id3(df, FEATS, "y", depth).collect()}
+        assert got == brute_id3(rows, depth), depth
+        got_b = {r["node"]: (r["split_feature"], r["threshold"], r["n"], r["majority"],
+                             round(r["entropy"], 9))
+                 for r in fit_binary(df, FEATS, "y", depth).collect()}
+        assert got_b == brute_binary(rows, depth), depth
+
+
+def test_weighted_rows_equal_replicated_rows(spark):
+    from collections import Counter
+    rows = _random_rows(11, 40)
+    counted = Counter(rows)
+    weighted = spark.createDataFrame([(*r, w) for r, w in counted.items()],
+                                     "a int, b int, c int, y int, w long")
+    plain = spark.createDataFrame(rows, "a int, b int, c int, y int")
+    cols = ["node", "split_feature", "n", "majority", "is_leaf"]
+    for fit in (fit_id3, fit_binary):
+        a = fit(plain, FEATS, "y", 3).select(*cols).collect()
+        b = fit(weighted, FEATS, "y", 3, weight="w").select(*cols).collect()
+        c = fit(weighted, FEATS, "y", 3, weight="w", compact=False).select(*cols).collect()
+        assert sorted(a) == sorted(b) == sorted(c)
