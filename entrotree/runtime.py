@@ -66,7 +66,11 @@ def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFra
         df = df.repartition(*partition_by)
     if checkpoint_dir(df.sparkSession):
         return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    # Filled at once, so that no later job computes it twice in two branches
+    # before the cache holds it.
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept.count()
+    return kept
 
 
 def sized_broadcast(df: DataFrame, rows: int | None = None,
