@@ -14,7 +14,6 @@ the node key.  Held-out rows are scored by their own fold's model.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F

@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 
 from entrotree.operators.binary import fit_binary
 from entrotree.operators.counts import class_histogram, contingency
-from entrotree.operators.entropy import (best_feature, dataset_entropy, feature_scores,
-                                         label_stats, value_stats)
+from entrotree.operators.entropy import best_feature, dataset_entropy, feature_scores, value_stats
 from entrotree.operators.grow import fit_id3
 from entrotree.operators.metrics import confusion_counts, confusion_matrix, label_metrics, summary
 from entrotree.operators.prep import bin_occupancy, equal_width_bins
