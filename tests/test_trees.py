@@ -118,3 +118,25 @@ def test_tree_invariant_under_repartition(spark):
     b = fit_id3(df.repartition(7, "f5").sortWithinPartitions("k"), LI_FEATURES, "y", 3)
     cols = ["node", "split_feature", "n", "majority", "is_leaf"]
     assert sorted(a.select(*cols).collect()) == sorted(b.select(*cols).collect())
+
+
+def test_null_feature_is_a_branch_in_fit_and_scoring(spark):
+    rows = [(None, 1), (None, 1), (0, 0), (0, 0), (1, 1), (1, 0)]
+    df = spark.createDataFrame(rows, "f int, y int")
+    tree = fit_id3(df, ["f"], "y", 2)
+    nodes = {r["node"]: (r["n"], r["majority"]) for r in tree.where("depth = 1").collect()}
+    assert nodes == {"/f=<null>": (2, 1), "/f=0": (2, 0), "/f=1": (2, 1)}
+    pred = {r["f"]: r["prediction"] for r in predict(df, tree, ["f"]).collect()}
+    assert pred == {None: 1, 0: 0, 1: 1}
+
+
+def test_constant_features_give_a_root_leaf(spark):
+    df = spark.createDataFrame([(1, 0), (1, 1), (1, 1)], "a int, y int")
+    rows = fit_binary(df, ["a"], "y", 3).collect()
+    assert len(rows) == 1 and rows[0]["is_leaf"] and rows[0]["split_feature"] is None
+    assert rows[0]["majority"] == 1
+
+
+def test_empty_input_gives_empty_tree(spark):
+    df = spark.createDataFrame([], "a int, y int")
+    assert fit_id3(df, ["a"], "y", 3).count() == 0
