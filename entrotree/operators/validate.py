@@ -24,7 +24,7 @@ from entrotree.operators.counts import compact_rows
 from entrotree.operators.grow import fit_id3
 from entrotree.operators.metrics import confusion_counts, label_metrics, summary
 from entrotree.operators.score import predict
-from entrotree.runtime import materialize
+from entrotree.runtime import bounded_values, materialize
 
 
 def keyed_split(df: DataFrame, key: str, *, seed: int = 200, train_percent: int = 80,
@@ -85,8 +85,9 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, key: str,
     replicated = compact.withColumn("model", F.explode(models))
     # Already compact: each level reads the checkpointed table and replicates
     # it on the fly (a narrow explode feeding the partial aggregate).
+    extra = {"labels": bounded_values(compact, "_y")} if kind == "binary" else {}
     trees = _fit(kind, replicated, features, "_y", max_depth, by=["model"], weight="w",
-                 compact=False)
+                 compact=False, **extra)
 
     held = compact.withColumn("model", F.col("fold"))
     scored = predict(held, trees, features, by=["model"], value_type=_value_type(kind))
