@@ -65,3 +65,24 @@ def test_feature_groups(spark):
 
 def test_features_used(spark):
     assert LI_FEATURES == ["f0", "f1", "f2", "f3", "f4", "f5", "f6"]
+
+
+def test_cross_validation_with_multiway_trees(spark):
+    from conftest import SF001
+    df = li_bins(spark, SF001)
+    cv = cross_validate(df, LI_FEATURES, "y", "k", k=3, seed=7, kind="id3")
+    fm = cv["fold_metrics"].collect()
+    assert sorted(r["model"] for r in fm) == [0, 1, 2]
+    assert all(0.5 < r["accuracy"] <= 1.0 for r in fm)
+    h = cv["holdout_summary"].first()
+    assert h["n"] == keyed_split(df, "k", seed=7, train_percent=70).where("not is_train").count()
+
+
+def test_feature_groups_with_binary_trees(spark):
+    from conftest import SF001
+    groups = {"g01": ["f0", "f1"], "g2": ["f2"]}
+    e = {r["group"]: r for r in feature_group_error(li_bins(spark, SF001), groups, "y", "k",
+                                                      kind="binary").collect()}
+    assert set(e) == {"g01", "g2"}
+    assert all(0 <= r["error_rate"] <= 1 for r in e.values())
+    assert e["g01"]["n"] == e["g2"]["n"]
