@@ -40,3 +40,22 @@ def test_stream_scoring_and_counts_equal_batch(spark):
     want_c = {tuple(r) for r in contingency(df, LI_FEATURES, "y").collect()}
     got_c = {tuple(r) for r in spark.table("cont_stream").collect()}
     assert got_c == want_c
+
+
+def test_stream_scoring_with_binary_tree(spark):
+    from entrotree.operators.binary import fit_binary
+    df = li_bins(spark, SF001)
+    tree = fit_binary(df, LI_FEATURES, "y", 3)
+    src = tempfile.mkdtemp(prefix="stream-bin-", dir="/tmp")
+    df.repartition(2).write.mode("overwrite").parquet(src)
+    stream = spark.readStream.schema(df.schema).parquet(src)
+    q = (score_stream(stream, tree, LI_FEATURES, value_type="double")
+         .select("k", "y", "prediction")
+         .writeStream.outputMode("append").format("memory").queryName("bin_stream").start())
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    want = sorted(tuple(r) for r in predict(df, tree, LI_FEATURES).select("k", "y", "prediction").collect())
+    got = sorted(tuple(r) for r in spark.table("bin_stream").collect())
+    assert got == want
