@@ -119,7 +119,10 @@ def fit_binary(df: DataFrame, features: Sequence[str], label: str, max_depth: in
                 long = long.where(allowed)
             dense = materialize(long.groupBy(*keys, "feature", "value").agg(
                 *[F.sum(F.when(F.col("label") == F.lit(v), wcol).otherwise(F.lit(0)))
-                   .cast("long").alias(c) for v, c in zip(labels, cnames)]), partition_by=keys)
+                   .cast("long").alias(c) for v, c in zip(labels, cnames)]))
+            # One exchange by node; the windows and aggregations below are
+            # keyed by supersets of the node key.
+            dense = dense.repartition(*keys)
         if nodes is None:
             # Window partitions are (node, feature) groups of distinct values;
             # the root holds the most, so one check bounds every level.

@@ -135,11 +135,12 @@ def fit_id3(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
     nodes = None
     levels = []
     for depth in range(max_depth):
-        # The one pass over the rows of this level; the result is tiny and is
-        # kept hash-partitioned by node for everything that follows.
+        # The one pass over the rows of this level (all nodes at once).
         cont = materialize(contingency(data, features, "_y", keys=keys, weight=w,
-                                       value_type=value_type, where=allowed),
-                           partition_by=keys)
+                                       value_type=value_type, where=allowed))
+        # One exchange by node over the tiny table; every aggregation below is
+        # keyed by a superset of the node key and needs no further exchange.
+        cont = cont.repartition(*keys)
         vstats = value_stats(cont, keys, tie=tie)
         if nodes is None:
             nodes = node_stats(cont, keys, features[0] if first is None else first,

@@ -55,15 +55,12 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
-def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut (or pin) its lineage.
 
-    ``partition_by`` hash-partitions the result first; the partitioning is
-    kept by the materialised table, so later aggregations and windows keyed
-    by a superset of those columns need no further exchange.
+    A checkpointed table does not report its partitioning to later plans;
+    callers that aggregate it by a key repartition it once after reading.
     """
-    if partition_by:
-        df = df.repartition(*partition_by)
     if checkpoint_dir(df.sparkSession):
         return df.checkpoint(eager=True)
     # Filled at once, so that no later job computes it twice in two branches
