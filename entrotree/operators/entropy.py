@@ -97,7 +97,8 @@ def feature_scores(cont: DataFrame, features: Sequence[str],
     over the contingency (which would re-read its source).
     """
     per_label = Window.partitionBy(*keys, "feature", "label")
-    c = cont.select(*keys, "feature", "value", "label", "n",
+    # One exchange by (keys, feature) serves the window and both aggregations.
+    c = cont.repartition(*keys, "feature").select(*keys, "feature", "value", "label", "n",
                     F.sum("n").over(per_label).alias("_nl"),
                     F.row_number().over(per_label.orderBy("value")).alias("_r"))
     first = F.col("_r") == 1
