@@ -4,7 +4,8 @@ One pass over the data per level: the contingency of *all* nodes of the level
 is one ``groupBy(keys, node, feature, value, label)``; everything after it
 (entropies, scores, the arg-min per node, the child nodes) reads that small
 table.  Rows move to their child node through a join with the level's split
-table (node -> split feature), broadcast only after its row count is checked.
+table (node -> split feature), broadcast only after its row count is checked;
+the root's single split is applied as a projection (no join).
 
 Input rows are first merged into distinct (features, label) rows with a
 weight (``compact=True``), so a level reads the compact table, not the source.

@@ -2,7 +2,8 @@
 
 ``predict`` walks every row down the tree with two equi-joins per level
 (node -> split; candidate child -> exists), both against small per-depth
-slices of the tree table that are broadcast after a size check; rows never
+slices of the tree table that are broadcast after a size check (a single
+tree's root split is applied as a projection instead); rows never
 leave their partition, so scoring is a narrow, map-only plan (it also works on
 a stream, since stream-static joins are supported).  A row whose branch value
 was never seen in training stays at the deepest node it reached and gets that
