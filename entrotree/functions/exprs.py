@@ -51,7 +51,8 @@ def equal_width_bin(x: str | Column, lo: float, hi: float, bins: int) -> Column:
     if hi is None or lo is None or hi <= lo:
         return F.when(x.isNotNull(), F.lit(0))
     raw = F.floor((x - F.lit(lo)) * F.lit(bins) / F.lit(hi - lo))
-    return F.least(F.lit(bins - 1), F.greatest(F.lit(0), raw)).cast("int")
+    # least/greatest skip nulls, so a null value is kept null explicitly.
+    return F.when(x.isNotNull(), F.least(F.lit(bins - 1), F.greatest(F.lit(0), raw))).cast("int")
 
 
 def keyed_hash(key: str | Column, seed: int) -> Column:

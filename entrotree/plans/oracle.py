@@ -448,7 +448,8 @@ _BIN_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 def _ewb(c: str) -> str:
     lo, hi = f"(SELECT min({c}) FROM lineitem)", f"(SELECT max({c}) FROM lineitem)"
-    return (f"CAST(least(6, greatest(0, floor(({c} - {lo}) * 7 / ({hi} - {lo})))) AS INTEGER)")
+    return (f"CAST(CASE WHEN {c} IS NOT NULL THEN "
+            f"least(6, greatest(0, floor(({c} - {lo}) * 7 / ({hi} - {lo})))) END AS INTEGER)")
 
 
 ORACLE: dict[str, str] = {
