@@ -38,16 +38,19 @@ DOC_BINS = """doc_j AS (
   FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
 doc_bins AS (
   SELECT doc_id AS k, lang, source,
-         CAST(CAST(least(6, greatest(0, floor((n_chars - (SELECT min(n_chars) FROM doc_j)) * 7
-              / ((SELECT max(n_chars) FROM doc_j) - (SELECT min(n_chars) FROM doc_j)))))
+         CAST(CAST(CASE WHEN n_chars IS NOT NULL THEN
+              least(6, greatest(0, floor((n_chars - (SELECT min(n_chars) FROM doc_j)) * 7
+              / ((SELECT max(n_chars) FROM doc_j) - (SELECT min(n_chars) FROM doc_j))))) END
               AS INTEGER) AS VARCHAR) AS nb,
          CAST(quality AS INTEGER) AS y
   FROM doc_j)"""
 
 EV_BINS = """ev_bins AS (
   SELECT event_id AS k,
-         CAST(least(6, greatest(0, floor((value - (SELECT min(value) FROM events)) * 7
-              / ((SELECT max(value) FROM events) - (SELECT min(value) FROM events))))) AS INTEGER) AS f0,
+         CAST(CASE WHEN value IS NOT NULL THEN
+              least(6, greatest(0, floor((value - (SELECT min(value) FROM events)) * 7
+              / ((SELECT max(value) FROM events) - (SELECT min(value) FROM events))))) END
+              AS INTEGER) AS f0,
          CAST(hour(ts) AS INTEGER) AS f1,
          CAST(user_id % 7 AS INTEGER) AS f2,
          event_type AS y
