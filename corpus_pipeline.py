@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from entrotree.llm import mixing, quality
+from entrotree.llm import mixing, quality, simhash
 from entrotree.llm.common import read_table
 from entrotree.runtime import checkpoint_dir
 
@@ -23,6 +23,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.where("kept").select(docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return simhash.keep_one(docs)
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes (0: none)."""
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -30,6 +35,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
     ("source_mix", source_mix),
 ]
 
