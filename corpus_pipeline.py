@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from entrotree.llm import mixing, quality, simhash
+from entrotree.llm import mixing, quality, secrets, simhash
 from entrotree.llm.common import read_table
 from entrotree.runtime import checkpoint_dir
 
@@ -28,6 +28,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.keep_one(docs)
 
 
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, every secret found replaced by a mark."""
+    return secrets.redact(docs)
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes (0: none)."""
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -36,6 +41,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_rules),
     ("near_duplicates", near_duplicates),
+    ("secret_scans", secret_scans),
     ("source_mix", source_mix),
 ]
 

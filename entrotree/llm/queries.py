@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality, simhash
+from . import mixing, quality, secrets, simhash
 from .common import read_table
 
 
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read_table(spark, sf_dir, "labels")
@@ -28,6 +32,7 @@ def op9_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_secret_scans": op2_secret_scans,
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash": op4_simhash,
     "op9_weighted_fair_mix": op9_weighted_fair_mix,
