@@ -104,3 +104,35 @@ def schedule(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_passes: in
                     (F.col("finish") + F.col("pass") * F.col("source_size") / F.col("target")).alias("finish"),
                     F.least(F.col("size"), left).alias("words"))
             .where("words > 0").orderBy("finish", "doc_id"))
+
+
+ORACLE = f"""
+WITH d AS (
+  SELECT doc_id, source,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size
+  FROM documents),
+o AS (
+  SELECT *, CAST(sum(size) OVER (
+              PARTITION BY source ORDER BY md5('{SEED}:' || doc_id || ':' || size), doc_id, size
+              ROWS UNBOUNDED PRECEDING) AS BIGINT) AS done
+  FROM d),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         {list(WEIGHTS)}[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} + 1] AS weight
+  FROM d GROUP BY source),
+c AS (SELECT *, {MAX_PASSES} * source_size AS cap FROM s),
+r AS (
+  SELECT *, row_number() OVER w - 1 AS n,
+         sum(source_size) OVER () AS total,
+         coalesce(sum(cap) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS fixed,
+         sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open
+  FROM c WINDOW w AS (ORDER BY cap / weight, source)),
+l AS (
+  SELECT CAST(total - fixed AS DOUBLE) / open AS level FROM r
+  WHERE (CAST(total - fixed AS DOUBLE) / open) * weight <= cap ORDER BY n LIMIT 1),
+t AS (SELECT source, source_size, least(weight * level, CAST(cap AS DOUBLE)) AS target FROM c, l)
+SELECT doc_id, size, source_size, target,
+       CAST(list_sum([greatest(0, least(size, CAST(round(target) AS BIGINT) - done + size - source_size * p))
+                      FOR p IN range({MAX_PASSES})]) AS BIGINT) AS taken
+FROM o JOIN t ON o.source IS NOT DISTINCT FROM t.source
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality, secrets, simhash
+from . import mixing, quality, secrets, simhash, urls, warc
 from .common import read_table
 
 
@@ -26,6 +26,15 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages, urls.default_rules(pages))
+
+
 def op9_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -35,7 +44,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scans": op2_secret_scans,
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash": op4_simhash,
+    "op5_warc": op5_warc,
+    "op7_url_filters": op7_url_filters,
     "op9_weighted_fair_mix": op9_weighted_fair_mix,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_warc": warc.ORACLE,
+    "op7_url_filters": urls.ORACLE,
+    "op9_weighted_fair_mix": mixing.ORACLE,
+}
