@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from entrotree.llm import mixing, quality, secrets, simhash
+from entrotree.llm import decontaminate, mixing, quality, secrets, simhash
 from entrotree.llm.common import read_table
 from entrotree.runtime import checkpoint_dir
 
@@ -28,6 +28,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.keep_one(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a copy of a benchmark item."""
+    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, every secret found replaced by a mark."""
     return secrets.redact(docs)
@@ -41,6 +46,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_rules),
     ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
     ("secret_scans", secret_scans),
     ("source_mix", source_mix),
 ]

@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality, secrets, simhash, urls, warc
+from . import decontaminate, mixing, quality, secrets, simhash, urls, warc
 from .common import read_table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.contamination(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -41,6 +46,7 @@ def op9_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_secret_scans": op2_secret_scans,
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash": op4_simhash,
