@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, quality, secrets, simhash, urls, warc
+from . import decontaminate, mixing, quality, secrets, simhash, toxicity, urls, warc
 from .common import read_table
 
 
@@ -45,6 +45,11 @@ def op9_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.judge(docs, read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_secret_scans": op2_secret_scans,
@@ -53,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc": op5_warc,
     "op7_url_filters": op7_url_filters,
     "op9_weighted_fair_mix": op9_weighted_fair_mix,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {
