@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, quality, secrets, simhash, toxicity, urls, warc
+from . import decontaminate, language_model, mixing, quality, secrets, simhash, toxicity, urls, warc
 from .common import read_table
 
 
@@ -35,6 +35,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     return urls.judge(pages, urls.default_rules(pages))
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash": op4_simhash,
     "op5_warc": op5_warc,
+    "op6_language_model": op6_language_model,
     "op7_url_filters": op7_url_filters,
     "op9_weighted_fair_mix": op9_weighted_fair_mix,
     "op10_toxicity": op10_toxicity,
