@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language_model, mixing, quality, secrets, simhash, toxicity, urls, warc
+from . import chat, decontaminate, language_model, mixing, quality, secrets, simhash, toxicity, urls, warc
 from .common import read_table
 
 
@@ -44,6 +44,10 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, urls.default_rules(pages))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.read_back(*chat.pack(chat.with_extra(read_table(spark, sf_dir, "conversations"))))
+
+
 def op9_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc": op5_warc,
     "op6_language_model": op6_language_model,
     "op7_url_filters": op7_url_filters,
+    "op8_chat_format": op8_chat_format,
     "op9_weighted_fair_mix": op9_weighted_fair_mix,
     "op10_toxicity": op10_toxicity,
 }
