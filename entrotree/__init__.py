@@ -11,7 +11,6 @@ from entrotree.operators.score import leaf_labels, predict, tree_listing
 from entrotree.operators.validate import (assign_folds, cross_validate, feature_group_error,
                                           keyed_split, random_split, split_frames)
 from entrotree.sources.delimited import read_binned_csv, read_lines_as_fields
-from entrotree.streaming.scoring import running_confusion, running_contingency, score_stream
 
 __version__ = "0.1.0"
 
@@ -20,7 +19,6 @@ __all__ = [
     "compact_rows", "confusion_counts", "confusion_matrix", "contingency", "cross_validate",
     "dataset_entropy", "equal_width_bins", "feature_group_error", "feature_scores", "fit_binary",
     "fit_id3", "keyed_split", "label_metrics", "label_stats", "leaf_labels", "predict",
-    "random_split", "read_binned_csv", "read_lines_as_fields", "running_confusion",
-    "running_contingency", "score_stream", "select_features", "split_frames", "summary",
+    "random_split", "read_binned_csv", "read_lines_as_fields", "select_features", "split_frames", "summary",
     "tree_listing", "unpivot_features", "value_stats", "weighted_scores",
 ]

@@ -2,7 +2,7 @@
 
 from entrotree.functions.exprs import (  # noqa: F401
     NULL_BRANCH,
-    binary_segment,
+    binary_path,
     child_path,
     entropy_from_sums,
     equal_width_bin,

@@ -17,9 +17,13 @@ HASH_MODULUS = 2147483647
 HASH_MULT_1 = 48271
 HASH_MULT_2 = 69621
 
-# Branch label used in node paths for a null feature value.
+# Branch of a null feature value in node paths; no escaped value can equal it.
 NULL_BRANCH = "<null>"
 
+# Characters with a meaning in node paths, escaped inside names and values
+# (the escape character first).
+PATH_ESCAPES = {"%": "%25", "/": "%2F", "=": "%3D", "<": "%3C", ">": "%3E"}
+
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -46,13 +50,17 @@ def entropy_from_sums(total: str | Column, sum_nlogn: str | Column,
 
 
 def equal_width_bin(x: str | Column, lo: float, hi: float, bins: int) -> Column:
-    """Equal-width bin ``0 .. bins-1`` of ``x`` over ``[lo, hi]``."""
-    x = _col(x)
+    """Equal-width bin ``0 .. bins-1`` of ``x`` over ``[lo, hi]``.
+
+    Null and NaN have no bin (null); infinities fall into the outer bins.
+    """
+    x = _col(x).cast("double")
+    known = x.isNotNull() & ~F.isnan(x)
     if hi is None or lo is None or hi <= lo:
-        return F.when(x.isNotNull(), F.lit(0))
-    raw = F.floor((x - F.lit(lo)) * F.lit(bins) / F.lit(hi - lo))
-    # least/greatest skip nulls, so a null value is kept null explicitly.
-    return F.when(x.isNotNull(), F.least(F.lit(bins - 1), F.greatest(F.lit(0), raw))).cast("int")
+        return F.when(known, F.lit(0))
+    lo, width = float(lo), float(hi) - float(lo)
+    raw = F.floor(F.greatest(F.lit(0.0), F.least(F.lit(float(bins)), (x - F.lit(lo)) * F.lit(bins) / F.lit(width))))
+    return F.when(known, F.least(F.lit(bins - 1), raw)).cast("int")
 
 
 def keyed_hash(key: str | Column, seed: int) -> Column:
@@ -60,9 +68,10 @@ def keyed_hash(key: str | Column, seed: int) -> Column:
 
     Any SQL engine can repeat it, and it does not depend on partitioning
     (unlike ``randomSplit``).  Keys are first reduced modulo the prime, so
-    products stay far below 2^63.
+    products stay far below 2^63.  A null key hashes like 0, so that its row
+    is on one side of every split.
     """
-    k = F.pmod(_col(key).cast("long"), F.lit(HASH_MODULUS))
+    k = F.pmod(F.coalesce(_col(key).cast("long"), F.lit(0)), F.lit(HASH_MODULUS))
     u1 = F.pmod(k * F.lit(HASH_MULT_1) + F.lit(int(seed)), F.lit(HASH_MODULUS))
     return F.pmod(u1 * F.lit(HASH_MULT_2), F.lit(HASH_MODULUS))
 
@@ -91,19 +100,35 @@ def pick_feature(features: Sequence[str], index: str | Column,
     return F.element_at(values, _col(index) + 1)
 
 
+def path_part(text: str | Column) -> Column:
+    """A feature name or value as it stands in a node path (injective)."""
+    out = _col(text).cast("string")
+    for c, escaped in PATH_ESCAPES.items():
+        out = F.replace(out, F.lit(c), F.lit(escaped))
+    return out
+
+
 def child_path(parent: str | Column, feature: str | Column,
                value: str | Column) -> Column:
-    """Path of a multiway child: ``parent/feature=value``."""
-    return F.concat(_col(parent), F.lit("/"), _col(feature), F.lit("="),
-                    F.coalesce(_col(value).cast("string"), F.lit(NULL_BRANCH)))
+    """Path of a multiway child: ``parent/feature=value``, both parts escaped."""
+    return F.concat(_col(parent), F.lit("/"), path_part(feature), F.lit("="),
+                    F.coalesce(path_part(value), F.lit(NULL_BRANCH)))
 
 
-def binary_segment(parent: str | Column, feature: str | Column,
-                   value: str | Column, threshold: str | Column) -> Column:
-    """Path of a binary child: ``parent/feature<=t`` or ``parent/feature>t``.
-
-    ``value <= threshold`` goes left; a null value goes right.
-    """
-    side = F.when(_col(value) <= _col(threshold), F.lit("<=")).otherwise(F.lit(">"))
-    return F.concat(_col(parent), F.lit("/"), _col(feature), side,
+def binary_path(parent: str | Column, feature: str | Column, side: str,
+                threshold: str | Column) -> Column:
+    """Path of a binary child: ``parent/feature<=t`` or ``parent/feature>t``."""
+    return F.concat(_col(parent), F.lit("/"), path_part(feature), F.lit(side),
                     _col(threshold).cast("string"))
+
+
+def value_type_of(df, features: Sequence[str]) -> str:
+    """One type that holds all features: int, bigint, double or string."""
+    types = {df.schema[f].dataType.simpleString() for f in features}
+    if types <= {"tinyint", "smallint", "int"}:
+        return "int"
+    if types <= {"tinyint", "smallint", "int", "bigint"}:
+        return "bigint"
+    if types <= {"tinyint", "smallint", "int", "bigint", "float", "double"}:
+        return "double"
+    return "string"

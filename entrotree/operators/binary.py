@@ -3,22 +3,22 @@
 The reference cross-validates a CART-style tree (entropy criterion, depth 3,
 threshold splits).  Here it is grown level by level like the multiway tree:
 
-1. one pass over the (compacted) rows: label-dense counts per
-   ``(keys, node, feature, value)`` -- one column ``c<i>`` per label;
-2. running sums over ``Window.partitionBy(keys, node, feature).orderBy(value)``
-   give, for every candidate threshold (midpoint of two adjacent present
-   values), the label counts on the left; the partition total gives the right;
-3. weighted child entropy per candidate, arg-min per node (tie -> lowest
-   feature position, then lowest threshold);
-4. children's statistics come straight from the winning candidate's left and
-   right counts, so leaves cost no extra pass.
-
-Window partitions hold one row per distinct value of a feature inside a node:
-bounded by the number of bins of a discretised feature (the intended input).
-``value <= threshold`` goes left.  Rows with a null feature or label are
-dropped at the start.  Leaf labels are the majority with ties to the lowest
-label (the scikit-learn classifier the reference uses); pure nodes are not
-split.
+1. one pass over the (compacted) rows: counts per (node, feature, value, label);
+2. for every threshold between two adjacent present values, the label entropy
+   left and right of it from running sums.  With ``f(c) = c log2 c`` a side's
+   entropy is ``log2 n - sum(f(c)) / n``; a row that moves ``n`` rows of one label
+   to the left changes the sums by ``f(l) - f(l - n)`` and ``f(t - l) - f(t - l + n)``.
+   So labels stay rows, however many there are;
+3. arg-min of the weighted entropy per node (tie -> lowest feature position,
+   then lowest threshold);
+4. children's statistics from the same counts, so leaves cost no extra pass.
+
+A feature with very many values is cut into ranges of about equal weight
+(boundaries from approximate percentiles, ``RANGES`` per feature); running sums
+are taken within a range and over the range totals, so no task holds a whole
+feature.  ``value <= threshold`` goes left, null and NaN go right.  Rows with a
+null label are dropped.  Leaf labels are the majority with ties to the lowest
+label (the scikit-learn classifier the reference uses); pure nodes are not split.
 """
 
 from __future__ import annotations
@@ -29,185 +29,151 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from entrotree.functions.exprs import binary_segment
-from entrotree.operators.counts import unpivot_features
-from entrotree.operators.entropy import TIE_DIGITS
+from entrotree.functions.exprs import binary_path, entropy_from_sums, nlog2n
+from entrotree.operators.counts import contingency
+from entrotree.operators.entropy import TIE_DIGITS, label_stats, node_stats
 from entrotree.operators.grow import feature_set_exprs, prepare_rows, route_rows
-from entrotree.runtime import BROADCAST_ROWS, bounded_values, materialize, sized_broadcast
+from entrotree.runtime import materialize
 
-# Largest number of distinct values of one feature inside one node that the
-# threshold scan (a window partition) accepts.
-MAX_WINDOW_VALUES = 100_000
+RANGES = 64
 
 BINARY_TREE_COLUMNS = ["node", "parent", "depth", "parent_feature", "branch_value",
                        "split_feature", "split_index", "threshold", "n", "entropy",
                        "majority", "weighted_entropy", "gain", "is_leaf"]
 
 
-def _dist(cols: Sequence[str], labels: Sequence, tie: str) -> dict[str, Column]:
-    """n, entropy and majority of a label distribution held in count columns.
+def _range_of(data: DataFrame, features: Sequence[str]) -> Column:
+    """Number of the range of ``value`` within ``feature``, ascending in value."""
+    cuts = [i / RANGES for i in range(1, RANGES)]
+    found = data.agg(*[F.percentile_approx(f, cuts).alias(f) for f in features]).first()
+    chosen = [(f, sorted(set(found[f] or []))) for f in features]
+    bounds = F.create_map(*[x for f, b in chosen for x in (
+        F.lit(f), F.array(*map(F.lit, b)).cast("array<double>"))])
+    return F.size(F.filter(F.element_at(bounds, F.col("feature")), lambda b: b < F.col("value")))
 
-    Built once per fit (the expressions only name columns); the arithmetic is
-    one SQL expression each: ``H = log2 N - sum(c log2 c) / N``, exactly 0
-    when only one label is present.
+
+def _running(df: DataFrame, group: Sequence[str], order: str, sums: Sequence[str]) -> DataFrame:
+    """Replace ``sums`` by running sums in ``order`` (which ascends with ``_range``).
+
+    Within a range by a window, before it by the totals of the ranges: a window
+    of at most ``RANGES`` rows.
+    """
+    parts = [*group, "_range"]
+    prior = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = (df.groupBy(*parts).agg(*[F.sum(c).alias(c) for c in sums])
+              .select(*parts, *[F.coalesce(F.sum(c).over(prior), F.lit(0)).alias(f"_b_{c}") for c in sums]))
+    within = Window.partitionBy(*parts).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    rest = [c for c in df.columns if c not in sums]
+    return (df.join(before, parts)
+            .select(*rest, *[(F.sum(c).over(within) + F.col(f"_b_{c}")).alias(c) for c in sums]))
+
+
+def _thresholds(cont: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
+    """Candidate splits: ``keys, feature, split_index, threshold, weighted_entropy``.
+
+    ``cont`` has keys, feature, value, label, n and _range; null values count on
+    the right side of every threshold.
     """
-    n = " + ".join(f"`{c}`" for c in cols)
-    s = " + ".join(f"IF(`{c}` > 0, CAST(`{c}` AS DOUBLE) * log2(`{c}`), 0D)" for c in cols)
-    k = " + ".join(f"IF(`{c}` > 0, 1, 0)" for c in cols)
-    total = f"CAST(({n}) AS DOUBLE)"
-    entropy = f"IF(({k}) <= 1, 0D, greatest(0D, log2({total}) - ({s}) / {total}))"
-    arr = "array(" + ", ".join(f"`{c}`" for c in cols) + ")"
-    if tie == "low":
-        pos = f"array_position({arr}, array_max({arr}))"
-    else:
-        pos = f"size({arr}) - array_position(reverse({arr}), array_max({arr})) + 1"
-    majority = F.element_at(F.array(*[F.lit(v) for v in labels]), F.expr(f"CAST({pos} AS INT)"))
-    return {"n": F.expr(f"CAST(({n}) AS BIGINT)"), "entropy": F.expr(entropy),
-            "majority": majority}
+    group = [*keys, "feature"]
+    totals = cont.groupBy(*group, "label").agg(F.sum("n").alias("t"))
+    node = totals.groupBy(*group).agg(F.sum("t").alias("total"), F.sum(nlog2n("t")).alias("all"))
+    present = cont.where(F.col("value").isNotNull())
+    left = _running(present.withColumn("l", F.col("n")), [*group, "label"], "value", ["l"])
+    r = F.col("t") - F.col("l")
+    change = left.join(totals, [*group, "label"]).select(
+        *group, "_range", "value", "n",
+        (nlog2n("l") - nlog2n(F.col("l") - F.col("n"))).alias("dl"),
+        (nlog2n(r) - nlog2n(r + F.col("n"))).alias("dr"))
+    per_value = change.groupBy(*group, "_range", "value").agg(
+        F.sum("n").alias("n"), F.sum("dl").alias("dl"), F.sum("dr").alias("dr"))
+    # The value that follows: the next in the range, or the first of the next range.
+    within = Window.partitionBy(*group, "_range").orderBy("value")
+    firsts = per_value.groupBy(*group, "_range").agg(F.min("value").alias("_first"))
+    following = firsts.select(*group, "_range", F.lead("_first").over(
+        Window.partitionBy(*group).orderBy("_range")).alias("_after"))
+    summed = _running(per_value, group, "value", ["n", "dl", "dr"])
+    nxt = F.coalesce(F.lead("value").over(within), F.col("_after"))
+    n_left, n_right = F.col("n"), F.col("total") - F.col("n")
+    h_left = entropy_from_sums(n_left, F.col("dl"))
+    h_right = entropy_from_sums(n_right, F.col("all") + F.col("dr"))
+    index = F.array_position(F.array(*[F.lit(f) for f in features]), F.col("feature")) - 1
+    return (summed.join(following, [*group, "_range"]).withColumn("_next", nxt)
+            .where(F.col("_next").isNotNull())
+            .join(node, group)
+            .select(*group, index.cast("int").alias("split_index"),
+                    ((F.col("value") + F.col("_next")) / 2).alias("threshold"),
+                    ((n_left * h_left + n_right * h_right) / F.col("total")).alias("weighted_entropy")))
 
 
 def fit_binary(df: DataFrame, features: Sequence[str], label: str, max_depth: int = 3, *,
-               by: Sequence[str] = (), weight: str | None = None,
-               labels: Sequence | None = None, compact: bool = True, tie: str = "low",
-               feature_sets: Mapping | None = None,
-               max_values: int = MAX_WINDOW_VALUES,
-               broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+               by: Sequence[str] = (), weight: str | None = None, compact: bool = True,
+               tie: str = "low", feature_sets: Mapping | None = None) -> DataFrame:
     """Grow binary entropy trees (one per ``by`` key) with up to ``max_depth`` split levels.
 
     ``feature_sets`` restricts each key's tree to its own features, as in
-    ``fit_id3``.  Features must be discretised: a feature with more than
-    ``max_values`` distinct values at the root is rejected (bin it first with
-    ``operators.prep.equal_width_bins``), since its threshold scan is one
-    window partition.
+    ``fit_id3``.
     """
     if max_depth < 0:
         raise ValueError("max_depth must be >= 0")
-    features = list(features)
-    by = list(by)
+    features, by = list(features), list(by)
     keys = [*by, "node"]
     allowed = first = None
     if feature_sets is not None:
-        allowed, first, uses = feature_set_exprs(feature_sets, by)
-        needed = [~uses(f) | F.col(f).isNotNull() for f in features]
-    else:
-        needed = [F.col(f).isNotNull() for f in features]
-    clean = df.where(reduce(lambda a, b: a & b, needed))
-    data, w = prepare_rows(clean, features, label, by=by, weight=weight,
+        allowed, first, _ = feature_set_exprs(feature_sets, by)
+    numbers = df.withColumns({f: F.nanvl(F.col(f).cast("double"), F.lit(None).cast("double")) for f in features})
+    data, w = prepare_rows(numbers, features, label, by=by, weight=weight,
                            value_type="double", compact=compact)
-    labels = list(labels) if labels is not None else bounded_values(data, "_y")
-    K = len(labels)
-    cnames = [f"c{i}" for i in range(K)]
-    wcol = F.col(w) if w else F.lit(1)
-
-    lnames = [f"l{i}" for i in range(K)]
-    rnames = [f"r{i}" for i in range(K)]
-    node_dist = _dist(cnames, labels, tie)
-    ls, rs = _dist(lnames, labels, tie), _dist(rnames, labels, tie)
-    split_wh = (ls["n"] * ls["entropy"] + rs["n"] * rs["entropy"]) / (ls["n"] + rs["n"])
-    positions = F.array(*[F.lit(f) for f in features])
-    order = F.struct(F.round("weighted_entropy", TIE_DIGITS), F.col("split_index"),
-                     F.col("threshold"))
-    payload = ["feature", "split_index", "threshold", "weighted_entropy", *lnames, *rnames]
-
-    nodes = None
-    levels = []
+    number = _range_of(data, features)
+    payload = ["feature", "split_index", "threshold", "weighted_entropy"]
+    order = F.struct(F.round("weighted_entropy", TIE_DIGITS), F.col("split_index"), F.col("threshold"))
+    none = {"split_feature": "string", "split_index": "int", "threshold": "double",
+            "weighted_entropy": "double", "gain": "double"}
+
+    def side(op: str) -> Column:
+        return F.concat(F.lit(op), F.col("threshold").cast("string"))
+
+    def child(node: Column, feature: Column, value: Column, threshold: Column) -> Column:
+        return F.when(value <= threshold, binary_path(node, feature, "<=", threshold)).otherwise(
+            binary_path(node, feature, ">", threshold))
+
+    nodes, levels = None, []
     for depth in range(max_depth + 1):
         if depth < max_depth or nodes is None:
-            # The one pass over the rows of this level: label-dense counts.
-            long = unpivot_features(data, features, "_y", keys=keys, weight=w, value_type="double")
-            if allowed is not None:
-                long = long.where(allowed)
-            dense = materialize(long.groupBy(*keys, "feature", "value").agg(
-                *[F.sum(F.when(F.col("label") == F.lit(v), wcol).otherwise(F.lit(0)))
-                   .cast("long").alias(c) for v, c in zip(labels, cnames)]))
-            # One exchange by node; the windows and aggregations below are
-            # keyed by supersets of the node key.
-            dense = dense.repartition(*keys)
+            # The one pass over the rows of this level.
+            cont = materialize(contingency(data, features, "_y", keys=keys, weight=w, value_type="double",
+                                           where=allowed).withColumn("_range", number))
         if nodes is None:
-            # Window partitions are (node, feature) groups of distinct values;
-            # the root holds the most, so one check bounds every level.
-            widest = dense.groupBy(*keys, "feature").count().agg(F.max("count")).first()[0]
-            if widest is not None and widest > max_values:
-                raise ValueError(f"a feature has {widest} distinct values (> {max_values}); "
-                                 "discretise it before fitting a binary tree")
-            root = (dense.where(F.col("feature") == (F.lit(features[0]) if first is None else first))
-                         .groupBy(*keys).agg(*[F.sum(c).cast("long").alias(c) for c in cnames]))
-            nodes = root.select(*keys,
-                                F.lit(None).cast("string").alias("parent"),
-                                F.lit(None).cast("string").alias("parent_feature"),
-                                F.lit(None).cast("string").alias("branch_value"),
-                                *cnames, *[v.alias(k) for k, v in node_dist.items()])
+            nodes = node_stats(cont, keys, features[0] if first is None else first, tie=tie).select(
+                *keys, *[F.lit(None).cast("string").alias(c) for c in ("parent", "parent_feature", "branch_value")],
+                "n", "entropy", "majority")
         if depth == max_depth:
-            # Leaves at the depth limit: a projection of the checkpointed
-            # parent level's winning counts (nothing to materialise).
-            levels.append((
-                nodes.select(*keys, "parent", F.lit(depth).alias("depth"), "parent_feature",
-                             "branch_value",
-                             F.lit(None).cast("string").alias("split_feature"),
-                             F.lit(None).cast("int").alias("split_index"),
-                             F.lit(None).cast("double").alias("threshold"),
-                             "n", "entropy", "majority",
-                             F.lit(None).cast("double").alias("weighted_entropy"),
-                             F.lit(None).cast("double").alias("gain"),
-                             F.lit(True).alias("is_leaf"))))
+            levels.append(nodes.select("*", F.lit(depth).alias("depth"), F.lit(True).alias("is_leaf"),
+                                       *[F.lit(None).cast(t).alias(c) for c, t in none.items()]))
             break
-
-        # Every threshold between two adjacent present values: left counts are
-        # running sums in value order, right counts the rest of the partition.
-        win = Window.partitionBy(*keys, "feature").orderBy("value")
-        cum = win.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        full = win.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        cand = (dense.select(
-                    *keys, "feature", "value",
-                    F.lead("value").over(win).alias("_next"),
-                    *[F.sum(c).over(cum).alias(f"l{i}") for i, c in enumerate(cnames)],
-                    *[F.sum(c).over(full).alias(f"t{i}") for i, c in enumerate(cnames)])
-                .where(F.col("_next").isNotNull())
-                .select(*keys, "feature",
-                        ((F.col("value") + F.col("_next")) / 2).alias("threshold"),
-                        (F.array_position(positions, F.col("feature")) - 1).cast("int")
-                        .alias("split_index"),
-                        *lnames, *[(F.col(f"t{i}") - F.col(f"l{i}")).alias(f"r{i}") for i in range(K)])
-                .withColumn("weighted_entropy", split_wh))
-        best = (cand.groupBy(*keys)
-                    .agg(F.min_by(F.struct(*[F.col(c) for c in payload]), order).alias("_b"))
-                    .select(*keys, *[F.col(f"_b.{c}").alias(c) for c in payload]))
-        leaf = F.col("feature").isNull() | (F.col("entropy") <= 0)
-        level = materialize(
-            nodes.join(best, keys, "left")
-                 .select(*keys, "parent", F.lit(depth).alias("depth"), "parent_feature",
-                         "branch_value",
-                         F.col("feature").alias("split_feature"), "split_index", "threshold",
-                         "n", "entropy", "majority", "weighted_entropy",
-                         F.when(~leaf, F.col("entropy") - F.col("weighted_entropy")).alias("gain"),
-                         leaf.alias("is_leaf"), *lnames, *rnames))
-        levels.append(level.select(
-            *keys, "parent", "depth", "parent_feature", "branch_value",
-            *[F.when(~F.col("is_leaf"), F.col(c)).alias(c) for c in
-              ("split_feature", "split_index", "threshold", "weighted_entropy")],
-            "n", "entropy", "majority", "gain", "is_leaf"))
-
-        expand = level.where(~F.col("is_leaf"))
-        n_expand = expand.count()
-        if n_expand == 0:
+        best = (_thresholds(cont, keys, features).groupBy(*keys)
+                .agg(F.min_by(F.struct(*payload), order).alias("_b"))
+                .select(*keys, F.col("_b.feature").alias("split_feature"),
+                        *[F.col(f"_b.{c}").alias(c) for c in payload[1:]]))
+        leaf = F.col("split_feature").isNull() | (F.col("entropy") <= 0)
+        level = nodes.join(best, keys, "left").withColumn("is_leaf", leaf).withColumn(
+            "gain", F.col("entropy") - F.col("weighted_entropy"))
+        level = materialize(level.withColumns(
+            {c: F.when(~F.col("is_leaf"), F.col(c)) for c in none} | {"depth": F.lit(depth)}))
+        levels.append(level)
+        split = level.where(~F.col("is_leaf")).select(*keys, "split_feature", "split_index", "threshold")
+        if split.isEmpty():
             break
-        expand = sized_broadcast(expand, n_expand, broadcast_rows)
-        # Children's statistics are the winning candidate's left/right counts.
-        sides = []
-        for op, names, dist in (("<=", lnames, ls), (">", rnames, rs)):
-            sides.append(expand.select(
-                *by,
-                F.concat(F.col("node"), F.lit("/"), F.col("split_feature"), F.lit(op),
-                         F.col("threshold").cast("string")).alias("node"),
-                F.col("node").alias("parent"),
-                F.col("split_feature").alias("parent_feature"),
-                F.concat(F.lit(op), F.col("threshold").cast("string")).alias("branch_value"),
-                *[F.col(c).alias(cn) for c, cn in zip(names, cnames)],
-                *[v.alias(k) for k, v in dist.items()]))
-        nodes = sides[0].unionByName(sides[1])
-        data = route_rows(
-            data, expand.select(*keys, "split_feature", "split_index", "threshold"), keys, depth,
-            features, "double", binary_segment, extra=["threshold"])
-
-    tree = reduce(lambda a, b: a.unionByName(b), levels)
-    return tree.select(*by, *BINARY_TREE_COLUMNS)
+        # Children's label counts: the split feature's values on either side.
+        sides = (cont.join(split.withColumnRenamed("split_feature", "feature"), [*keys, "feature"])
+                 .select(*by, F.col("node").alias("parent"), F.col("feature").alias("parent_feature"),
+                         F.when(F.col("value") <= F.col("threshold"), side("<=")).otherwise(side(">"))
+                         .alias("branch_value"),
+                         child(F.col("node"), F.col("feature"), F.col("value"), F.col("threshold")).alias("node"),
+                         "label", "n"))
+        own = [*keys, "parent", "parent_feature", "branch_value"]
+        nodes = label_stats(sides, own, tie=tie).select(*own, "n", "entropy", "majority")
+        if depth + 1 < max_depth:
+            data = route_rows(data, split, keys, depth, features, "double", child, extra=["threshold"])
+
+    columns = [*by, *BINARY_TREE_COLUMNS]
+    return reduce(lambda a, b: a.unionByName(b), [x.select(columns) for x in levels])

@@ -16,11 +16,13 @@ to 12 places so that summation-order noise cannot decide a tie.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entrotree.functions.exprs import entropy_from_sums, feature_index, nlog2n
+from entrotree.runtime import materialize
 
 TIE_DIGITS = 12
 
@@ -90,34 +92,20 @@ def feature_scores(cont: DataFrame, features: Sequence[str],
     gain, n_values`` from a contingency table.
 
     ``weighted_entropy = sum(n_v * H_v) / sum(n_v)`` over the feature's values;
-    ``gain = node_entropy - weighted_entropy``.  One chain reads the
-    contingency once: a window gives each label's total inside the node
-    (``n_l``), and one row per (feature, label) carries ``n_l log2 n_l`` into
-    the per-value aggregate, so the node entropy needs no second aggregation
-    over the contingency (which would re-read its source).
+    ``gain = node_entropy - weighted_entropy``.  All sums are partially
+    aggregated before they are shuffled, by (feature, value) and by (feature,
+    label); no task holds a whole feature.  The label totals of a feature give
+    the node entropy, and join one row per feature.
     """
-    per_label = Window.partitionBy(*keys, "feature", "label")
-    # One exchange by (keys, feature) serves the window and both aggregations.
-    c = cont.repartition(*keys, "feature").select(*keys, "feature", "value", "label", "n",
-                    F.sum("n").over(per_label).alias("_nl"),
-                    F.row_number().over(per_label.orderBy("value")).alias("_r"))
-    first = F.col("_r") == 1
-    per_value = (c.groupBy(*keys, "feature", "value")
-                  .agg(F.sum("n").alias("n"), F.sum(nlog2n("n")).alias("_s"),
-                       F.count(F.lit(1)).alias("_k"),
-                       F.sum(F.when(first, nlog2n("_nl")).otherwise(F.lit(0.0))).alias("_sl"),
-                       F.sum(F.when(first, 1).otherwise(0)).alias("_kl"))
-                  .withColumn("entropy", entropy_from_sums("n", "_s", "_k")))
-    fs = (per_value.groupBy(*keys, "feature")
-                   .agg(F.sum("n").cast("long").alias("node_n"),
-                        (F.sum(F.col("n") * F.col("entropy")) / F.sum("n")).alias("weighted_entropy"),
-                        F.count(F.lit(1)).alias("n_values"),
-                        F.sum("_sl").alias("_sl"), F.sum("_kl").alias("_kl")))
-    return (fs.withColumn("node_entropy", entropy_from_sums("node_n", "_sl", "_kl"))
-              .withColumn("feature_index", feature_index("feature", features))
-              .withColumn("gain", F.col("node_entropy") - F.col("weighted_entropy"))
-              .select(*keys, "feature", "feature_index", "node_n", "node_entropy",
-                      "weighted_entropy", "gain", "n_values"))
+    by = [*keys, "feature"]
+    cont = materialize(cont)  # read twice below; its source only once
+    scores = weighted_scores(value_stats(cont, keys), features, keys)
+    node = label_stats(cont, by).select(*by, F.col("entropy").alias("node_entropy"))
+    on = reduce(lambda a, b: a & b, [F.col(f"s.{k}").eqNullSafe(F.col(f"t.{k}")) for k in by])
+    return (scores.alias("s").join(node.alias("t"), on)
+            .select(*[F.col(f"s.{k}").alias(k) for k in by], "feature_index", "node_n", "node_entropy",
+                    "weighted_entropy", (F.col("node_entropy") - F.col("weighted_entropy")).alias("gain"),
+                    "n_values"))
 
 
 def best_feature(fs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -4,15 +4,17 @@ One pass over the data per level: the contingency of *all* nodes of the level
 is one ``groupBy(keys, node, feature, value, label)``; everything after it
 (entropies, scores, the arg-min per node, the child nodes) reads that small
 table.  Rows move to their child node through a join with the level's split
-table (node -> split feature), broadcast only after its row count is checked;
-the root's single split is applied as a projection (no join).
+table (node -> split feature), broadcast only when its bytes are proven few;
+the root's single split is applied as a projection (no join).  No exchange is
+keyed by node alone before a partial aggregate, so the root, which holds every
+row, is spread over its (feature, value, label) groups.
 
 Input rows are first merged into distinct (features, label) rows with a
 weight (``compact=True``), so a level reads the compact table, not the source.
 
 Tree table (one row per node)::
 
-    [by...], node STRING (path "/f7=3/f0=2", root ""), parent STRING,
+    [by...], node STRING (path "/f7=3/f0=2", root ""; parts escaped), parent STRING,
     depth INT, parent_feature STRING, branch_value STRING,
     split_feature STRING, split_index INT, n LONG, entropy DOUBLE,
     majority <label type>, weighted_entropy DOUBLE, gain DOUBLE,
@@ -34,10 +36,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entrotree.functions.exprs import child_path, pick_feature
+from entrotree.functions.exprs import child_path, pick_feature, value_type_of
 from entrotree.operators.counts import compact_rows, contingency
 from entrotree.operators.entropy import best_feature, node_stats, value_stats, weighted_scores
-from entrotree.runtime import BROADCAST_ROWS, materialize, sized_broadcast
+from entrotree.runtime import fits_broadcast, materialize
 
 TREE_COLUMNS = ["node", "parent", "depth", "parent_feature", "branch_value",
                 "split_feature", "split_index", "n", "entropy", "majority",
@@ -90,12 +92,11 @@ def route_rows(data: DataFrame, splits: DataFrame, keys: Sequence[str], depth: i
                child: Callable[..., Column], extra: Sequence[str] = ()) -> DataFrame:
     """Move rows to the child node chosen by their node's split.
 
-    ``splits`` holds ``keys, split_feature, split_index[, extra...]`` (already
-    size-checked and broadcast by the caller); rows of nodes without a split
-    drop out.  ``child(node, feature, value, *extra)`` builds the child path.
-    The root of a single tree has exactly one split, which is read as
-    scalars: the rows are then rewritten by a projection over the split
-    column itself, with no join against a constant node key.
+    ``splits`` holds ``keys, split_feature, split_index[, extra...]``; rows of
+    nodes without a split drop out.  ``child(node, feature, value, *extra)``
+    builds the child path.  The splits are broadcast when proven small (in
+    bytes).  The root of a single tree has exactly one split, which is read as
+    scalars: a projection, with no join against a constant node key.
     """
     cols = ["split_feature", "split_index", *extra]
     if depth == 0 and list(keys) == ["node"]:
@@ -103,6 +104,8 @@ def route_rows(data: DataFrame, splits: DataFrame, keys: Sequence[str], depth: i
         sf = root["split_feature"]
         return data.withColumn("node", child(F.lit(""), F.lit(sf), F.col(sf).cast(value_type),
                                              *[F.lit(root[c]) for c in extra]))
+    if fits_broadcast(splits):
+        splits = F.broadcast(splits)
     value = pick_feature(features, "split_index", cast=value_type)
     return (data.join(splits, list(keys))
                 .withColumn("node", child(F.col("node"), F.col("split_feature"), value,
@@ -111,11 +114,10 @@ def route_rows(data: DataFrame, splits: DataFrame, keys: Sequence[str], depth: i
 
 
 def fit_id3(df: DataFrame, features: Sequence[str], label: str, max_depth: int = 3, *,
-            by: Sequence[str] = (), weight: str | None = None, value_type: str = "int",
+            by: Sequence[str] = (), weight: str | None = None, value_type: str | None = None,
             reuse_features: bool = True, split_pure_nodes: bool = True,
             compact: bool = True, tie: str = "high",
-            feature_sets: Mapping | None = None,
-            broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+            feature_sets: Mapping | None = None) -> DataFrame:
     """Grow a multiway entropy tree; ``by`` grows one independent tree per key.
 
     ``feature_sets`` (with exactly one ``by`` column) maps each key value to
@@ -127,6 +129,7 @@ def fit_id3(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
     features = list(features)
     by = list(by)
     keys = [*by, "node"]
+    value_type = value_type or value_type_of(df, features)
     allowed = first = None
     if feature_sets is not None:
         allowed, first, _ = feature_set_exprs(feature_sets, by)
@@ -139,9 +142,6 @@ def fit_id3(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
         # The one pass over the rows of this level (all nodes at once).
         cont = materialize(contingency(data, features, "_y", keys=keys, weight=w,
                                        value_type=value_type, where=allowed))
-        # One exchange by node over the tiny table; every aggregation below is
-        # keyed by a superset of the node key and needs no further exchange.
-        cont = cont.repartition(*keys)
         vstats = value_stats(cont, keys, tie=tie)
         if nodes is None:
             nodes = node_stats(cont, keys, features[0] if first is None else first,
@@ -173,10 +173,8 @@ def fit_id3(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
             break
 
         expand = level.where(~F.col("is_leaf")).select(*keys, "split_feature", "split_index", "_used")
-        n_expand = expand.count()
-        if n_expand == 0:
+        if expand.isEmpty():
             break
-        expand = sized_broadcast(expand, n_expand, broadcast_rows)
         # Child nodes: the (feature, value) groups of each node's split feature.
         nodes = (vstats.join(expand.withColumnRenamed("split_feature", "feature"), [*keys, "feature"])
                  .select(*by,

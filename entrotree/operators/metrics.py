@@ -11,12 +11,13 @@ actual or predicted.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entrotree.operators.counts import count_expr
-from entrotree.runtime import MAX_LABELS, bounded_values, materialize
+from entrotree.runtime import materialize
 
 
 def confusion_counts(scored: DataFrame, actual: str, predicted: str = "prediction", *,
@@ -27,26 +28,23 @@ def confusion_counts(scored: DataFrame, actual: str, predicted: str = "predictio
                   .agg(count_expr(weight).alias("n")))
 
 
-def confusion_matrix(conf: DataFrame, *, by: Sequence[str] = (),
-                     labels: Sequence | None = None) -> DataFrame:
-    """All label x label cells (M1); absent cells are 0.
+def confusion_matrix(conf: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
+    """All label x label cells (M1) of the labels that occur; absent cells are 0.
 
-    The label list is given or read from the cells (at most ``MAX_LABELS``);
-    the grid is built per ``by`` key from that literal list.
+    A null label is a label of its own, as in the other metrics.
     """
-    if labels is None:
-        # The cells are read twice (label list, grid): compute them once.
-        conf = materialize(conf)
-        both = conf.select(F.col("actual").alias("l")).unionByName(
-            conf.select(F.col("predicted").alias("l")))
-        labels = bounded_values(both, "l", MAX_LABELS)
-    lab = F.array(*[F.lit(v) for v in labels])
-    keys = conf.groupBy(*by).agg(F.count(F.lit(1)).alias("_c")).drop("_c")
-    grid = (keys.select(*by, F.explode(lab).alias("actual"))
-                .select(*by, "actual", F.explode(lab).alias("predicted")))
-    return (grid.join(conf, [*by, "actual", "predicted"], "left")
-                .select(*by, "actual", "predicted",
-                        F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n")))
+    cells = materialize(conf)  # read twice below: labels and cells
+    labels = (cells.select(*by, F.explode(F.array(F.struct(F.col("actual").alias("l")),
+                                                  F.struct(F.col("predicted").alias("l")))).alias("l"))
+                   .groupBy(*by).agg(F.collect_set("l").alias("ls")))
+    grid = (labels.select(*by, "ls", F.explode("ls").alias("a"))
+                  .select(*by, F.col("a.l").alias("actual"), F.explode("ls").alias("p"))
+                  .select(*by, "actual", F.col("p.l").alias("predicted")))
+    keys = [*by, "actual", "predicted"]
+    on = reduce(lambda x, y: x & y, [F.col(f"g.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys])
+    return (grid.alias("g").join(cells.alias("c"), on, "left")
+                .select(*[F.col(f"g.{k}").alias(k) for k in keys],
+                        F.coalesce(F.col("c.n"), F.lit(0)).cast("long").alias("n")))
 
 
 def label_metrics(conf: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
@@ -83,7 +81,7 @@ def summary(conf: DataFrame, *, by: Sequence[str] = (), positive=1) -> DataFrame
     A single aggregation over the per-label table.
     """
     per = label_metrics(conf, by=by)
-    is_pos = F.col("label") == F.lit(positive)
+    is_pos = F.col("label").cast("string") == F.lit(str(positive))  # in the label's own type
     agg = per.groupBy(*by).agg(
         F.sum("n_actual").cast("long").alias("n"),
         F.sum("tp").cast("long").alias("correct"),

@@ -18,7 +18,10 @@ def column_bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple]:
     """
     aggs = []
     for c in columns:
-        aggs += [F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}")]
+        x = F.col(c)
+        if dict(df.dtypes)[c] in ("double", "float"):  # bounds over finite values
+            x = F.when(F.abs(x) < F.lit(float("inf")), x)
+        aggs += [F.min(x).alias(f"lo_{c}"), F.max(x).alias(f"hi_{c}")]
     row = df.agg(*aggs).first()
     return {c: (row[f"lo_{c}"], row[f"hi_{c}"]) for c in columns}
 
@@ -30,7 +33,8 @@ def equal_width_bins(df: DataFrame, columns: Sequence[str], bins: int = 7, *,
 
     Bin of ``x`` is ``least(bins-1, floor((x - lo) * bins / (hi - lo)))`` with
     ``lo``/``hi`` the column's min/max (or ``bounds`` given, e.g. the training
-    bounds when binning new data).  Nulls stay null.
+    bounds when binning new data).  Nulls stay null and NaN becomes null;
+    infinities fall into the outer bins.
     """
     if bins < 1:
         raise ValueError("bins must be >= 1")

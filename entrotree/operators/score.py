@@ -1,103 +1,92 @@
 """Scoring with a tree table (T8, T9), leaf labels (T6) and the listing (T7).
 
-``predict`` walks every row down the tree with two equi-joins per level
-(node -> split; candidate child -> exists), both against small per-depth
-slices of the tree table that are broadcast after a size check (a single
-tree's root split is applied as a projection instead); rows never
-leave their partition, so scoring is a narrow, map-only plan (it also works on
-a stream, since stream-static joins are supported).  A row whose branch value
-was never seen in training stays at the deepest node it reached and gets that
-node's majority label (T9).
+``predict`` walks every row down the tree with one equi-join per level: (node
+id, branch) of the row meets the edge table, which returns the child's id, its
+label and its split.  The edges are broadcast when they are proven small (in
+bytes), and joined by a plain join otherwise, where the branch value spreads
+the rows of a node.  A row whose branch was never seen in training stays at the
+deepest node it reached and gets that node's majority label (T9).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from entrotree.functions.exprs import NULL_BRANCH, binary_segment, child_path, pick_feature
-from entrotree.runtime import BROADCAST_ROWS, sized_broadcast
+from entrotree.functions.exprs import NULL_BRANCH, pick_feature, value_type_of
+from entrotree.runtime import BROADCAST_BYTES, global_sum, materialize, value_bytes
 
 
-def _tree_outline(tree: DataFrame, split_cols: list) -> tuple[dict, object]:
-    """Node counts per (depth, is_leaf) and the first root split, in one job.
-
-    The counts size the broadcasts; the root split (one row for a single
-    tree) lets the first level route rows without a join.
-    """
-    root = F.when((F.col("depth") == 0) & ~F.col("is_leaf"), F.struct(*split_cols))
-    rows = (tree.groupBy("depth", "is_leaf")
-                .agg(F.count(F.lit(1)).alias("count"), F.first(root, ignorenulls=True).alias("root"))
-                .collect())
-    sizes = {(r["depth"], r["is_leaf"]): r["count"] for r in rows}
-    roots = [r["root"] for r in rows if r["root"] is not None]
-    return sizes, (roots[0] if roots else None)
+def _edges(tree: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row per node: ids of parent and node, branch, label and split; roots have no parent id."""
+    nodes = materialize(tree.withColumn("_id", F.monotonically_increasing_id()))
+    split = [F.when(~F.col("is_leaf"), F.col(c)).alias(a) for c, a in
+             (("split_index", "_si"), ("threshold", "_thr")) if c in tree.columns]
+    child = nodes.select(*by, "parent", "node", "depth", F.col("_id").alias("_child"),
+                         F.col("branch_value").alias("_branch"), F.col("majority").alias("_label"), *split)
+    parent = nodes.select(*by, F.col("node").alias("parent"), F.col("_id").alias("_parent"))
+    return materialize(child.join(parent, [*by, "parent"], "left"))
 
 
 def predict(df: DataFrame, tree: DataFrame, features: Sequence[str], *,
-            by: Sequence[str] = (), value_type: str = "int",
+            by: Sequence[str] = (), value_type: str | None = None,
             out: str = "prediction", node_out: str | None = None,
-            broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+            broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Add ``out`` (the predicted label) and optionally ``node_out`` (leaf path).
 
     ``by`` keys select one tree per row (e.g. the fold model).  Works for the
     multiway and the binary tree tables (a ``threshold`` column marks binary
-    splits).
+    splits).  One row comes out for each that goes in.
     """
-    by = list(by)
-    features = list(features)
+    by, features = list(by), list(features)
     binary = "threshold" in tree.columns
-    split_cols = [F.col("node").alias("_node"), F.col("split_feature").alias("_sf"),
-                  F.col("split_index").alias("_si")]
-    if binary:
-        split_cols.append(F.col("threshold").alias("_thr"))
-    sizes, root = _tree_outline(tree, split_cols)
-    if not sizes:
+    value_type = value_type or ("double" if binary else value_type_of(df, features))
+    edges = _edges(tree, by)
+    size = edges.agg(F.max("depth").alias("depth"), value_bytes(edges).alias("bytes")).first()
+    if size["depth"] is None:
         raise ValueError("empty tree")
-    max_depth = max(d for d, _ in sizes)
-
-    rows = df.withColumn("_node", F.lit(""))
-    for d in range(max_depth):
-        n_split = sizes.get((d, False), 0)
-        if n_split == 0:
-            break
-        splits = tree.where((F.col("depth") == d) & ~F.col("is_leaf")).select(*by, *split_cols)
-        n_child = sizes.get((d + 1, False), 0) + sizes.get((d + 1, True), 0)
-        children = (tree.where(F.col("depth") == d + 1)
-                        .select(*by, F.col("node").alias("_cand"), F.lit(True).alias("_hit")))
-        if binary:
-            value = pick_feature(features, "_si", cast="double")
-            cand = binary_segment("_node", "_sf", value, "_thr")
+    small = F.broadcast if size["bytes"] <= broadcast_bytes else (lambda side: side)
+    state = ["_id", "_pred", "_si", *(["_thr"] if binary else [])]
+    found = [F.col("_child").alias("_c_id"), F.col("_label").alias("_c_pred"),
+             *[F.col(c).alias(f"_c{c}") for c in state[2:]]]
+    roots = edges.where("depth = 0")
+    if by:
+        rows = df.join(small(roots.select(*by, *[F.col(c).alias(a) for c, a in zip(
+            ["_child", "_label", *state[2:]], state, strict=True)])), by, "left")
+    else:
+        root = roots.first()
+        label_type = edges.schema["_label"].dataType
+        rows = df.select("*", F.lit(root["_child"]).alias("_id"), F.lit(root["_label"]).cast(label_type).alias("_pred"),
+                         F.lit(root["_si"]).cast("int").alias("_si"),
+                         *([F.lit(root["_thr"]).cast("double").alias("_thr")] if binary else []))
+    for depth in range(1, size["depth"] + 1):
+        if depth == 1 and not by:  # one split for all rows: the feature's own column
+            value = F.col(features[root["_si"]]).cast(value_type)
         else:
-            cand = child_path("_node", "_sf", pick_feature(features, "_si", cast=value_type))
-        if d == 0 and not by:
-            # A single tree has one root split: read it as scalars and build
-            # the child path from that feature's column, instead of joining
-            # every row on the constant root key.
-            sf = root["_sf"]
-            if binary:
-                first = binary_segment(F.lit(""), F.lit(sf), F.col(sf).cast("double"),
-                                       F.lit(root["_thr"]))
-            else:
-                first = child_path(F.lit(""), F.lit(sf), F.col(sf).cast(value_type))
-            looked_up = rows.withColumn("_cand", first)
+            value = pick_feature(features, "_si", cast=value_type)
+        if binary:
+            branch = F.concat(F.when(value <= F.col("_thr"), F.lit("<=")).otherwise(F.lit(">")),
+                              F.col("_thr").cast("string"))
         else:
-            looked_up = (rows.join(sized_broadcast(splits, n_split, broadcast_rows),
-                                   [*by, "_node"], "left")
-                             .withColumn("_cand", F.when(F.col("_sf").isNotNull(), cand))
-                             .drop("_sf", "_si", "_thr"))
-        rows = (looked_up
-                    .join(sized_broadcast(children, n_child, broadcast_rows), [*by, "_cand"], "left")
-                    .withColumn("_node", F.when(F.col("_hit"), F.col("_cand")).otherwise(F.col("_node")))
-                    .drop("_cand", "_hit"))
-    n_nodes = sum(sizes.values())
-    labels = tree.select(*by, F.col("node").alias("_node"), F.col("majority").alias(out))
-    rows = rows.join(sized_broadcast(labels, n_nodes, broadcast_rows), [*by, "_node"], "left")
+            branch = value.cast("string")
+        # Rows that have stopped look for no parent.
+        looked = rows.withColumn("_at", F.when(F.col("_si").isNotNull(), F.col("_id"))).withColumn("_to", branch)
+        level = edges.where(F.col("depth") == depth).select(
+            *[F.col(k).alias(f"_k_{k}") for k in by], "_parent", "_branch", *found)
+        on = [F.col("_at") == F.col("_parent"), F.col("_to").eqNullSafe(F.col("_branch")),
+              *[F.col(k) == F.col(f"_k_{k}") for k in by]]
+        hit = F.col("_c_id").isNotNull()
+        moved = [F.when(hit, F.col(f"_c{c}")).otherwise(F.col(c) if c in ("_id", "_pred") else F.lit(None)).alias(c)
+                 for c in state]
+        rows = looked.join(small(level), reduce(lambda a, b: a & b, on), "left").select(*df.columns, *moved)
     if node_out:
-        return rows.withColumnRenamed("_node", node_out)
-    return rows.drop("_node")
+        names = edges.select(F.col("_child").alias("_id"), F.col("node").alias(node_out))
+        rows = rows.join(small(names), "_id", "left")
+        return rows.select(*df.columns, node_out, F.col("_pred").alias(out))
+    return rows.select(*df.columns, F.col("_pred").alias(out))
 
 
 def leaf_labels(tree: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -105,13 +94,15 @@ def leaf_labels(tree: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return tree.where(F.col("is_leaf")).select(*by, "node", "depth", "n", "majority")
 
 
-def tree_listing(tree: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """One text line per node, indented by depth, in depth-first order (T7).
+def tree_listing(tree: DataFrame, by: Sequence[str] = (), numeric: bool = False) -> DataFrame:
+    """One text line per node, indented by depth, and its number ``line_no`` in
+    depth-first order (T7).
 
-    ``line`` reads e.g. ``"    f0=2: best f1, predict 0"``; order rows by
-    ``node`` (the path) to print the tree.
+    ``line`` reads e.g. ``"    f0=2: best f1, predict 0"``.  Siblings are ordered
+    by branch value -- by number if ``numeric`` -- null first.
     """
-    sep = F.lit("") if "threshold" in tree.columns else F.lit("=")  # binary: "f2<=4.5"
+    binary = "threshold" in tree.columns
+    sep = F.lit("") if binary else F.lit("=")  # binary: "f2<=4.5"
     branch = F.when(F.col("parent_feature").isNotNull(),
                     F.concat(F.col("parent_feature"), sep,
                              F.coalesce(F.col("branch_value"), F.lit(NULL_BRANCH)), F.lit(": "))
@@ -122,4 +113,20 @@ def tree_listing(tree: DataFrame, by: Sequence[str] = ()) -> DataFrame:
                            F.lit("predict "), F.col("majority").cast("string"))
                   ).otherwise(F.concat(F.lit("split on "), F.col("split_feature")))
     line = F.concat(F.repeat(F.lit("  "), F.col("depth")), branch, what)
-    return tree.select(*by, "node", "depth", line.alias("line"))
+    nodes = materialize(tree.select(*by, "node", "parent", "depth", "branch_value", line.alias("line")))
+    # Rank among siblings, then the list of ranks from the root orders depth-first.
+    value = F.col("branch_value")
+    key = value.try_cast("double") if numeric else value
+    sibling = F.row_number().over(Window.partitionBy(*by, "parent").orderBy(key.asc_nulls_first(), value))
+    ranked = nodes.withColumn("_rank", sibling)
+    deepest = nodes.agg(F.max("depth")).first()[0]
+    level = ranked.where("depth = 0").withColumn("_path", F.array("_rank"))
+    levels = [level]
+    for depth in range(1, (deepest or 0) + 1):
+        above = level.select(*by, F.col("node").alias("parent"), F.col("_path").alias("_above"))
+        level = (ranked.where(F.col("depth") == depth).join(above, [*by, "parent"])
+                 .withColumn("_path", F.concat("_above", F.array("_rank"))).drop("_above"))
+        levels.append(level.select(levels[0].columns))
+    listed = reduce(lambda a, b: a.unionByName(b), levels)
+    order = [*[F.col(k) for k in by], F.col("_path")]
+    return global_sum(listed, F.lit(1), *order, name="line_no").select(*by, "line_no", "node", "depth", "line")

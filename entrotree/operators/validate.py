@@ -2,8 +2,9 @@
 
 Splits and folds are columns computed from a keyed hash of a row key, so they
 need no sort, no shuffle, and give the same rows under any partitioning and
-in any SQL engine.  ``random_split`` keeps Spark's ``randomSplit`` for the
-reference's literal form (its rows depend on the partitioning).
+in any SQL engine; a null key counts as 0.  ``random_split`` keeps Spark's
+``randomSplit`` for the reference's literal form (its rows depend on the
+partitioning).
 
 Cross-validation grows all k fold models in the same level jobs: rows are
 compacted by (features, label, fold), then each compact row is replicated to
@@ -24,7 +25,7 @@ from entrotree.operators.counts import compact_rows
 from entrotree.operators.grow import fit_id3
 from entrotree.operators.metrics import confusion_counts, label_metrics, summary
 from entrotree.operators.score import predict
-from entrotree.runtime import bounded_values, materialize
+from entrotree.runtime import materialize
 
 
 def keyed_split(df: DataFrame, key: str, *, seed: int = 200, train_percent: int = 80,
@@ -42,8 +43,12 @@ def split_frames(df: DataFrame, key: str, *, seed: int = 200,
 
 def random_split(df: DataFrame, weights: Sequence[float] = (0.8, 0.2),
                  seed: int = 200) -> list[DataFrame]:
-    """Spark's seeded ``randomSplit`` (depends on the input partitioning)."""
-    return df.randomSplit(list(weights), seed=seed)
+    """Spark's seeded ``randomSplit`` of a fixed copy of ``df``.
+
+    ``randomSplit`` samples each side by its own pass, so a source that is read
+    in another order gives sides that overlap; the copy makes them a partition.
+    """
+    return materialize(df).randomSplit(list(weights), seed=seed)
 
 
 def assign_folds(df: DataFrame, key: str, *, k: int = 5, seed: int = 200,
@@ -60,37 +65,36 @@ def _fit(kind: str, df: DataFrame, features, label, max_depth, **kw) -> DataFram
     raise ValueError("kind must be 'binary' or 'id3'")
 
 
-def _value_type(kind: str) -> str:
-    return "double" if kind == "binary" else "int"
-
-
 def cross_validate(df: DataFrame, features: Sequence[str], label: str, key: str, *,
                    k: int = 5, seed: int = 200, holdout_percent: int = 30,
-                   max_depth: int = 3, kind: str = "binary",
-                   holdout: bool = True) -> dict[str, DataFrame]:
+                   max_depth: int = 3, kind: str = "binary", positive=1,
+                   compact: bool = True, holdout: bool = True) -> dict[str, DataFrame]:
     """k-fold cross-validation on the keyed train part, then the hold-out check.
 
-    Returns DataFrames: ``trees`` (all fold models, key ``model``),
-    ``fold_metrics`` (V6), ``mean`` (A12), ``best`` (V7) and, with ``holdout``,
-    ``holdout_confusion``, ``holdout_labels`` and ``holdout_summary`` (V8).
+    Features may be numbers or nominal (``kind="id3"``), labels of any type;
+    ``positive`` is the label of the summary's precision and recall.  Rows with
+    a null label are left out.  Returns DataFrames: ``trees`` (all fold models,
+    key ``model``), ``fold_metrics`` (V6), ``mean`` (A12), ``best`` (V7) and, with
+    ``holdout``, ``holdout_confusion``, ``holdout_labels`` and ``holdout_summary``
+    (V8).  The source is read once; ``compact=False`` keeps its rows as they are
+    where merging would not make them fewer.
     """
     features = list(features)
-    flag = keyed_train_flag(key, seed, 100 - holdout_percent)
-    base = df.select(key, *features, F.col(label).alias("_y")).where(F.col("_y").isNotNull())
-    train = base.where(flag).withColumn("fold", keyed_fold(key, seed, k))
-    test = base.where(~flag)
-
-    compact = materialize(compact_rows(train, [*features, "_y", "fold"], out="w"))
+    part = F.when(keyed_train_flag(key, seed, 100 - holdout_percent), keyed_fold(key, seed, k)).otherwise(F.lit(-1))
+    rows = (df.select(*features, F.col(label).alias("_y"), part.alias("fold"), F.lit(1).alias("w"))
+              .where(F.col("_y").isNotNull()))
+    if compact:
+        rows = compact_rows(rows, [*features, "_y", "fold"], out="w")
+    rows = materialize(rows)
+    train, test = rows.where("fold >= 0"), rows.where("fold < 0").drop("fold")
     models = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda m: m != F.col("fold"))
-    replicated = compact.withColumn("model", F.explode(models))
-    # Already compact: each level reads the checkpointed table and replicates
-    # it on the fly (a narrow explode feeding the partial aggregate).
-    extra = {"labels": bounded_values(compact, "_y")} if kind == "binary" else {}
-    trees = _fit(kind, replicated, features, "_y", max_depth, by=["model"], weight="w",
-                 compact=False, **extra)
-
-    held = compact.withColumn("model", F.col("fold"))
-    scored = predict(held, trees, features, by=["model"], value_type=_value_type(kind))
+    # Each level reads the one table and replicates it on the fly (a narrow
+    # explode feeding the partial aggregate).
+    trees = _fit(kind, train.withColumn("model", F.explode(models)), features, "_y", max_depth,
+                 by=["model"], weight="w", compact=False)
+
+    held = train.withColumn("model", F.col("fold"))
+    scored = predict(held, trees, features, by=["model"])
     # k x K x K cells: materialised once, read by the fold table, mean and best.
     conf = materialize(confusion_counts(scored, "_y", by=["model"], weight="w"))
     fold_metrics = summary(conf, by=["model"]).select(
@@ -107,44 +111,44 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, key: str,
         return out
     best_model = best.first()["model"]  # one scalar chooses the model
     best_tree = trees.where(F.col("model") == best_model).drop("model")
-    test_scored = predict(test, best_tree, features, value_type=_value_type(kind))
-    hconf = confusion_counts(test_scored, "_y")
+    test_scored = predict(test, best_tree, features)
+    hconf = materialize(confusion_counts(test_scored, "_y", weight="w"))
     return {**out,
             "holdout_confusion": hconf,
             "holdout_labels": label_metrics(hconf),
-            "holdout_summary": summary(hconf)}
+            "holdout_summary": summary(hconf, positive=positive)}
 
 
 def feature_group_error(df: DataFrame, groups: Mapping[str, Sequence[str]], label: str,
                         key: str, *, seed: int = 200, train_percent: int = 70,
-                        max_depth: int = 3, kind: str = "id3") -> DataFrame:
+                        max_depth: int = 3, kind: str = "id3",
+                        compact: bool = True) -> DataFrame:
     """Test error per feature group (P3): ``group, n, error_rate``.
 
-    All groups grow in the same level jobs: rows are replicated once per
-    group with the features outside the group set to null (so compaction
-    merges them), ``group`` is part of the node key, and each tree may only
-    split on its own group's features.  Held-out rows are scored by their
-    group's tree.
+    The source is read once: rows are merged by (features, label, side), then
+    replicated once per group with the features outside the group set to null.
+    ``group`` is part of the node key, all groups grow in the same level jobs,
+    and each tree may only split on its own group's features.  Held-out rows
+    are scored by their group's tree.  Rows with a null label are left out.
     """
     names = list(groups)
     all_features = list(dict.fromkeys(f for fs in groups.values() for f in fs))
     sets = F.create_map(*[x for n in names
                           for x in (F.lit(n), F.array(*[F.lit(f) for f in groups[n]]))])
-    flag = keyed_train_flag(key, seed, train_percent)
-    base = df.select(key, *all_features, F.col(label).alias("_y")).where(F.col("_y").isNotNull())
-
-    def per_group(rows: DataFrame) -> DataFrame:
-        rep = rows.select(F.explode(F.array(*[F.lit(n) for n in names])).alias("group"),
-                          *all_features, "_y")
-        mine = F.element_at(sets, F.col("group"))
-        return rep.select("group", *[F.when(F.array_contains(mine, F.lit(f)), F.col(f)).alias(f)
-                                     for f in all_features], "_y")
-
-    train = per_group(base.where(flag))
-    test = materialize(compact_rows(per_group(base.where(~flag)),
-                                    ["group", *all_features, "_y"], out="w"))
-    trees = _fit(kind, train, all_features, "_y", max_depth, by=["group"],
-                 feature_sets=groups)
-    scored = predict(test, trees, all_features, by=["group"], value_type=_value_type(kind))
+    rows = df.select(*all_features, F.col(label).alias("_y"),
+                     keyed_train_flag(key, seed, train_percent).alias("_train"),
+                     F.lit(1).alias("w")).where(F.col("_y").isNotNull())
+    if compact:
+        rows = compact_rows(rows, [*all_features, "_y", "_train"], out="w")
+    rep = rows.withColumn("group", F.explode(F.array(*[F.lit(n) for n in names])))
+    mine = F.element_at(sets, F.col("group"))
+    rep = rep.select("group", *[F.when(F.array_contains(mine, F.lit(f)), F.col(f)).alias(f)
+                                for f in all_features], "_y", "_train", "w")
+    # Outside its features a group's rows are alike: merged again, now per group.
+    rep = materialize(compact_rows(rep, ["group", *all_features, "_y", "_train"], weight="w", out="w")
+                      if compact else rep)
+    trees = _fit(kind, rep.where("_train"), all_features, "_y", max_depth, by=["group"], weight="w",
+                 compact=False, feature_sets=groups)
+    scored = predict(rep.where("not _train"), trees, all_features, by=["group"])
     conf = confusion_counts(scored, "_y", by=["group"], weight="w")
     return summary(conf, by=["group"]).select("group", "n", "error_rate")

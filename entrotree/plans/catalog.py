@@ -22,8 +22,9 @@ from entrotree.operators.prep import bin_occupancy, equal_width_bins
 from entrotree.operators.score import leaf_labels, predict, tree_listing
 from entrotree.operators.validate import (assign_folds, cross_validate, feature_group_error,
                                           keyed_split, random_split, split_frames)
-from entrotree.sources.fixtures import (DOC_FEATURES, EV_FEATURES, LI_FEATURES, doc_bins,
-                                        ev_bins, li_bins)
+from entrotree.sources.delimited import split_fields
+from entrotree.sources.fixtures import (DOC_FEATURES, EV_FEATURES, LI_FEATURES, URL_FEATURES, doc_bins,
+                                        ev_bins, li_bins, url_parts)
 from entrotree.runtime import materialize
 from entrotree.sources.tables import read_table
 
@@ -202,11 +203,7 @@ def level3_features(spark, sf):
 
 
 def id3_tree(spark, sf):
-    tree = _li_tree(spark, sf)
-    return tree.select("node", "parent", "depth", "parent_feature", "branch_value",
-                       "split_feature", "n", r6("entropy").alias("entropy"), "majority",
-                       r6("weighted_entropy").alias("weighted_entropy"),
-                       r6("gain").alias("gain"), "is_leaf")
+    return _tree_cols(_li_tree(spark, sf))
 
 
 def id3_tree_docs(spark, sf):
@@ -216,7 +213,7 @@ def id3_tree_docs(spark, sf):
 
 
 def tree_listing_q(spark, sf):
-    return tree_listing(_li_tree(spark, sf))
+    return tree_listing(_li_tree(spark, sf), numeric=True)
 
 
 def leaf_labels_q(spark, sf):
@@ -236,7 +233,41 @@ def _holdout_scored(spark, sf):
 
 
 def score_unseen(spark, sf):
-    return _holdout_scored(spark, sf).select("k", "y", "node", "prediction")
+    """A tree grown on a part of the values; the others stop at depth 0 or 1."""
+    df = li_bins(spark, sf)
+    tree = fit_id3(df.where("f2 <= 3 AND f0 <= 4"), LI_FEATURES, "y", DEPTH)
+    return predict(df, tree, LI_FEATURES, node_out="node").select("k", "y", "node", "prediction")
+
+
+def _tree_cols(tree):
+    return tree.select("node", "parent", "depth", "parent_feature", "branch_value",
+                       "split_feature", "n", r6("entropy").alias("entropy"), "majority",
+                       r6("weighted_entropy").alias("weighted_entropy"),
+                       r6("gain").alias("gain"), "is_leaf")
+
+
+def id3_tree_no_reuse(spark, sf):
+    return _tree_cols(fit_id3(li_bins(spark, sf), LI_FEATURES, "y", DEPTH, reuse_features=False))
+
+
+def id3_tree_stop_pure(spark, sf):
+    return _tree_cols(fit_id3(li_bins(spark, sf), LI_FEATURES, "y", DEPTH, split_pure_nodes=False))
+
+
+def _url_tree(spark, sf):
+    df = url_parts(spark, sf)
+    return df, fit_id3(df, URL_FEATURES, "y", 2)
+
+
+def id3_tree_paths(spark, sf):
+    """Nominal values that hold the characters of node paths."""
+    return _url_tree(spark, sf)[1].select("node", "depth", "split_feature", "n",
+                                          r6("entropy").alias("entropy"), "majority", "is_leaf")
+
+
+def score_paths(spark, sf):
+    df, tree = _url_tree(spark, sf)
+    return predict(df, tree, URL_FEATURES, node_out="node").select("k", "y", "node", "prediction")
 
 
 def _holdout_conf(spark, sf):
@@ -300,6 +331,23 @@ def random_split_sizes(spark, sf):
             .unionByName(test.agg(F.count(F.lit(1)).alias("n")).select(F.lit("test").alias("side"), "n")))
 
 
+def random_split_partition(spark, sf):
+    """The sides of ``randomSplit`` hold every row once."""
+    li = read_table(spark, sf, "lineitem").select("l_orderkey")
+    train, test = random_split(li.withColumn("row", F.monotonically_increasing_id()), (0.8, 0.2), seed=SEED)
+    sides = train.select("row", F.lit(1).alias("s")).unionAll(test.select("row", F.lit(1).alias("s")))
+    per_row = sides.groupBy("row").agg(F.sum("s").alias("s"))
+    return per_row.agg(F.count("*").alias("n"), F.sum("s").cast("long").alias("n_sides"),
+                       F.sum((F.col("s") > 1).cast("long")).alias("n_both"))
+
+
+def text_fields(spark, sf):
+    """Lines of text, split on a character that regular expressions give a meaning."""
+    li = read_table(spark, sf, "lineitem")
+    line = F.concat_ws("|", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey")])
+    return li.select(line.alias("line")).select(*split_fields(F.col("line"), ["a", "b", "c"], sep="|"))
+
+
 def binary_root_split(spark, sf):
     tree = fit_binary(li_bins(spark, sf), LI_FEATURES, "y", 1)
     return tree.where(F.col("depth") == 0).select(
@@ -314,6 +362,53 @@ def binary_tree(spark, sf):
                        r6("weighted_entropy").alias("weighted_entropy"), "is_leaf")
 
 
+def _binary_cols(tree):
+    return tree.select("depth", "split_feature", r6("threshold").alias("threshold"), "n",
+                       r6("entropy").alias("entropy"), "majority",
+                       r6("weighted_entropy").alias("weighted_entropy"), "is_leaf")
+
+
+def binary_tree_wide(spark, sf):
+    """A feature with about as many values as rows."""
+    li = read_table(spark, sf, "lineitem")
+    y = F.when((F.col("l_extendedprice") > 40000) | (F.col("l_linenumber") == 2), 1).otherwise(0)
+    df = li.select(F.col("l_extendedprice").alias("price"),
+                   F.least(F.lit(6), F.floor(F.col("l_tax") * 7 / 0.08)).alias("f2"), y.alias("y"))
+    return _binary_cols(fit_binary(df, ["price", "f2"], "y", 2))
+
+
+def binary_tree_nulls(spark, sf):
+    """A feature that is null in a part of the rows."""
+    df = li_bins(spark, sf).withColumn("f0", F.when(F.col("f3") % 3 != 1, F.col("f0")))
+    return _binary_cols(fit_binary(df, LI_FEATURES, "y", 2))
+
+
+def weighted_entropy_wide(spark, sf):
+    li = read_table(spark, sf, "lineitem").select(
+        F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supp"),
+        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("y"))
+    return _wh(_scores(li, ["part", "supp"], "bigint"))
+
+
+def cv_fold_metrics_docs(spark, sf):
+    fm = cross_validate(doc_bins(spark, sf), DOC_FEATURES, "y", "k", k=5, seed=SEED, holdout_percent=30,
+                        max_depth=DEPTH, kind="id3", holdout=False)["fold_metrics"]
+    return fm.select("model", "n", *[r6(c).alias(c) for c in ("accuracy", "precision_macro", "recall_macro")])
+
+
+def cv_holdout_events(spark, sf):
+    s = cross_validate(ev_bins(spark, sf), EV_FEATURES, "y", "k", k=5, seed=SEED, holdout_percent=30,
+                       max_depth=DEPTH, kind="binary", positive="click")["holdout_summary"]
+    return s.select("n", "correct", *[r6(c).alias(c) for c in (
+        "accuracy", "precision", "recall", "precision_macro", "recall_macro")])
+
+
+def confusion_events(spark, sf):
+    train, test = split_frames(ev_bins(spark, sf), "k", seed=SEED, train_percent=80)
+    tree = fit_id3(train, EV_FEATURES, "y", 2)
+    return confusion_matrix(confusion_counts(predict(test, tree, EV_FEATURES), "y"))
+
+
 def binary_tree_events(spark, sf):
     tree = fit_binary(ev_bins(spark, sf), EV_FEATURES, "y", DEPTH)
     return tree.select("node", "depth", "split_feature", "threshold", "n",
@@ -388,6 +483,7 @@ QUERIES: dict[str, Query] = {
     "weighted_entropy": weighted_entropy,
     "weighted_entropy_docs": weighted_entropy_docs,
     "weighted_entropy_events": weighted_entropy_events,
+    "weighted_entropy_wide": weighted_entropy_wide,
     "info_gain": info_gain,
     "min_weighted_entropy": min_weighted_entropy,
     "root_feature": root_feature,
@@ -402,7 +498,12 @@ QUERIES: dict[str, Query] = {
     "leaf_labels": leaf_labels_q,
     "score_rows": score_rows,
     "score_unseen": score_unseen,
+    "id3_tree_no_reuse": id3_tree_no_reuse,
+    "id3_tree_stop_pure": id3_tree_stop_pure,
+    "id3_tree_paths": id3_tree_paths,
+    "score_paths": score_paths,
     "confusion": confusion,
+    "confusion_events": confusion_events,
     "accuracy": _summary_col("accuracy"),
     "precision_pos": _summary_col("precision"),
     "precision_macro": _summary_col("precision_macro"),
@@ -416,15 +517,21 @@ QUERIES: dict[str, Query] = {
     "holdout_split_70": holdout_split_70,
     "fold_sizes": fold_sizes,
     "random_split_sizes": random_split_sizes,
+    "random_split_partition": random_split_partition,
+    "text_fields": text_fields,
     "binary_root_split": binary_root_split,
     "binary_tree": binary_tree,
     "binary_tree_events": binary_tree_events,
+    "binary_tree_wide": binary_tree_wide,
+    "binary_tree_nulls": binary_tree_nulls,
     "id3_tree_events": id3_tree_events,
     "cv_fold_metrics": cv_fold_metrics,
     "cv_mean": cv_mean,
     "cv_best_fold": cv_best_fold,
     "cv_holdout": cv_holdout,
     "cv_holdout_labels": cv_holdout_labels,
+    "cv_fold_metrics_docs": cv_fold_metrics_docs,
+    "cv_holdout_events": cv_holdout_events,
     "feature_group_error": feature_group_error_q,
     "best_feature_group": best_feature_group,
 }

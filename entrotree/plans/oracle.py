@@ -57,6 +57,26 @@ EV_BINS = """ev_bins AS (
   FROM events)"""
 
 
+#: Rows that the tree of ``score_unseen`` is grown on.
+SEEN = "f2 <= 3 AND f0 <= 4"
+URL_FEATURES = ["u", "lang"]
+URL_PARTS = """url_parts AS (
+  SELECT page_id AS k, regexp_replace(url, '[0-9]+', '', 'g') AS u, split_part(url, '/', 4) AS lang,
+         CAST(CASE WHEN strlen(html) % 3 = 0 OR url LIKE '%=%' THEN 1 ELSE 0 END AS INTEGER) AS y
+  FROM pages)"""
+WIDE_FEATURES = ["price", "f2"]
+LI_WIDE = """li_wide AS (
+  SELECT l_extendedprice AS price, least(6, floor(l_tax * 7 / 0.08)) AS f2,
+         CAST(CASE WHEN l_extendedprice > 40000 OR l_linenumber = 2 THEN 1 ELSE 0 END AS INTEGER) AS y
+  FROM lineitem)"""
+LI_NULLS = f"""li_nulls AS (
+  SELECT {", ".join("CASE WHEN f3 % 3 = 1 THEN NULL ELSE f0 END AS f0" if f == "f0" else f for f in LI_FEATURES)}, y
+  FROM li_bins)"""
+LI_PARTS = """li_parts AS (
+  SELECT l_partkey AS part, l_suppkey AS supp, CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS INTEGER) AS y
+  FROM lineitem)"""
+
+
 def r6(expr: str) -> str:
     return f"(round({expr}, 6) + 0.0)"
 
@@ -84,6 +104,14 @@ def pick_sql(col: str, features: Sequence[str], cast: str = "VARCHAR", alias: st
     return f"CASE {col} {whens} END"
 
 
+def esc(expr: str) -> str:
+    """A name or value as it stands in a node path."""
+    out = f"CAST({expr} AS VARCHAR)"
+    for c, escaped in (("%", "%25"), ("/", "%2F"), ("=", "%3D"), ("<", "%3C"), (">", "%3E")):
+        out = f"replace({out}, '{c}', '{escaped}')"
+    return out
+
+
 # ----------------------------------------------------------- building blocks
 def unpivot_sql(src: str, features: Sequence[str], keys: Sequence[str], vtype: str,
                 label: str = "y", weight: str | None = None) -> str:
@@ -142,7 +170,8 @@ def hash_sql(key: str, seed: int = SEED) -> str:
 
 # ------------------------------------------------------------ multiway tree
 def id3_ctes(src: str, features: Sequence[str], depth: int, vtype: str = "INTEGER",
-             prefix: str = "t", keys: Sequence[str] = ()) -> tuple[list[str], str]:
+             prefix: str = "t", keys: Sequence[str] = (), reuse: bool = True,
+             split_pure: bool = True) -> tuple[list[str], str]:
     """CTEs growing the multiway tree over ``src`` (columns keys, features, y).
 
     Returns ``(ctes, tree_cte_name)``; the tree has the catalog's columns.
@@ -157,7 +186,9 @@ def id3_ctes(src: str, features: Sequence[str], depth: int, vtype: str = "INTEGE
         ctes.append(f"{p}_c{d} AS ({cont_sql(f'{p}_d{d}', features, kk, vtype)})")
         ctes.append(f"{p}_v{d} AS ({vstats_sql(f'{p}_c{d}', kk)})")
         ctes.append(f"{p}_f{d} AS ({fs_sql(f'{p}_c{d}', f'{p}_v{d}', features, kk)})")
-        ctes.append(f"{p}_b{d} AS ({best_sql(f'{p}_f{d}', kk)})")
+        if not reuse:
+            ctes.append(f"{p}_g{d} AS (SELECT * FROM {p}_f{d} WHERE NOT contains(node, '/' || feature || '='))")
+        ctes.append(f"{p}_b{d} AS ({best_sql(f'{p}_f{d}' if reuse else f'{p}_g{d}', kk)})")
         if d == 0:
             ctes.append(f"""{p}_n0 AS (SELECT {_k(keys)}node, CAST(NULL AS VARCHAR) AS parent,
                CAST(NULL AS VARCHAR) AS parent_feature, CAST(NULL AS VARCHAR) AS branch_value,
@@ -166,7 +197,7 @@ def id3_ctes(src: str, features: Sequence[str], depth: int, vtype: str = "INTEGE
         else:
             on = " AND ".join(f"v.{k} = b.{k}" for k in kk)
             ctes.append(f"""{p}_n{d} AS (
-        SELECT {_k(keys, 'v.')}v.node || '/' || v.feature || '=' || COALESCE(CAST(v.value AS VARCHAR), '{NULL_BRANCH}') AS node,
+        SELECT {_k(keys, 'v.')}v.node || '/' || v.feature || '=' || COALESCE({esc('v.value')}, '{NULL_BRANCH}') AS node,
                v.node AS parent, v.feature AS parent_feature, CAST(v.value AS VARCHAR) AS branch_value,
                v.n, v.entropy, v.majority
         FROM {p}_v{d - 1} v JOIN {p}_l{d - 1} b ON {on} AND v.feature = b.split_feature
@@ -176,14 +207,15 @@ def id3_ctes(src: str, features: Sequence[str], depth: int, vtype: str = "INTEGE
         SELECT {_k(keys, 'n.')}n.node, n.parent, {d} AS depth, n.parent_feature, n.branch_value,
                b.feature AS split_feature, b.feature_index AS split_index, n.n, n.entropy,
                n.majority, b.weighted_entropy, b.gain,
-               ({'TRUE' if last else 'FALSE'} OR b.feature IS NULL) AS is_leaf
+               ({'TRUE' if last else 'FALSE'} OR b.feature IS NULL
+                OR {'FALSE' if split_pure else 'n.entropy <= 0'}) AS is_leaf
         FROM {p}_n{d} n LEFT JOIN {p}_b{d} b ON {on})""")
         levels.append(f"SELECT * FROM {p}_l{d}")
         if not last:
             on = " AND ".join(f"r.{k} = b.{k}" for k in kk)
             ctes.append(f"""{p}_d{d + 1} AS (
         SELECT {_k(keys, 'r.')}r.node || '/' || b.split_feature || '=' ||
-               COALESCE({pick_sql('b.split_feature', features, 'VARCHAR', 'r')}, '{NULL_BRANCH}') AS node,
+               COALESCE({esc(pick_sql('b.split_feature', features, 'VARCHAR', 'r'))}, '{NULL_BRANCH}') AS node,
                {', '.join('r.' + f for f in features)}, r.y
         FROM {p}_d{d} r JOIN {p}_l{d} b ON {on} WHERE NOT b.is_leaf)""")
     ctes.append(f"{p}_tree AS ({' UNION ALL '.join(levels)})")
@@ -205,7 +237,7 @@ def route_ctes(rows: str, row_cols: Sequence[str], tree: str, features: Sequence
                     f"THEN '<=' ELSE '>' END || CAST(t.threshold AS VARCHAR)")
         else:
             val = pick_sql("t.split_feature", features, "VARCHAR", "r")
-            cand = f"r.node || '/' || t.split_feature || '=' || COALESCE({val}, '{NULL_BRANCH}')"
+            cand = f"r.node || '/' || t.split_feature || '=' || COALESCE({esc(val)}, '{NULL_BRANCH}')"
         ckon = "".join(f" AND c.{k} = r.{k}" for k in keys)
         ctes.append(f"""{p}_{d + 1} AS (
         SELECT {cols}, CASE WHEN c.node IS NOT NULL THEN c.node ELSE r.node END AS node
@@ -370,7 +402,7 @@ def _holdout_sql(select: str) -> str:
                  _LABEL_METRICS) + select.format(routed=routed)
 
 
-_LABEL_METRICS = """lm AS (
+_LABEL_METRICS_OF = """lm AS (
   SELECT label, CAST(SUM(tp) AS BIGINT) AS tp, CAST(SUM(na) AS BIGINT) AS n_actual,
          CAST(SUM(np) AS BIGINT) AS n_predicted,
          CASE WHEN SUM(np) > 0 THEN SUM(tp) / SUM(np) ELSE 0.0 END AS precision,
@@ -381,28 +413,33 @@ _LABEL_METRICS = """lm AS (
 sm AS (
   SELECT CAST(SUM(n_actual) AS BIGINT) AS n, CAST(SUM(tp) AS BIGINT) AS correct,
          SUM(tp) / SUM(n_actual) AS accuracy, 1 - SUM(tp) / SUM(n_actual) AS error_rate,
-         COALESCE(MAX(CASE WHEN label = 1 THEN precision END), 0.0) AS precision,
-         COALESCE(MAX(CASE WHEN label = 1 THEN recall END), 0.0) AS recall,
+         COALESCE(MAX(CASE WHEN label = {positive} THEN precision END), 0.0) AS precision,
+         COALESCE(MAX(CASE WHEN label = {positive} THEN recall END), 0.0) AS recall,
          AVG(precision) AS precision_macro, AVG(recall) AS recall_macro
   FROM lm)"""
+_LABEL_METRICS = _LABEL_METRICS_OF.format(positive=1)
 
 
-def _cv_sql(select: str) -> str:
-    feats = ", ".join(LI_FEATURES)
+def _cv_sql(select: str, view: str = "li_bins", cte: str = LI_BINS, features: Sequence[str] = tuple(LI_FEATURES),
+            labels: Sequence | None = (0, 1), positive: str = "1") -> str:
+    """Cross-validation; binary trees over ``labels``, or multiway ones (None) over texts."""
+    feats = ", ".join(features)
     h = hash_sql("k")
-    ctes, tree = binary_ctes("rep", LI_FEATURES, DEPTH, [0, 1], keys=["model"])
-    rctes, routed = route_ctes("held", ["model", *LI_FEATURES, "y"], tree, LI_FEATURES, DEPTH,
-                               binary=True, keys=["model"])
-    rctes2, routed2 = route_ctes("test", [*LI_FEATURES, "y"], "best_tree", LI_FEATURES, DEPTH,
-                                 prefix="h", binary=True)
+    binary = labels is not None
+    ctes, tree = (binary_ctes("rep", features, DEPTH, labels, keys=["model"]) if binary else
+                  id3_ctes("rep", features, DEPTH, vtype="VARCHAR", keys=["model"]))
+    rctes, routed = route_ctes("held", ["model", *features, "y"], tree, features, DEPTH,
+                               binary=binary, keys=["model"])
+    rctes2, routed2 = route_ctes("test", [*features, "y"], "best_tree", features, DEPTH,
+                                 prefix="h", binary=binary)
     return _with(
-        LI_BINS,
-        f"base AS (SELECT k, {feats}, y, {h} AS u2 FROM li_bins)",
+        cte,
+        f"base AS (SELECT k, {feats}, y, {h} AS u2 FROM {view})",
         "train AS (SELECT *, CAST(CAST(floor(u2 / 100) AS BIGINT) % 5 AS INTEGER) AS fold "
         "FROM base WHERE u2 % 100 < 70)",
         "test AS (SELECT * FROM base WHERE u2 % 100 >= 70)",
         "models AS (SELECT CAST(range AS INTEGER) AS model FROM range(5))",
-        f"rep AS (SELECT m.model, {', '.join('t.' + f for f in LI_FEATURES)}, t.y "
+        f"rep AS (SELECT m.model, {', '.join('t.' + f for f in features)}, t.y "
         "FROM train t JOIN models m ON m.model <> t.fold)",
         *ctes,
         f"held AS (SELECT fold AS model, {feats}, y FROM train)",
@@ -426,7 +463,7 @@ def _cv_sql(select: str) -> str:
         *rctes2,
         f"cc AS (SELECT y AS actual, prediction AS predicted, CAST(COUNT(*) AS BIGINT) AS n "
         f"FROM {routed2} GROUP BY y, prediction)",
-        _LABEL_METRICS,
+        _LABEL_METRICS_OF.format(positive=positive),
     ) + select
 
 
@@ -512,7 +549,8 @@ FROM lineitem ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantit
         f"SELECT node, split_feature, {r6('weighted_entropy')} AS weighted_entropy FROM {{tree}} WHERE depth = 2"),
     "id3_tree": _li_tree_sql(f"SELECT {_TREE_COLS} FROM {{tree}}"),
     "tree_listing": _li_tree_sql(
-        "SELECT node, depth, repeat('  ', depth) || "
+        "SELECT CAST(row_number() OVER (ORDER BY list_transform(string_split(node, '/')[2:], "
+        "lambda s: CAST(split_part(s, '=', 2) AS DOUBLE))) AS BIGINT) AS line_no, node, depth, repeat('  ', depth) || "
         "CASE WHEN parent_feature IS NOT NULL THEN parent_feature || '=' || "
         f"COALESCE(branch_value, '{NULL_BRANCH}') || ': ' ELSE '' END || "
         "CASE WHEN is_leaf THEN COALESCE('best ' || split_feature || ', ', '') || 'predict ' || "
@@ -525,7 +563,46 @@ def _add_later():
     ctes, tree = id3_ctes("li_bins", LI_FEATURES, DEPTH)
     rctes, routed = route_ctes("li_bins", ["k", *LI_FEATURES, "y"], tree, LI_FEATURES, DEPTH)
     ORACLE["score_rows"] = _with(LI_BINS, *ctes, *rctes) + f"SELECT k, y, prediction FROM {routed}"
-    ORACLE["score_unseen"] = _holdout_sql("SELECT k, y, node, prediction FROM {routed}")
+    ctes, tree = id3_ctes("seen", LI_FEATURES, DEPTH)
+    rctes, routed = route_ctes("li_bins", ["k", *LI_FEATURES, "y"], tree, LI_FEATURES, DEPTH)
+    ORACLE["score_unseen"] = _with(LI_BINS, f"seen AS (SELECT * FROM li_bins WHERE {SEEN})", *ctes, *rctes) + (
+        f"SELECT k, y, node, prediction FROM {routed}")
+    for name, options in (("id3_tree_no_reuse", {"reuse": False}), ("id3_tree_stop_pure", {"split_pure": False})):
+        ctes, tree = id3_ctes("li_bins", LI_FEATURES, DEPTH, **options)
+        ORACLE[name] = _with(LI_BINS, *ctes) + f"SELECT {_TREE_COLS} FROM {tree}"
+    ctes, tree = id3_ctes("url_parts", URL_FEATURES, 2, vtype="VARCHAR")
+    ORACLE["id3_tree_paths"] = _with(URL_PARTS, *ctes) + (
+        f"SELECT node, depth, split_feature, n, {r6('entropy')} AS entropy, majority, is_leaf FROM {tree}")
+    rctes, routed = route_ctes("url_parts", ["k", *URL_FEATURES, "y"], tree, URL_FEATURES, 2)
+    ORACLE["score_paths"] = _with(URL_PARTS, *ctes, *rctes) + f"SELECT k, y, node, prediction FROM {routed}"
+    for name, view, cte, features in (("binary_tree_wide", "li_wide", LI_WIDE, WIDE_FEATURES),
+                                      ("binary_tree_nulls", "li_nulls", LI_NULLS, LI_FEATURES)):
+        bc, btree = binary_ctes(view, features, 2, [0, 1])
+        ORACLE[name] = _with(LI_BINS, cte, *bc) + (
+            f"SELECT depth, split_feature, {r6('threshold')} AS threshold, n, {r6('entropy')} AS entropy, "
+            f"majority, {r6('weighted_entropy')} AS weighted_entropy, is_leaf FROM {btree}")
+    ORACLE["weighted_entropy_wide"] = _fs_query("li_parts", LI_PARTS, ["part", "supp"], "BIGINT") + (
+        f"SELECT {_WH_COLS} FROM fs")
+    ORACLE["cv_fold_metrics_docs"] = _cv_sql(
+        "SELECT model, n, " + ", ".join(f"{r6(c)} AS {c}" for c in ("accuracy", "precision_macro", "recall_macro"))
+        + " FROM fm", "doc_bins", DOC_BINS, DOC_FEATURES, None)
+    ORACLE["cv_holdout_events"] = _cv_sql(
+        "SELECT n, correct, " + ", ".join(f"{r6(c)} AS {c}" for c in (
+            "accuracy", "precision", "recall", "precision_macro", "recall_macro")) + " FROM sm",
+        "ev_bins", EV_BINS, EV_FEATURES, ["click", "error", "purchase", "signup", "view"], "'click'")
+    ctes, tree = id3_ctes("ev_train", EV_FEATURES, 2)
+    rctes, routed = route_ctes("ev_test", ["k", *EV_FEATURES, "y"], tree, EV_FEATURES, 2)
+    ORACLE["confusion_events"] = _with(
+        EV_BINS, f"ev_train AS (SELECT * FROM ev_bins WHERE {hash_sql('k')} % 100 < 80)",
+        f"ev_test AS (SELECT * FROM ev_bins WHERE {hash_sql('k')} % 100 >= 80)", *ctes, *rctes,
+        f"cc AS (SELECT y AS actual, prediction AS predicted, COUNT(*) AS n FROM {routed} GROUP BY ALL)",
+        "ls AS (SELECT actual AS label FROM cc UNION SELECT predicted FROM cc)") + (
+        "SELECT a.label AS actual, p.label AS predicted, CAST(COALESCE(cc.n, 0) AS BIGINT) AS n "
+        "FROM ls a JOIN ls p ON TRUE LEFT JOIN cc ON cc.actual = a.label AND cc.predicted = p.label")
+    ORACLE["text_fields"] = """SELECT CAST(l_orderkey AS INTEGER) AS a, CAST(l_linenumber AS INTEGER) AS b,
+       CAST(l_partkey AS INTEGER) AS c FROM lineitem"""
+    ORACLE["random_split_partition"] = """SELECT CAST(COUNT(*) AS BIGINT) AS n, CAST(COUNT(*) AS BIGINT) AS n_sides,
+       CAST(0 AS BIGINT) AS n_both FROM lineitem"""
     ORACLE["confusion"] = _holdout_sql(
         "SELECT a.label AS actual, p.label AS predicted, CAST(COALESCE(cc.n, 0) AS BIGINT) AS n "
         "FROM (SELECT DISTINCT label FROM lm) a JOIN (SELECT DISTINCT label FROM lm) p ON TRUE "

@@ -1,87 +1,78 @@
 """Execution helpers shared by all operators.
 
-* ``materialize`` cuts lineage of an intermediate table.  It uses a reliable
-  ``checkpoint()`` into the cluster's shared ``spark.checkpoint.dir`` when the
-  session names one; otherwise it falls back to ``persist`` (lineage is kept,
-  so lost blocks are recomputed after an executor loss).  Besides surviving
-  executor loss, the checkpoint truncates the logical plan: level-wise loops
-  would otherwise re-analyse an ever longer plan at every level.
-* ``sized_broadcast`` broadcasts a side only after its row count has been
-  checked against a bound; above the bound the plain join is left to the
-  planner (sort-merge, or a runtime broadcast chosen by AQE).
-* ``bounded_values`` fetches a small list of distinct values (labels) to the
-  driver and fails loudly when the list is not small.
+* ``materialize`` cuts lineage of an intermediate table with a reliable
+  ``checkpoint()`` into the cluster's shared ``spark.checkpoint.dir``.  It
+  survives the loss of executors, and it truncates the logical plan, which
+  level-wise loops would otherwise re-analyse at ever greater length.  Spark
+  deletes the files with the table's last reference when
+  ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
+* ``fits_broadcast`` says whether a table is proven small enough, in bytes, to
+  be sent to every task; callers join it by a plain join otherwise.
 """
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Largest side (rows) that an operator broadcasts on its own.  Split, node and
-# edge tables carry a handful of short columns, so this is a few MB at most.
-BROADCAST_ROWS = 200_000
+# Largest table, in bytes of its values, that an operator broadcasts on its own.
+BROADCAST_BYTES = 8 << 20
 
-# Largest number of distinct labels that an operator expands into columns or
-# a label x label grid.
-MAX_LABELS = 1_000
 
-
-def checkpoint_dir(spark: SparkSession) -> str | None:
+def checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder.
 
     The cluster's ``spark.checkpoint.dir`` (or a folder set on the context) is
     used as is.  Only a ``local[...]`` session without one -- a single machine,
-    e.g. tests -- gets a fresh temporary folder; on a cluster without a shared
-    folder ``None`` is returned and callers fall back to ``persist``.
+    e.g. tests -- gets a fresh temporary folder; a cluster without a shared
+    folder is an error.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 -- sessions without a JVM context (Spark Connect)
-        return spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="entrotree-ck-"))
-        return sc.getCheckpointDir()
-    return None
+    if not configured and not sc.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="entrotree-ck-"))
+    return sc.getCheckpointDir()
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut (or pin) its lineage.
+    """Compute ``df`` once and cut its lineage.
+
+    A checkpointed table does not report its partitioning to later plans.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def value_bytes(df: DataFrame):
+    """Aggregate column: bytes of the values of a flat table."""
+    sizes = [F.coalesce(F.octet_length(c).cast("long"), F.lit(0)) + 16 if kind in ("string", "binary")
+             else F.lit(8).cast("long") for c, kind in df.dtypes]
+    return F.coalesce(F.sum(sum(sizes, F.lit(0))), F.lit(0))
+
+
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """True if the values of ``df`` take at most ``limit`` bytes (one aggregate)."""
+    return df.agg(value_bytes(df)).first()[0] <= limit
+
+
+def global_sum(df: DataFrame, value: Column, *order: Column, name: str) -> DataFrame:
+    """Add the running sum of ``value`` over the whole table in ``order``, this row included.
 
-    A checkpointed table does not report its partitioning to later plans;
-    callers that aggregate it by a key repartition it once after reading.
+    No one-task window: rows are range-partitioned and summed within their
+    partition; the driver reads one total per partition.
     """
-    if checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True)
-    # Filled at once, so that no later job computes it twice in two branches
-    # before the cache holds it.
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    kept.count()
-    return kept
-
-
-def sized_broadcast(df: DataFrame, rows: int | None = None,
-                    limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when ``df`` is proven to hold at most ``limit`` rows."""
-    n = df.count() if rows is None else rows
-    return F.broadcast(df) if n <= limit else df
-
-
-def bounded_values(df: DataFrame, column: str, limit: int = MAX_LABELS) -> list:
-    """Sorted distinct non-null values of ``column``; at most ``limit`` of them."""
-    vals = (df.where(F.col(column).isNotNull())
-              .select(column).distinct()
-              .limit(limit + 1).collect())
-    if len(vals) > limit:
-        raise ValueError(f"column {column!r} has more than {limit} distinct values")
-    return sorted(r[0] for r in vals)
+    dealt = materialize(df.withColumn("_value", value).repartitionByRange(*order)
+                        .withColumn("_part", F.spark_partition_id()))
+    before, offsets = 0, []
+    for part, total in sorted(dealt.groupBy("_part").agg(F.sum("_value")).collect()):
+        offsets += [F.lit(part), F.lit(before).cast("long")]
+        before += total
+    offset = F.element_at(F.create_map(*offsets), F.col("_part")) if offsets else F.lit(0)
+    window = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return dealt.withColumn(name, (F.sum("_value").over(window) + offset).cast("long")).drop("_part", "_value")

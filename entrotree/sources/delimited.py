@@ -8,20 +8,32 @@ forms are built on Spark's own readers with an explicit schema (no
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _header_names(spark: SparkSession, path: str, sep: str) -> list[str]:
-    # One line, fetched once, to name the columns.
+def _clean(line: str) -> str:
+    return line.lstrip("\ufeff").rstrip("\r")
+
+
+def _header_line(spark: SparkSession, path: str) -> str:
+    # One line, fetched once, to name the columns.  The files of a folder have
+    # the same header each.
     first = spark.read.text(path).limit(1).collect()
     if not first:
         raise ValueError(f"{path} is empty")
-    line = first[0][0].lstrip("\ufeff").rstrip("\r")
-    return [c.strip() for c in line.split(sep)]
+    return _clean(first[0][0])
+
+
+def split_fields(line: Column, names: Sequence[str], sep: str = ",", kind: str = "int") -> list[Column]:
+    """The fields of a text line, cast, under their names (S2, R7); an empty field is null."""
+    fields = F.split(line, re.escape(sep))
+    return [F.nullif(F.trim(F.get(fields, F.lit(i))), F.lit("")).cast(kind).alias(c)
+            for i, c in enumerate(names)]
 
 
 def _rename(names: Sequence[str], label: str, feature_prefix: str,
@@ -47,7 +59,8 @@ def read_binned_csv(spark: SparkSession, path: str, *,
     becomes ``label_name``.  A UTF-8 BOM and CRLF line ends are handled by the
     CSV source.
     """
-    names = list(columns) if columns is not None else _header_names(spark, path, sep)
+    names = list(columns) if columns is not None else [
+        c.strip() for c in _header_line(spark, path).split(sep)]
     out = _rename(names, label, feature_prefix, label_name)
     schema = T.StructType([T.StructField(c, T.IntegerType(), True) for c in out])
     return (spark.read.schema(schema)
@@ -66,13 +79,10 @@ def read_lines_as_fields(spark: SparkSession, path: str, *,
     otherwise be counted as data), and the BOM and carriage returns are
     removed before splitting.
     """
-    names = _header_names(spark, path, sep)
-    out = _rename(names, label, feature_prefix, label_name)
-    header_line = sep.join(names)
+    header_line = _header_line(spark, path)
+    out = _rename([c.strip() for c in header_line.split(sep)], label, feature_prefix, label_name)
     clean = F.regexp_replace(F.col("value"), "^\ufeff|\r$", "")
     lines = (spark.read.text(path)
              .select(clean.alias("line"))
              .where((F.col("line") != F.lit(header_line)) & (F.length("line") > 0)))
-    fields = F.split(F.col("line"), sep)
-    return lines.select(*[F.trim(fields[i]).cast("int").alias(c)
-                          for i, c in enumerate(out)])
+    return lines.select(*split_fields(F.col("line"), out, sep))

@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entrotree.operators.prep import equal_width_bins
+from entrotree.runtime import materialize
 from entrotree.sources.tables import read_table
 
 LI_FEATURES = ["f0", "f1", "f2", "f3", "f4", "f5", "f6"]
 DOC_FEATURES = ["lang", "source", "nb"]
 EV_FEATURES = ["f0", "f1", "f2"]
+URL_FEATURES = ["u", "lang"]
 
 
 def li_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +52,8 @@ def doc_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
-    joined = docs.join(labels, "doc_id")  # planner / AQE choose the join strategy
+    # Read twice (bounds, bins): joined once.  Planner and AQE choose the strategy.
+    joined = materialize(docs.join(labels, "doc_id"))
     binned = equal_width_bins(joined, ["n_chars"], bins=7, suffix="_bin")
     return binned.select(
         F.col("doc_id").alias("k"), "lang", "source",
@@ -68,3 +71,14 @@ def ev_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.hour("ts").cast("int").alias("f1"),
         F.pmod(F.col("user_id"), F.lit(7)).cast("int").alias("f2"),
         F.col("event_type").alias("y"))
+
+
+def url_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages: nominal ``u`` (the URL without digits) and ``lang``, with a planted label.
+
+    The values hold the characters that part node paths.
+    """
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    y = F.when((F.octet_length("html") % 3 == 0) | F.contains("url", F.lit("=")), 1).otherwise(0)
+    return pages.select(F.col("page_id").alias("k"), F.regexp_replace("url", "[0-9]+", "").alias("u"),
+                        F.split_part(F.col("url"), F.lit("/"), F.lit(4)).alias("lang"), y.alias("y"))

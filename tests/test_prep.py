@@ -30,3 +30,12 @@ def test_occupancy_and_subset(spark):
     occ = {(r["column"], r["bin"]): r["n"] for r in bin_occupancy(df, ["a", "b"]).collect()}
     assert occ == {("a", 0): 2, ("a", 1): 1, ("b", 1): 1, ("b", 2): 2}
     assert select_features(df, ["b"], "y").columns == ["b", "y"]
+
+
+def test_bins_of_nan_infinities_and_wide_integers(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(0.0, 10**18), (7.0, 10**18 + 7 * 10**15), (nan, None), (inf, 10**18 + 10**15),
+                                (-inf, 10**18), (3.5, -(10**18))], "x double, n long")
+    rows = equal_width_bins(df, ["x", "n"], bins=7).collect()
+    assert [r["x"] for r in rows] == [0, 6, None, 6, 0, 3]
+    assert [r["n"] for r in rows] == [6, 6, None, 6, 6, 0]

@@ -56,3 +56,9 @@ def test_scan_is_pruned(spark):
     plan = li_bins(spark, SF001)._jdf.queryExecution().executedPlan().toString()
     # only the eight lineitem columns the view needs are read
     assert "l_extendedprice" not in plan and "l_partkey" not in plan
+
+
+def test_text_lines_with_other_separator_and_blank_header(spark):
+    text = "0| 1 |class\n3|4|1\n|5|0\n".encode()
+    got = sorted(map(tuple, read_lines_as_fields(spark, _write_csv(text), sep="|").collect()), key=str)
+    assert got == [(3, 4, 1), (None, 5, 0)]

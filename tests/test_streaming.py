@@ -1,4 +1,4 @@
-"""Structured Streaming forms: a file stream scored and counted like the batch."""
+"""The batch operators on Structured Streaming sources: a file stream scored and counted."""
 
 from __future__ import annotations
 
@@ -8,9 +8,9 @@ from conftest import SF001
 
 from entrotree.operators.counts import contingency
 from entrotree.operators.grow import fit_id3
+from entrotree.operators.metrics import confusion_counts
 from entrotree.operators.score import predict
 from entrotree.sources.fixtures import LI_FEATURES, li_bins
-from entrotree.streaming.scoring import running_confusion, running_contingency, score_stream
 
 
 def test_stream_scoring_and_counts_equal_batch(spark):
@@ -20,10 +20,10 @@ def test_stream_scoring_and_counts_equal_batch(spark):
     df.repartition(3).write.mode("overwrite").parquet(src)
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
 
-    scored = score_stream(stream, tree, LI_FEATURES)
-    q1 = (running_confusion(scored, "y").writeStream.outputMode("complete")
+    scored = predict(stream, tree, LI_FEATURES)
+    q1 = (confusion_counts(scored, "y").writeStream.outputMode("complete")
           .format("memory").queryName("conf_stream").start())
-    q2 = (running_contingency(stream, LI_FEATURES, "y").writeStream.outputMode("complete")
+    q2 = (contingency(stream, LI_FEATURES, "y").writeStream.outputMode("complete")
           .format("memory").queryName("cont_stream").start())
     try:
         q1.processAllAvailable()
@@ -49,7 +49,7 @@ def test_stream_scoring_with_binary_tree(spark):
     src = tempfile.mkdtemp(prefix="stream-bin-", dir="/tmp")
     df.repartition(2).write.mode("overwrite").parquet(src)
     stream = spark.readStream.schema(df.schema).parquet(src)
-    q = (score_stream(stream, tree, LI_FEATURES, value_type="double")
+    q = (predict(stream, tree, LI_FEATURES)
          .select("k", "y", "prediction")
          .writeStream.outputMode("append").format("memory").queryName("bin_stream").start())
     try:

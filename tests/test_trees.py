@@ -41,7 +41,7 @@ def test_golden_confusion(golden, golden_tree):
 
 
 def test_listing_depth_first(golden_tree):
-    lines = [r["line"] for r in tree_listing(golden_tree).orderBy("node").collect()]
+    lines = [r["line"] for r in tree_listing(golden_tree, numeric=True).orderBy("line_no").collect()]
     assert lines[0] == "split on f7"
     assert lines[1] == "  f7=0: split on f4"
     assert lines[2] == "    f4=0: best f1, predict 0"
@@ -105,10 +105,56 @@ def test_multiway_lineitem_level2(spark):
     assert got["/f2=5"][0] == "f1" and got["/f2=6"][0] == "f1"
 
 
-def test_binary_rejects_undiscretised_feature(spark):
-    df = spark.range(50).selectExpr("cast(id as double) as a", "cast(id % 2 as int) as y")
-    with pytest.raises(ValueError, match="discretise"):
-        fit_binary(df, ["a"], "y", 2, max_values=10)
+def test_binary_takes_a_feature_of_any_width(spark):
+    df = spark.range(5000).selectExpr("cast(id as double) as a", "cast(id >= 3210 as int) as y")
+    root = fit_binary(df, ["a"], "y", 2).where("depth = 0").first()
+    assert (root["threshold"], root["weighted_entropy"]) == (3209.5, pytest.approx(0, abs=1e-9))
+
+
+def test_binary_keeps_rows_with_null_and_nan(spark):
+    rows = [(1.0, None, 0), (2.0, None, 0), (None, 1.0, 1), (float("nan"), 2.0, 1), (3.0, None, 1)]
+    df = spark.createDataFrame(rows, "a double, b double, y int")
+    tree = fit_binary(df, ["a", "b"], "y", 3)
+    root = tree.where("depth = 0").first()
+    assert (root["n"], root["split_feature"], root["threshold"]) == (5, "a", 2.5)
+    assert [r["prediction"] for r in predict(df, tree, ["a", "b"]).orderBy("y").collect()] == [0, 0, 1, 1, 1]
+
+
+PATH_VALUES = ["x", "x/b=y", "x%2Fb=y", "<null>", "%3Cnull%3E", "", "null", None, "a<=1", "a>1"]
+
+
+def test_node_keys_tell_all_values_apart(spark):
+    import random
+    rnd = random.Random(4)
+    rows = [(rnd.choice(PATH_VALUES), rnd.choice(PATH_VALUES), rnd.choice(PATH_VALUES), rnd.randint(0, 2))
+            for _ in range(400)]
+    df = spark.createDataFrame(rows, "a string, b string, `c=/` string, y int")
+    features = ["a", "b", "c=/"]
+    tree = fit_id3(df, features, "y", 3)
+    assert tree.count() == tree.select("node").distinct().count()
+    scored = predict(df, tree, features, node_out="node").collect()
+    assert len(scored) == len(rows)
+    # rows of one node share the split values on its path: a leaf holds n rows
+    sizes = {}
+    for r in scored:
+        sizes[r["node"]] = sizes.get(r["node"], 0) + 1
+    assert sizes == {r["node"]: r["n"] for r in tree.where("is_leaf").collect()}
+
+
+def test_big_tree_scores_without_broadcast(spark):
+    from conftest import SF001
+    df = li_bins(spark, SF001)
+    tree = fit_id3(df, LI_FEATURES, "y", 3)
+    a = predict(df, tree, LI_FEATURES).select("k", "prediction").collect()
+    b = predict(df, tree, LI_FEATURES, broadcast_bytes=0).select("k", "prediction").collect()
+    assert sorted(a) == sorted(b)
+
+
+def test_listing_numbers_siblings_by_value(spark):
+    df = spark.createDataFrame([(v, v % 2) for v in (10, 2, 9, 100)] * 2, "f int, y int")
+    tree = fit_id3(df, ["f"], "y", 2)
+    lines = [r["line"] for r in tree_listing(tree, numeric=True).orderBy("line_no").collect()]
+    assert [x.split(":")[0] for x in lines] == ["split on f", "  f=2", "  f=9", "  f=10", "  f=100"]
 
 
 def test_tree_invariant_under_repartition(spark):

@@ -8,7 +8,7 @@ from conftest import GOLDEN_FEATURES, SF01
 
 from entrotree.operators.metrics import confusion_counts, confusion_matrix, label_metrics, summary
 from entrotree.operators.validate import (assign_folds, cross_validate, feature_group_error,
-                                          keyed_split)
+                                          keyed_split, split_frames)
 from entrotree.sources.fixtures import LI_FEATURES, li_bins
 
 
@@ -41,7 +41,7 @@ def test_keyed_split_and_folds_lineitem(spark):
 
 
 def test_cross_validation_shapes(spark, golden):
-    df = golden.withColumn("k", F.monotonically_increasing_id())
+    df = golden.withColumn("k", F.xxhash64(*golden.columns))
     cv = cross_validate(df, GOLDEN_FEATURES, "y", "k", k=5, seed=200, holdout_percent=30)
     fm = cv["fold_metrics"].collect()
     assert sorted(r["model"] for r in fm) == [0, 1, 2, 3, 4]
@@ -86,3 +86,28 @@ def test_feature_groups_with_binary_trees(spark):
     assert set(e) == {"g01", "g2"}
     assert all(0 <= r["error_rate"] <= 1 for r in e.values())
     assert e["g01"]["n"] == e["g2"]["n"]
+
+
+def test_null_keys_and_null_labels_lose_no_row(spark):
+    df = spark.createDataFrame([(None, 1, "a"), (None, 2, "b"), (5, 1, "a"), (6, 2, None)], "k long, f int, y string")
+    train, test = split_frames(df, "k", seed=200, train_percent=80)
+    assert train.count() + test.count() == 4
+    folds = assign_folds(df, "k", k=2).collect()
+    assert all(r["fold"] is not None for r in folds)
+    scored = spark.createDataFrame([("a", "a"), (None, "a"), ("b", None), (None, None), ("c", "a")], "y string, prediction string")
+    conf = confusion_counts(scored, "y")
+    grid = confusion_matrix(conf).collect()
+    assert sum(r["n"] for r in grid) == 5 and len(grid) == 16
+    assert summary(conf, positive="a").first()["n"] == 5
+
+
+def test_string_labels_and_nominal_features(spark):
+    rows = [(i, "xyz"[i % 3], "pq"[i % 2], "no" if i % 3 else "yes") for i in range(60)]
+    df = spark.createDataFrame(rows, "k long, a string, b string, y string")
+    cv = cross_validate(df, ["a", "b"], "y", "k", k=3, kind="id3", positive="yes")
+    h = cv["holdout_summary"].first()
+    assert h["accuracy"] == 1.0 and h["precision"] == 1.0 and h["recall"] == 1.0
+    raw = cross_validate(df, ["a", "b"], "y", "k", k=3, kind="id3", positive="yes", compact=False)
+    assert sorted(raw["fold_metrics"].collect()) == sorted(cv["fold_metrics"].collect())
+    e = feature_group_error(df, {"a": ["a"], "b": ["b"]}, "y", "k").collect()
+    assert {r["group"]: r["error_rate"] == 0 for r in e} == {"a": True, "b": False}
