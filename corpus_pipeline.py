@@ -11,31 +11,43 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from entrotree.llm import decontaminate, mixing, quality, secrets, simhash
 from entrotree.llm.common import read_table
 from entrotree.runtime import checkpoint_dir
 
 
+def _packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """All columns of a document as ``_doc``, beside those an operator reads.
+
+    So a column of the table cannot clash with one that an operator adds.
+    """
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *columns)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    judged = quality.judge(docs, read_table(spark, sf_dir, "labels"))
-    return judged.where("kept").select(docs.columns)
+    judged = quality.judge(_packed(docs, "doc_id", "text"), read_table(spark, sf_dir, "labels"))
+    return judged.where("kept").select("_doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    return simhash.keep_one(docs)
+    return simhash.keep_one(_packed(docs, "doc_id", "text")).select("_doc.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a copy of a benchmark item."""
-    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+    clean = decontaminate.drop_contaminated(_packed(docs, "doc_id", "text"), read_table(spark, sf_dir, "benchmark"))
+    return clean.select("_doc.*")
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, every secret found replaced by a mark."""
-    return secrets.redact(docs)
+    """All documents, every secret found replaced by a mark; n_chars follows a changed text."""
+    redacted = secrets.redact(_packed(docs, "doc_id", "text", "n_chars"))
+    changed = ("text", "n_chars")
+    return redacted.select(*[F.col(c) if c in changed else F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
