@@ -28,8 +28,7 @@ def _packed(docs: DataFrame, *columns: str) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    judged = quality.judge(_packed(docs, "doc_id", "text"), read_table(spark, sf_dir, "labels"))
-    return judged.where("kept").select("_doc.*")
+    return quality.keep(_packed(docs, "doc_id", "text"), read_table(spark, sf_dir, "labels")).select("_doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
