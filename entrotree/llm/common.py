@@ -4,18 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import materialize
+from ..runtime import global_sum, materialize
 from ..sources.tables import read_table
 
-__all__ = ["BLANKS", "BLANK_RUN", "global_rank", "global_sum", "let", "materialize",
+__all__ = ["BLANKS", "global_rank", "global_sum", "let", "materialize",
            "read_table", "text_of", "words"]
 
 # A word is a run of characters other than these six.
 BLANKS = " \t\n\x0b\x0c\r"
-BLANK_RUN = r"[\x20\x09-\x0D]+"
 
 
 def text_of(column: str | Column = "text") -> Column:
@@ -41,25 +40,6 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def global_sum(df: DataFrame, value: Column, *order: Column, name: str) -> DataFrame:
-    """Add the running sum of ``value`` over the whole table in ``order``, this row included.
-
-    No one-task window: rows are range-partitioned and summed within their
-    partition; the driver reads one total per partition (bounded by the number
-    of partitions).
-    """
-    dealt = materialize(df.withColumn("_value", value).repartitionByRange(*order)
-                        .withColumn("_part", F.spark_partition_id()))
-    totals = dict(dealt.groupBy("_part").agg(F.sum("_value")).collect())
-    before, offsets = 0, []
-    for part in sorted(totals):
-        offsets += [F.lit(part), F.lit(before).cast("long")]
-        before += totals[part]
-    offset = F.element_at(F.create_map(*offsets), F.col("_part")) if offsets else F.lit(0)
-    window = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return dealt.withColumn(name, (F.sum("_value").over(window) + offset).cast("long")).drop("_part", "_value")
-
-
 def global_rank(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
     """Add the 1-based global row number in ``order``."""
     return global_sum(df, F.lit(1), *order, name=name)
