@@ -6,7 +6,10 @@ import tempfile
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, REPO)
+# Python workers import the package too, wherever the tests are started.
+os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [REPO, os.environ.get("PYTHONPATH")]))
 
 # A binned table (header 0..9,class) to check the golden numbers with, read in place.
 GOLDEN_CSV = os.environ.get("ENTROTREE_GOLDEN_CSV", "")
