@@ -57,6 +57,23 @@ def test_quality_on_table_keeps_trusted_and_rejects_junk(spark):
     assert sum(junk) < 0.4 * len(junk)
 
 
+@pytest.mark.parametrize("sf, most", [("sf0.01", 0), ("sf0.1", 0)])
+def test_junk_that_passes_the_base_rules_goes_at_every_size(spark, sf, most):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"/root/testdata/{sf}/labels.parquet")
+    rows = (quality.judge(docs, labels).join(labels, "doc_id")
+            .select("base_failed", "kept", "quality").where("quality is not null").collect())
+    junk = [r.kept for r in rows if r.quality == 0 and not r.base_failed]
+    good = [r.kept for r in rows if r.quality == 1 and not r.base_failed]
+    assert sum(junk) <= most and len(junk) >= 28
+    assert sum(good) >= 0.995 * len(good)
+
+
+def test_threshold_without_held_out_documents(spark):
+    docs = docs_of(spark, [(i, f"a{i} b c d " * 6, "s") for i in range(4)])
+    assert quality.fit_threshold(docs, labels_of(spark), quality.fit_ratio(docs, labels_of(spark))) == float("-inf")
+
+
 def test_quality_odd_inputs(spark):
     docs = docs_of(spark, [(None, None, None), (None, "x y " * 30, None), (1, "a", "s"), (1, "a", "s")])
     out = quality.judge(docs.withColumn("score_", docs.n_chars), labels_of(spark, [(None, 1, 0), (None, None, None)]))
