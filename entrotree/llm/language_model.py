@@ -40,8 +40,8 @@ from .common import materialize
 
 FOLDS, HELD_OUT = 7, 2
 HEAD = 1 << 17
-SINGLES = 31  # most frequent words, each its own class; class 0 is the end
-ENDINGS = 48
+SINGLES = 39  # most frequent words, each its own class; class 0 is the end
+ENDINGS = 88
 CLASSES = 1 + SINGLES + ENDINGS
 ROW_BITS = 12
 ROWS = 1 << ROW_BITS
@@ -115,22 +115,33 @@ class Model:
             rows.append((((m ^ (m >> 15)) * 0x2C1B3C6D & 0xFFFFFFFF) >> (32 - ROW_BITS)).astype(np.int64))
         return np.stack(rows)
 
-    def probabilities(self, rows: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-        z = weights[rows[0]]
-        z += weights[rows[1]]
-        z += weights[rows[2]]
+    def exponentials(self, rows: np.ndarray, weights: np.ndarray, bias: np.ndarray,
+                     space: np.ndarray | None = None) -> np.ndarray:
+        """exp of the class weights of each token, over the largest; in ``space`` (2, tokens, classes) if given."""
+        if space is None:
+            space = np.empty((2, rows.shape[1], len(bias)), weights.dtype)
+        z, more = space[0, :rows.shape[1]], space[1, :rows.shape[1]]
+        np.take(weights, rows[0], axis=0, out=z, mode="clip")  # other modes copy once more
+        for r in rows[1:]:
+            z += np.take(weights, r, axis=0, out=more, mode="clip")
         z += bias
         z -= z.max(axis=1, keepdims=True)
-        np.exp(z, out=z)
+        return np.exp(z, out=z)
+
+    def probabilities(self, rows: np.ndarray, weights: np.ndarray, bias: np.ndarray,
+                      space: np.ndarray | None = None) -> np.ndarray:
+        z = self.exponentials(rows, weights, bias, space)
         z /= z.sum(axis=1, keepdims=True)
         return z
 
     def class_scores(self, ids: np.ndarray, classes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
         """log10 P(class | context) of each token."""
         rows, out = self.features(ids, firsts), np.empty(len(ids))
+        space = np.empty((2, BATCH, CLASSES), np.float32)
         for i in range(0, len(ids), BATCH):
-            p = self.probabilities(rows[:, i:i + BATCH], self.weights, self.bias)
-            out[i:i + BATCH] = np.log10(np.maximum(p[np.arange(len(p)), classes[i:i + BATCH]], 1e-30))
+            z = self.exponentials(rows[:, i:i + BATCH], self.weights, self.bias, space)
+            p = z[np.arange(len(z)), classes[i:i + BATCH]] / z.sum(axis=1)
+            out[i:i + BATCH] = np.log10(np.maximum(p, 1e-30))
         return out
 
 
@@ -141,18 +152,23 @@ class _Descent:
         self.model, self.n = model, 0
         self.weights, self.bias = model.weights.copy(), model.bias.copy()
         self.seen = np.full(ROWS, 1.0, np.float32)
+        self.space = np.empty((2, BATCH, CLASSES), np.float32)  # kept, so that no step asks for new memory
 
     def step(self, rows: np.ndarray, classes: np.ndarray) -> None:
-        by_last = np.argsort(rows[0], kind="stable")  # one of three sums then needs no reordering
+        # ROW_BITS fit 16 bits, which numpy sorts by radix.
+        by_last = np.argsort(rows[0].astype(np.int16), kind="stable")  # one of three sums then needs no reordering
         rows, classes = rows[:, by_last], classes[by_last]
-        p = self.model.probabilities(rows, self.weights, self.bias)
+        p = self.model.probabilities(rows, self.weights, self.bias, self.space)
+        spare = self.space[1, :len(p)]
         p[np.arange(len(p)), classes] -= 1
         for k, r in enumerate(rows):
-            order = np.argsort(r, kind="stable") if k else slice(None)
-            ordered = r[order]
+            ordered, slopes = r, p
+            if k:
+                order = np.argsort(r.astype(np.int16), kind="stable")
+                ordered, slopes = r[order], np.take(p, order, axis=0, out=spare, mode="clip")
             first = np.flatnonzero(np.diff(ordered, prepend=-1))
             which = ordered[first]
-            slope = np.add.reduceat(p[order], first, axis=0)
+            slope = np.add.reduceat(slopes, first, axis=0)
             self.seen[which] += np.einsum("ij,ij->i", slope, slope)
             self.weights[which] -= RATE / np.sqrt(self.seen[which])[:, None] * slope
         self.bias -= np.float32(RATE / 10 / len(p)) * p.sum(axis=0)

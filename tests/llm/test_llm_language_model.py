@@ -83,6 +83,30 @@ def test_probabilities_sum_to_one(spark):
         assert abs(total + unknown + empty - 1) < 1e-4
 
 
+def test_all_classes_and_steps_equal_plain_descent():
+    assert (lm.SINGLES, lm.ENDINGS, lm.CLASSES) == (39, 88, 128)
+    r = np.random.default_rng(4)
+    n = 3000
+    model = lm.Model(weights=r.normal(0, 0.1, (lm.ROWS, lm.CLASSES)).astype(np.float32),
+                     bias=np.zeros(lm.CLASSES, np.float32))
+    rows, classes = r.integers(0, lm.ROWS, (3, n)) // 7, r.integers(0, lm.CLASSES, n)
+    local = lm._Descent(model)
+    local.step(rows, classes)
+    z = np.exp(sum(model.weights[k].astype(float) for k in rows))
+    p = z / z.sum(axis=1, keepdims=True)
+    p[np.arange(n), classes] -= 1
+    weights, seen = model.weights.astype(float), np.ones(lm.ROWS)
+    for k in rows:
+        slope = np.zeros_like(weights)
+        np.add.at(slope, k, p)
+        seen += (slope * slope).sum(axis=1)
+        weights -= lm.RATE / np.sqrt(seen)[:, None] * slope
+    assert np.abs(local.weights - weights).max() < 1e-4
+    model.features = lambda ids, firsts: rows
+    want = np.log10(z[np.arange(n), classes] / z.sum(axis=1))
+    assert np.abs(model.class_scores(np.zeros(n), classes, None) - want).max() < 1e-4
+
+
 def test_edges(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     assert lm.score(df.limit(0)).count() == 0
