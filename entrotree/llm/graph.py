@@ -3,9 +3,14 @@
 Large-star links every larger neighbour of a node to the smallest node of its
 neighbourhood, small-star every smaller one; repeating both ends, after a
 number of rounds logarithmic in the input, in one star per component.  Every
-step is a grouped minimum (merged before the shuffle) and a join that the
-planner may split when a hub is skewed; rounds are cut with ``materialize``.
-Nothing but the count of changed edges reaches the driver.
+step is a grouped minimum (merged before the shuffle) and a join with it; rounds
+are cut with ``materialize``.  A round is left out where the links are stars
+already: one aggregation tells, and only its answer reaches the driver.
+
+A hub holds many rows of a join.  The planner splits such a partition only if
+both sides come straight from an exchange, which the grouped side does not when
+it is grouped by the join's own key; joining on a hash of the node as well makes
+it deal the minima out anew.
 """
 
 from __future__ import annotations
@@ -20,9 +25,9 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
     """One large-star (or small-star) step over edges (u, v), u > v."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     around = both if larger else edges
-    low = around.groupBy("u").agg(F.min("v").alias("m")).select(
-        "u", F.least("u", "m").alias("m"))
-    near = around.join(low, "u")
+    low = around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    hashed = F.xxhash64("u").alias("_h")
+    near = around.select("*", hashed).join(low.select("*", hashed), ["u", "_h"])
     if larger:
         out = near.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
@@ -31,6 +36,14 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
     return out.where("u <> v").distinct()
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node with a smaller one has just that, and none larger."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("above")).union(
+        edges.select("v", F.lit(0), F.lit(1)))
+    per_node = ends.groupBy("node").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return per_node.where("below > 1 or (below > 0 and above > 0)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(u, v) links between comparable ids -> (node, root): root is the smallest id linked.
 
@@ -38,10 +51,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     now = materialize(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                       .where("u <> v").distinct())
-    while True:
-        nxt = materialize(_star(_star(now, True), False))
-        if nxt.exceptAll(now).isEmpty() and now.exceptAll(nxt).isEmpty():
-            break
-        now = nxt
+    while not _stars(now):
+        now = materialize(_star(_star(now, True), False))
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
         now.select(F.col("v"), F.col("v")).distinct())

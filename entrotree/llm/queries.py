@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (chat, decontaminate, language_model, mixing, quality, resampling, secrets, simhash, token_alignment,
-               toxicity, urls, warc)
+from . import (chat, decontaminate, language_model, mixing, ngram_join, quality, resampling, secrets, simhash,
+               token_alignment, toxicity, urls, warc)
 from .common import read_table
 
 #: Folder of the public tokenizers' files, on every machine.
@@ -67,6 +67,10 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align(docs, f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
 
 
+def op12_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     drawn = resampling.resample(docs, read_table(spark, sf_dir, "benchmark").select("text"))
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_weighted_fair_mix": op9_weighted_fair_mix,
     "op10_toxicity": op10_toxicity,
     "op11_token_alignment": op11_token_alignment,
+    "op12_ngram_jaccard": op12_ngram_jaccard,
     "op13_importance_resampling": op13_importance_resampling,
 }
 

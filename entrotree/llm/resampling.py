@@ -45,6 +45,7 @@ PERCENT = 10
 SEED = "2024"
 SLICE = 1 << 20  # bytes of a text that are cut into words at once
 KNOWN = 300_000  # features whose buckets a worker remembers
+HELD = 50_000  # features whose buckets are looked up at once
 LONG = 512  # longer features are hashed one by one: matrices of few rows gain nothing
 
 # Bytes of words are digits, a-z and all of other scripts; A-Z is lowered, the rest parts words.
@@ -107,7 +108,7 @@ class _Buckets:
         self.buckets, self.known = buckets, {}
 
     def __call__(self, features: list[bytes]) -> np.ndarray:
-        fresh = list(set(features) - self.known.keys())
+        fresh = [f for f in set(features) if f not in self.known]
         if fresh:
             if len(self.known) + len(fresh) > KNOWN:
                 self.known.clear()
@@ -125,9 +126,14 @@ def bucket_counts(docs: DataFrame, n: int = N, buckets: int = BUCKETS) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, counts = _Buckets(buckets), np.zeros(buckets, np.int64)
         for batch in batches:
+            held = []
             for text in _texts(batch, 0):
                 for _, found in feature_runs(text, n):
-                    counts += np.bincount(place(found), minlength=buckets)
+                    held += found
+                    if len(held) >= HELD:
+                        counts += np.bincount(place(held), minlength=buckets)
+                        held = []
+            counts += np.bincount(place(held), minlength=buckets)
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(counts[some])], ["bucket", "n"])
 

@@ -8,15 +8,11 @@ looked up in the longer one, by steps that double from its expected place and
 a binary search between the last two.  A hit is a common end; the difference of
 the ranks found for a token's two ends is its range of overlapping tokens.
 
-Encoding: neither tokenizer merges across a blank that follows something else
-than white space (B: no piece has a blank within; checked when it is loaded),
-so a text is cut there, and a bounded number of pieces keep their ids.
-
-Scale: two passes over the texts, in record batches.  The first counts id pairs;
-a pair's count and whether it is the highest of its B id make a table with as
-many rows as there are pairs.  The second aligns again and sums the counts of a
-document's links: of the ``HEAD`` most frequent pairs from a broadcast of that
-size, of all others by a join.  Texts and ids are never shuffled.
+Scale: texts are read and encoded once, in record batches, and never shuffled.  A
+document keeps its different id pairs, packed; these are counted over all
+documents in a table with as many rows as there are pairs, which says of each
+pair whether its count is its B id's highest.  A document's sums come from the
+``HEAD`` most frequent pairs, broadcast, and from a join for all others.
 
 Defined cases: a null or empty text, or one whose bytes a tokenizer does not
 give back, has no tokens and zeros; special tokens in a text are plain text;
@@ -32,6 +28,7 @@ import hashlib
 import json
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -45,10 +42,8 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 BLANK = "▁"  # stands for a blank in pieces
 HEAD = 1 << 18
 LEVELS = 8  # levels of counts per doubling, to find the head
-KNOWN = 300_000  # pieces of text whose ids a worker remembers
-LONGEST = 40  # characters of a piece that is remembered
 FLUSH = 1 << 21  # bytes of text that are aligned at once
-PAIRS = 1 << 21  # links a task holds before it counts them
+PAIRS = 1 << 21  # pairs a task holds before it counts them
 
 
 def byte_of_character() -> dict[str, int]:
@@ -58,19 +53,8 @@ def byte_of_character() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class _Encoder:
-    """Ids of texts, and the bytes of each id."""
-
-    token_bytes: list[bytes]
-    cuts = True  # no token reaches across a blank that follows something else than white space
-
-    def encode(self, text: str) -> list[int]:
-        """Ids of a blank and the text."""
-        raise NotImplementedError
-
-
-class ByteEncoder(_Encoder):
-    """A byte-level BPE file of the tokenizers library."""
+class ByteEncoder:
+    """A byte-level BPE file of the tokenizers library: ids of a blank and a text."""
 
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
@@ -87,23 +71,22 @@ class ByteEncoder(_Encoder):
         usual = (before["type"], before["add_prefix_space"], before["use_regex"], spec["normalizer"]) == (
             "ByteLevel", False, True, None)
         if usual and made == sorted(made) and not spec["model"]["ignore_merges"]:
-            import tiktoken  # the same vocabulary, whose ids ascend with the merges
+            import tiktoken  # the same vocabulary, whose ids ascend with the merges; several times as fast
 
             self._run = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=plain, special_tokens={}).encode_ordinary
         else:
             from tokenizers import Tokenizer
 
-            self.cuts = False
             whole = Tokenizer.from_file(path)
             whole.encode_special_tokens = True
             self._run = lambda text: whole.encode(text, add_special_tokens=False).ids
 
-    def encode(self, text: str) -> list[int]:
+    def __call__(self, text: str) -> list[int]:
         return self._run(" " + text)
 
 
-class PieceEncoder(_Encoder):
-    """A BPE file of the sentencepiece library, which sets a blank before each text."""
+class PieceEncoder:
+    """A BPE file of the sentencepiece library, which itself sets a blank before a text."""
 
     def __init__(self, path: str) -> None:
         import sentencepiece
@@ -112,9 +95,8 @@ class PieceEncoder(_Encoder):
         pieces = [run.id_to_piece(i) for i in range(len(run))]
         self.token_bytes = [bytes([int(p[3:-1], 16)]) if run.is_byte(i) else p.replace(BLANK, " ").encode()
                             for i, p in enumerate(pieces)]
-        self.cuts = not any(BLANK in p.lstrip(BLANK) for p in pieces)
 
-    def encode(self, text: str) -> list[int]:
+    def __call__(self, text: str) -> list[int]:
         return self._run.encode(text, num_threads=1)
 
 
@@ -122,78 +104,25 @@ class Pair:
     """Both tokenizers; ids of a text as two arrays, or nothing if its bytes do not come back."""
 
     def __init__(self, path_a: str, path_b: str) -> None:
-        self.a, self.b = ByteEncoder(path_a), PieceEncoder(path_b)
-        self.sizes = [np.array([len(t) for t in e.token_bytes], np.int64) for e in (self.a, self.b)]
-        self.n_b = len(self.b.token_bytes)
+        self.encoders = ByteEncoder(path_a), PieceEncoder(path_b)
+        self.token_bytes = [e.token_bytes for e in self.encoders]
+        self.sizes = [np.array([len(t) for t in b], np.int64) for b in self.token_bytes]
+        self.n_b = len(self.sizes[1])
         # Ids as text, followed by what can follow: within a side, at a side's or a group's end.
-        self.words = [[f"{i}{end}" for i in range(len(e.token_bytes)) for end in ends]
-                      for e, ends in ((self.a, ",|"), (self.b, ",;"))]
-        self.cuts = self.a.cuts and self.b.cuts
-        self.known: dict[str, tuple[bytes, bytes] | None] = {}
-
-    def _whole(self, text: str) -> tuple[bytes, bytes] | None:
-        want = (" " + text).encode()
-        ids = [e.encode(text) for e in (self.a, self.b)]
-        if any(b"".join(map(e.token_bytes.__getitem__, i)) != want for e, i in zip((self.a, self.b), ids, strict=True)):
+        self.words = [[f"{i}{end}" for i in range(len(b)) for end in ends]
+                      for b, ends in zip(self.token_bytes, (",|", ",;"), strict=True)]
+
+    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of A and B for a blank and the text; None without tokens."""
+        if not text:
             return None
-        return tuple(np.array(i, np.uint16).tobytes() for i in ids)
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Remember the ids of pieces: encoded together, and cut at their ends."""
-        for i in range(0, len(pieces), 500):
-            part = pieces[i:i + 500]
-            both = self._whole(" ".join(part))
-            ends = np.cumsum([len(p.encode()) + 1 for p in part])
-            found = []
-            for ids, sizes in zip(both or (), self.sizes, strict=False):
-                ids = np.frombuffer(ids, np.uint16)
-                at = np.cumsum(sizes[ids])
-                cut = np.searchsorted(at, ends)
-                if not np.array_equal(at[np.minimum(cut, len(at) - 1)], ends):
-                    break
-                found.append([ids[x:y].tobytes() for x, y in zip([0, *cut[:-1] + 1], cut + 1, strict=True)])
-            if len(found) == 2:
-                self.known.update(zip(part, zip(*found, strict=True), strict=True))
-            else:  # some piece does not come back
-                self.known.update((p, self._whole(p)) for p in part)
-
-    def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes] | None]:
-        """Per text the ids (16 bits each) of A and B for a blank and the text; None without tokens."""
-        if not self.cuts or max(map(len, self.sizes)) > 1 << 16:
-            raise ValueError("these tokenizers merge across blanks or have more than 65,536 tokens")
-        cut = [self.pieces(t) if t else None for t in texts]
-        # The last piece of a text may end in white space, which would reach into what follows it.
-        used = {p for c in cut if c for p in c if 0 < len(p) <= LONGEST and not p[-1].isspace()}
-        fresh = used - self.known.keys()
-        if len(self.known) + len(fresh) > KNOWN:
-            self.known.clear()
-            fresh = used
-        self._learn(list(fresh))
-        out = []
-        for text, c in zip(texts, cut, strict=True):
-            if not c:
-                out.append(None)
-                continue
-            ids = [self.known[p] if p in self.known else self._whole(p) if p else None for p in c]
-            if None in ids:  # a blank at the end, or bytes that do not come back
-                out.append(self._whole(text))
-            else:
-                out.append((b"".join([x[0] for x in ids]), b"".join([x[1] for x in ids])))
-        return out
-
-    @staticmethod
-    def pieces(text: str) -> list[str]:
-        """The text cut at blanks that follow something else than white space (those blanks dropped)."""
-        parts = text.split(" ")
-        if "" not in parts and not any(p[-1].isspace() for p in parts):
-            return parts
-        out, held = [], []
-        for p in parts:
-            held.append(p)
-            if p and not p[-1].isspace():
-                out.append(" ".join(held))
-                held = []
-        return [*out, " ".join(held)] if held else out
+        want, out = (" " + text).encode(), []
+        for encode, parts in zip(self.encoders, self.token_bytes, strict=True):
+            ids = encode(text)
+            if b"".join(map(parts.__getitem__, ids)) != want:
+                return None
+            out.append(np.array(ids, np.int32))
+        return tuple(out)
 
 
 @lru_cache(maxsize=2)
@@ -270,12 +199,6 @@ class Aligned:
         """Sums of a number of each short token by text."""
         return np.add.reduceat(values, self.first[:-1])
 
-    def per_text_of_links(self, values: np.ndarray) -> np.ndarray:
-        """Sums of a number of each link by text."""
-        sums = np.concatenate([[0], np.cumsum(values)])
-        at = np.concatenate([[0], np.cumsum(self.per_text(self.overlaps))])
-        return sums[at[1:]] - sums[at[:-1]]
-
     def group_texts(self, a_is_short: bool, words: list[list[str]]) -> list[str]:
         """``a,a|b;a|b,b`` of each text."""
         hits = np.flatnonzero(self.common)
@@ -292,7 +215,7 @@ class Aligned:
         out[np.arange(len(b)) + np.repeat(ends_a + 1, size_b)] = code_b
         all_words, out = words[0] + words[1], out.tolist()
         cuts = np.concatenate([[0], np.cumsum(self.n_short + self.n_long)]).tolist()
-        return ["".join(map(all_words.__getitem__, out[x:y]))[:-1] for x, y in zip(cuts, cuts[1:], strict=False)]
+        return ["".join(map(all_words.__getitem__, out[x:y]))[:-1] for x, y in pairwise(cuts)]
 
 
 def _groups(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list]]:
@@ -309,8 +232,7 @@ def _groups(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa
 
 def _aligned(pair: Pair, texts: list[str | None]) -> Iterator[tuple[list[int], bool, Aligned]]:
     """(places of the texts, whether A has the shorter list, their alignment); texts without tokens are left out."""
-    ids = pair.encode(texts)
-    found = [(i, *[np.frombuffer(x, np.uint16) for x in both]) for i, both in enumerate(ids) if both]
+    found = [(i, *ids) for i, ids in enumerate(map(pair.encode, texts)) if ids]
     for a_is_short in (True, False):
         mine = [f for f in found if (len(f[1]) <= len(f[2])) == a_is_short]
         if mine:
@@ -319,32 +241,88 @@ def _aligned(pair: Pair, texts: list[str | None]) -> Iterator[tuple[list[int], b
             yield places, a_is_short, Aligned(*sides)
 
 
-def _codes(pair: Pair, a_is_short: bool, found: Aligned) -> np.ndarray:
-    """One number for the id pair of each link."""
+def _pairs_of_texts(pair: Pair, a_is_short: bool, found: Aligned) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per text its different linked id pairs, ascending, and the number of links of each."""
     x, y = found.links()
-    return x * pair.n_b + y if a_is_short else y * pair.n_b + x
+    codes = x * pair.n_b + y if a_is_short else y * pair.n_b + x
+    n_links = found.per_text(found.overlaps)
+    span = np.int64(len(pair.sizes[0])) * pair.n_b
+    keys, many = np.unique(np.repeat(np.arange(len(n_links)), n_links) * span + codes, return_counts=True)
+    cuts = np.searchsorted(keys, np.arange(len(n_links) + 1) * span)
+    codes = keys % span
+    for i, j in pairwise(cuts.tolist()):
+        yield codes[i:j], many[i:j]
+
+
+def _packed(codes: np.ndarray, many: np.ndarray) -> bytes:
+    """Ascending pairs by their steps, and counts, compressed."""
+    both = np.concatenate([np.diff(codes, prepend=0), many]).astype(np.uint32)
+    return pa.compress(both.tobytes(), codec="zstd", asbytes=True) + len(both).to_bytes(4, "little")
+
 
+def _unpacked(packed: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    if not packed:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    size = int.from_bytes(packed[-4:], "little")
+    both = np.frombuffer(pa.decompress(packed[:-4], decompressed_size=4 * size, codec="zstd", asbytes=True), np.uint32)
+    steps, many = both[:size // 2].astype(np.int64), both[size // 2:].astype(np.int64)
+    return np.cumsum(steps), many
+
+
+def aligned_rows(docs: DataFrame, path_a: str, path_b: str, groups: bool = False) -> DataFrame:
+    """Per row: doc_id, n_a, n_b, n_groups, n_links, groups_sha256, and its id pairs (``pairs``, packed).
+
+    A pair is the number A id x B ids + B id.  With ``groups`` the groups are a column more.
+    """
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    schema = (f"doc_id {id_type}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs binary"
+              + (", groups string" if groups else ""))
 
-def pair_counts(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """(pair, n): links of each id pair in the ``text`` column; pair = A id x B ids + B id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair, held, size = _pair(path_a, path_b), [], 0
+        pair = _pair(path_a, path_b)
+        for part, texts in _groups(batches, 1):
+            numbers = np.zeros((4, len(texts)), np.int64)
+            digests, pairs, written = [""] * len(texts), [b""] * len(texts), [""] * len(texts)
+            for places, a_is_short, found in _aligned(pair, texts):
+                sides = (found.n_short, found.n_long) if a_is_short else (found.n_long, found.n_short)
+                numbers[:, places] = [*sides, found.per_text(found.common.astype(np.int64)),
+                                      found.per_text(found.overlaps)]
+                for i, both, text in zip(places, _pairs_of_texts(pair, a_is_short, found),
+                                         found.group_texts(a_is_short, pair.words), strict=True):
+                    digests[i], pairs[i] = hashlib.sha256(text.encode()).hexdigest(), _packed(*both)
+                    written[i] = text if groups else ""
+            columns = [part.column(0), *[pa.array(x) for x in numbers], pa.array(digests, pa.string()),
+                       pa.array(pairs, pa.binary())]
+            names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs"]
+            if groups:
+                columns, names = [*columns, pa.array(written, pa.string())], [*names, "groups"]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
+
+
+def pair_counts(rows: DataFrame) -> DataFrame:
+    """(pair, n): links of each id pair in the packed column ``pairs``; summed in the tasks before the shuffle."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
 
         def counted() -> pa.RecordBatch:
-            codes, n = np.unique(np.concatenate(held or [np.empty(0, np.int64)]), return_counts=True)
+            codes, many = (np.concatenate(x) for x in zip(*held, strict=True)) if held else _unpacked(None)
             held.clear()
+            codes, at = np.unique(codes, return_inverse=True)
+            n = np.bincount(at, weights=many, minlength=len(codes)).astype(np.int64)
             return pa.RecordBatch.from_arrays([pa.array(codes, pa.int64()), pa.array(n, pa.int64())], ["pair", "n"])
 
-        for _, texts in _groups(batches, 0):
-            for _, a_is_short, found in _aligned(pair, texts):
-                held.append(_codes(pair, a_is_short, found))
-                size += len(held[-1])
-            if size >= PAIRS:
-                yield counted()
-                size = 0
+        for batch in batches:
+            for x in batch.column(0):
+                held.append(_unpacked(x.as_py()))
+                size += len(held[-1][0])
+                if size >= PAIRS:
+                    yield counted()
+                    size = 0
         yield counted()
 
-    return docs.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    return rows.select("pairs").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 def _best_pairs(counts: DataFrame, n_b: int) -> DataFrame:
@@ -371,55 +349,37 @@ def align(docs: DataFrame, path_a: str, path_b: str, head: int = HEAD, groups: b
 
     With ``groups`` the groups themselves are a column more (``a,a|b;a|b,b``).
     """
-    n_b = _pair(path_a, path_b).n_b
-    pairs = materialize(_best_pairs(materialize(pair_counts(docs, path_a, path_b)), n_b))
+    rows = materialize(aligned_rows(docs, path_a, path_b, groups).withColumn("_row", F.monotonically_increasing_id()))
+    pairs = materialize(_best_pairs(materialize(pair_counts(rows)), _pair(path_a, path_b).n_b))
     top = sorted((r["pair"], r["n"], r["best"]) for r in _head(pairs, head))
-    sent = docs.sparkSession.sparkContext.broadcast(
-        (np.array([t[0] for t in top], np.int64), np.array([t[1] for t in top], np.int64),
-         np.array([t[2] for t in top], np.int64)))
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = (f"doc_id {id_type}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
-              "groups_sha256 string, rest array<long>" + (", groups string" if groups else ""))
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(np.array([t[i] for t in top], np.int64) for i in range(3)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = _pair(path_a, path_b)
         codes, counts, best = sent.value
-        for part, texts in _groups(batches, 1):
-            numbers = np.zeros((6, len(texts)), np.int64)
-            digests, rest, written = [""] * len(texts), [[]] * len(texts), [""] * len(texts)
-            for places, a_is_short, found in _aligned(pair, texts):
-                link = _codes(pair, a_is_short, found)
-                at = np.minimum(np.searchsorted(codes, link), max(len(codes) - 1, 0))
-                hit = codes[at] == link if len(codes) else np.zeros(len(link), bool)
-                n_links = found.per_text(found.overlaps)
-                sides = (found.n_short, found.n_long) if a_is_short else (found.n_long, found.n_short)
-                numbers[:, places] = [*sides, found.per_text(found.common.astype(np.int64)), n_links,
-                                      *(found.per_text_of_links(np.where(hit, x[at], 0) if len(codes) else link * 0)
-                                        for x in (best, counts))]
-                missing = np.concatenate([[0], np.cumsum(~hit)])
-                cuts = np.concatenate([[0], np.cumsum(n_links)])
-                others = link[~hit]
-                for i, x, y, text in zip(places, missing[cuts[:-1]], missing[cuts[1:]],
-                                         found.group_texts(a_is_short, pair.words), strict=True):
-                    digests[i] = hashlib.sha256(text.encode()).hexdigest()
-                    rest[i] = others[x:y]
-                    written[i] = text
-            columns = [part.column(0), *[pa.array(x) for x in numbers], pa.array(digests, pa.string()),
-                       pa.array(rest, pa.list_(pa.int64()))]
-            names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "rest"]
-            if groups:
-                columns, names = [*columns, pa.array(written, pa.string())], [*names, "groups"]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    rows = materialize(docs.select("doc_id", "text").mapInArrow(run, schema)
-                       .withColumn("_row", F.monotonically_increasing_id()))
-    # Links outside the head: counted per row and pair, then joined to the pairs.
-    others = (rows.select("_row", F.explode("rest").alias("pair")).groupBy("_row", "pair").agg(F.count("*").alias("many"))
-              .join(pairs, "pair").groupBy("_row")
-              .agg(F.sum(F.col("many") * F.col("n")).alias("_sum"),
-                   F.sum(F.when(F.col("best"), F.col("many")).otherwise(0)).alias("_best")))
-    zero = F.lit(0).cast("long")
-    return rows.join(others, "_row", "left").select(
-        "doc_id", "n_a", "n_b", "n_groups", "n_links", (F.col("n_best") + F.coalesce("_best", zero)).alias("n_best"),
-        (F.col("count_sum") + F.coalesce("_sum", zero)).alias("count_sum"), "groups_sha256",
-        *(["groups"] if groups else []))
+        for batch in batches:
+            sums, bests, rest, many_rest = [], [], [], []
+            for x in batch.column(1):
+                mine, many = _unpacked(x.as_py())
+                at = np.minimum(np.searchsorted(codes, mine), max(len(codes) - 1, 0))
+                hit = codes[at] == mine if len(codes) else np.zeros(len(mine), bool)
+                at, n = at[hit], many[hit]
+                sums.append(int((counts[at] * n).sum()))
+                bests.append(int((best[at] * n).sum()))
+                rest.append(mine[~hit])
+                many_rest.append(many[~hit])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sums, pa.int64()), pa.array(bests, pa.int64()),
+                 pa.array(rest, pa.list_(pa.int64())), pa.array(many_rest, pa.list_(pa.int64()))],
+                ["_row", "_sum", "_best", "rest", "many"])
+
+    summed = materialize(rows.select("_row", "pairs").mapInArrow(
+        run, "_row long, _sum long, _best long, rest array<long>, many array<long>"))
+    # Pairs outside the head: joined to the table of pairs.
+    others = (summed.select("_row", F.explode(F.arrays_zip("rest", "many")).alias("r"))
+              .select("_row", F.col("r.rest").alias("pair"), F.col("r.many").alias("many")).join(pairs, "pair")
+              .select("_row", (F.col("many") * F.col("n")).alias("_sum"),
+                      F.when(F.col("best"), F.col("many")).otherwise(0).alias("_best")))
+    per_row = (summed.select("_row", "_sum", "_best").union(others).groupBy("_row")
+               .agg(F.sum("_best").alias("n_best"), F.sum("_sum").alias("count_sum")))
+    return rows.join(per_row, "_row").select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                                             "groups_sha256", *(["groups"] if groups else []))

@@ -110,14 +110,11 @@ def test_groups_are_returned(spark, plain):
     assert ta.align(docs.limit(0), A, B).count() == 0
 
 
-def test_small_memory_of_pieces(monkeypatch, plain):
-    monkeypatch.setattr(ta, "KNOWN", 50)
-    pair = ta.Pair(A, B)
-    for _, text in odd_texts()[:60]:
-        ids = pair.encode([text])[0]
-        a, b = plain(text)
-        assert (ids is None and not a) or [np.frombuffer(x, np.uint16).tolist() for x in ids] == [
-            [i for i, _ in a], [i for i, _ in b]]
+def test_pairs_are_packed_and_unpacked():
+    codes, many = np.array([0, 5, 5 + 2**31 - 10]), np.array([1, 70_000, 3])
+    for got, want in zip(ta._unpacked(ta._packed(codes, many)), (codes, many), strict=True):
+        assert np.array_equal(got, want)
+    assert all(len(x) == 0 for x in ta._unpacked(ta._packed(codes[:0], many[:0])))
 
 
 def test_gallop_equals_bisection():
