@@ -20,9 +20,9 @@ tiles then compare only sets of different classes, so a group of near copies,
 however large, is never compared pair by pair.  A first round of tiles tries few
 pairs per pair of classes, a last one all that are left: no link between
 different classes is lost.  A tile of more than ``FULL`` sets is cut into blocks:
-those of its largest class meet only the others.  Arrays are read only of sets
-that share a shingle or pivot with another.  The driver holds the counting
-buckets (a fixed number), and nothing of the documents.
+those of its largest class meet only the others.  Arrays are made again from the
+texts, only of sets in a pair to decide.  The driver holds the counting buckets
+(a fixed number), and nothing of the documents.
 
 Defined cases: a null, empty or blank text has the empty set and is linked with
 nothing, its component is its own id; a text of fewer words than a shingle is
@@ -42,7 +42,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..runtime import fits_broadcast
@@ -110,6 +110,14 @@ def _binary(batch: pa.RecordBatch, column: int) -> Iterator[bytes | None]:
     return (x.as_py() for x in batch.column(column).cast(pa.binary()))
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    return pa.compress(counts.astype(np.int64).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.frombuffer(pa.decompress(packed, decompressed_size=8 * BLOCK, codec="zstd", asbytes=True), np.int64)
+
+
 def _summed(counts: DataFrame, *keys: str) -> DataFrame:
     """Sum the arrays of equal keys, streaming."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,10 +125,10 @@ def _summed(counts: DataFrame, *keys: str) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 key = (row["block"], row["salt"])
-                some = np.frombuffer(row["counts"], np.int64)
+                some = _unpacked(row["counts"])
                 sums[key] = sums[key] + some if key in sums else some
         for (block, salt), some in sums.items():
-            yield pa.RecordBatch.from_pylist([{"block": block, "salt": salt, "counts": some.tobytes()}],
+            yield pa.RecordBatch.from_pylist([{"block": block, "salt": salt, "counts": _packed(some)}],
                                              schema=pa.schema([("block", pa.int32()), ("salt", pa.int32()),
                                                                ("counts", pa.binary())]))
     return counts.repartition(*keys).mapInArrow(run, counts.schema)
@@ -141,13 +149,13 @@ def crowding(docs: DataFrame, shingle: int = SHINGLE) -> np.ndarray:
             part = counts[block * BLOCK:(block + 1) * BLOCK]
             if part.any():
                 yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([salt], pa.int32()),
-                                                  pa.array([part.tobytes()], pa.binary())], ["block", "salt", "counts"])
+                                                  pa.array([_packed(part)], pa.binary())], ["block", "salt", "counts"])
 
     each = docs.select("text").mapInArrow(run, "block int, salt int, counts binary")
     whole = _summed(_summed(each, "block", "salt").withColumn("salt", F.lit(0)), "block")
     counts = np.zeros(SKETCH, np.int64)
     for r in whole.toLocalIterator():  # a fixed number of buckets
-        counts[r["block"] * BLOCK:(r["block"] + 1) * BLOCK] = np.frombuffer(r["counts"], np.int64)
+        counts[r["block"] * BLOCK:(r["block"] + 1) * BLOCK] = _unpacked(r["counts"])
     usual = max(1.0, counts.mean())
     return np.floor(np.log2(np.maximum(counts / usual, 1))).astype(np.uint8)
 
@@ -186,8 +194,12 @@ def _bitmap(found: np.ndarray, width: int) -> bytes:
     return np.packbits(flags, bitorder="little").tobytes()
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+
+
 def sets(docs: DataFrame, crowded: np.ndarray, rule: Rule, shingle: int = SHINGLE) -> DataFrame:
-    """Per row: doc_id, text_key, n, set_id, keys (prefix), pivots, bits."""
+    """Per row: doc_id, text_key, n, set_id, keys (prefix), plain (keys of no crowded bucket, the first), pivots, bits."""
     sent = docs.sparkSession.sparkContext.broadcast(crowded)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     factors = [np.uint64(pow(_ODD, 2 * k, 1 << 64)) for k in range(PIVOTS)]
@@ -195,54 +207,59 @@ def sets(docs: DataFrame, crowded: np.ndarray, rule: Rule, shingle: int = SHINGL
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         crowd = sent.value
         for batch in batches:
-            n, ids, keys, pivots, bits = [], [], [], [], []
+            n, ids, keys, plain, pivots, bits = [], [], [], [], [], []
             for text in _binary(batch, 2):
                 found = shingle_set(text, shingle)
                 n.append(len(found))
                 if not len(found):
-                    ids.append(b"")
-                    keys.append([])
-                    pivots.append([])
-                    bits.append(b"")
+                    for column, nothing in ((ids, b""), (keys, []), (plain, 0), (pivots, []), (bits, b"")):
+                        column.append(nothing)
                     continue
                 ids.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
                 level = crowd[(found % np.uint64(SKETCH)).astype(np.int64)]
-                order = np.argsort(level, kind="stable") if level.any() else slice(None)
-                keys.append(found[order][:rule.prefix(len(found))].view(np.int64))
-                pivots.append(np.array([(found * f).min() for f in factors]).view(np.int64))
+                first = found[np.argsort(level, kind="stable")] if level.any() else found
+                keys.append(first[:rule.prefix(len(found))].view(np.int64))
+                plain.append(min(len(keys[-1]), int((level == 0).sum())))
+                pivots.append(np.array([(found * f).min() for f in factors], np.uint64).view(np.int64))
                 # Kept for the higher of the two bands a set is compared in.
                 bits.append(_bitmap(found, rule.width(math.floor(math.log(len(found)) / rule.base + 1e-9) + 1)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(ids, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64())), pa.array(pivots, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
-                ["doc_id", "text_key", "n", "set_id", "keys", "pivots", "bits"])
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(plain, pa.int32()),
+                 pa.array(pivots, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
+                ["doc_id", "text_key", "n", "set_id", "keys", "plain", "pivots", "bits"])
 
-    return _keyed_texts(docs, "doc_id").mapInArrow(
-        run, f"doc_id {id_type}, text_key string, n long, set_id binary, keys array<long>, pivots array<long>, bits binary")
+    return _keyed(docs).mapInArrow(
+        run, f"doc_id {id_type}, text_key long, n long, set_id binary, keys array<long>, plain int, pivots array<long>, "
+             "bits binary")
 
 
-def _keyed_texts(docs: DataFrame, *more: str) -> DataFrame:
-    return docs.select(*more, F.md5(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
+class Texts:
+    """The documents' texts, read again for the sets that are intersected."""
 
+    def __init__(self, docs: DataFrame, unique: DataFrame, repeated: bool, shingle: int) -> None:
+        self.docs, self.shingle, self.repeated = _keyed(docs), shingle, repeated
+        self.places = unique.select("id", F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"))
 
-def _arrays(docs: DataFrame, needed: DataFrame, shingle: int) -> DataFrame:
-    """(id, found): the sorted hashes of the sets in ``needed`` (id, text_key), as binary."""
-    keys = needed.select("text_key").distinct()
-    if fits_broadcast(keys):
-        keys = F.broadcast(keys)
-    texts = (_keyed_texts(docs).join(keys, "text_key", "left_semi")
-             .groupBy("text_key").agg(F.first("text").alias("text")))
+    def arrays(self, wanted: DataFrame, *more: str) -> DataFrame:
+        """(id, more..., found): the sorted hashes of the set of every row of ``wanted`` (id, more...), as binary."""
+        names, shingle = ["id", *more], self.shingle
+        placed = materialize(wanted.join(self.places, "id"))
+        side = F.broadcast(placed) if fits_broadcast(placed) else placed
+        texts = self.docs.join(side, (F.col("text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
+        texts = texts.select(*names, "text")
+        if self.repeated:  # several rows of one id and text
+            texts = texts.groupBy(*names).agg(F.first("text").alias("text"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shingle_set(t, shingle).tobytes() for t in _binary(batch, 1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["text_key", "found"])
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = [shingle_set(t, shingle).tobytes() for t in _binary(batch, len(names))]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.binary())], [*names, "found"])
 
-    return materialize(texts.mapInArrow(run, "text_key string, found binary").join(needed, "text_key")
-                       .select("id", "found"))
+        return texts.mapInArrow(run, ", ".join(f"{n} long" for n in names) + ", found binary")
 
 
-def _verified(pairs: DataFrame, arrays: DataFrame, rule: Rule) -> DataFrame:
+def _verified(pairs: DataFrame, texts: Texts, rule: Rule) -> DataFrame:
     """The pairs (u, v) whose sets are similar: exact intersections of sorted arrays."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -256,9 +273,10 @@ def _verified(pairs: DataFrame, arrays: DataFrame, rule: Rule) -> DataFrame:
                 good.append(shared >= rule.overlap(len(x), len(y)))
             yield batch.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
 
-    both = (pairs.join(arrays.toDF("u", "found_u"), "u").join(arrays.toDF("v", "found_v"), "v")
-            .select("u", "v", "found_u", "found_v"))
-    return both.mapInArrow(run, "u long, v long")
+    pairs = materialize(pairs)
+    left = texts.arrays(pairs.toDF("id", "v"), "v").toDF("u", "v", "found_u")
+    right = texts.arrays(pairs.select(F.col("v").alias("id")).distinct()).toDF("v", "found_v")
+    return left.join(right, "v").select("u", "v", "found_u", "found_v").mapInArrow(run, "u long, v long")
 
 
 def _pivot_pairs(unique: DataFrame) -> DataFrame:
@@ -318,6 +336,26 @@ def _compared(rows: dict[str, np.ndarray], rule: Rule, few: int | None) -> list[
     return [ids[x], ids[y]]
 
 
+def _meetings(unique: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
+    """(key, id, n, short): the prefix shingles that sets of different classes share.
+
+    Sets meet in one exchange by shingle.  Shingles of crowded buckets, which may
+    be those of a large part of all sets, are counted first and then joined.
+    """
+    short = F.col("place") < rule.short_prefix(F.col("n"))
+    each = (unique.join(labels, "id", "left")
+            .select("id", "n", "plain", F.coalesce("label", "id").alias("label"),
+                    F.posexplode("keys").alias("place", "key"))
+            .select("key", "id", "n", short.alias("short"), "label", (F.col("place") < F.col("plain")).alias("_plain")))
+    together = Window.partitionBy("key")
+    plain = (each.where("_plain").withColumns({"_low": F.min("label").over(together), "_high": F.max("label").over(together)})
+             .where("_low < _high").select("key", "id", "n", "short"))
+    crowded = each.where("not _plain")
+    several = materialize(crowded.groupBy("key").agg(F.min("label").alias("_low"), F.max("label").alias("_high"))
+                          .where("_low < _high").select("key"))
+    return plain.union(crowded.join(several, "key").select("key", "id", "n", "short"))
+
+
 def _candidates(meets: DataFrame, attributes: DataFrame, labels: DataFrame, rule: Rule, few: int | None) -> DataFrame:
     """(u, v): sets of different classes that may be similar, from all tiles.
 
@@ -388,28 +426,25 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     rows = materialize(sets(docs, crowding(docs, shingle), rule, shingle)
                        .withColumn("_row", F.monotonically_increasing_id()))
     named = materialize(rows.where("n > 0").groupBy("set_id").agg(F.min("_row").alias("id"), F.min("doc_id").alias("low")))
-    unique = materialize(rows.join(named.select(F.col("id").alias("_row")), "_row", "left_semi")
-                         .select(F.col("_row").alias("id"), "n", "text_key", "keys", "pivots", "bits"))
-    short = F.col("place") < rule.short_prefix(F.col("n"))
-    prefixes = unique.select("id", "n", F.posexplode("keys").alias("place", "key")).select(
-        "key", "id", "n", short.alias("short"))
-    shared = materialize(prefixes.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1").select("key"))
-    meets = materialize(prefixes.join(shared, "key"))
-    pairs = materialize(_pivot_pairs(unique))
-    ids = meets.select("id").union(pairs.select("u")).union(pairs.select("v")).distinct()
-    arrays = _arrays(docs, materialize(unique.select("id", "text_key").join(ids, "id", "left_semi")), shingle)
-
-    links = materialize(_verified(pairs, arrays, rule))
-    attributes = unique.select("id", "bits")
+    ids = named.select(F.col("id").alias("_row"))
+    small = fits_broadcast(ids)
+    unique = rows.join(F.broadcast(ids) if small else ids, "_row", "left_semi").withColumnRenamed("_row", "id")
+    unique = unique if small else materialize(unique)  # a filter of what is stored already, or an exchange
+    repeated = not rows.groupBy("doc_id", "text_key").count().where("count > 1").isEmpty()
+    texts = Texts(docs, unique, repeated, shingle)
+
+    links = materialize(_verified(_pivot_pairs(unique), texts, rule))
+    classes = materialize(components(links)).toDF("id", "label")
+    meets = materialize(_meetings(unique, classes, rule))
     for few in (FEW, None):
-        classes = materialize(components(links)).toDF("id", "label")
-        more = _verified(_candidates(meets, attributes, classes, rule, few), arrays, rule)
+        more = _verified(_candidates(meets, unique.select("id", "bits"), classes, rule, few), texts, rule)
         # Classes stand for the links they were made of.
         links = materialize(classes.where("id <> label").toDF("u", "v").union(more))
-    roots = components(links).toDF("id", "root")
-    together = named.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    lowest = together.groupBy("root").agg(F.min("low").alias("component_id"))
-    names = materialize(materialize(together.select("set_id", "root")).join(materialize(lowest), "root")
-                        .select("set_id", "component_id"))
+        classes = materialize(components(links)).toDF("id", "label")
+    together = (named.join(classes, "id", "left")
+                .select("set_id", F.coalesce("label", "id").alias("root"), "low"))
+    together = materialize(together)
+    lowest = materialize(together.groupBy("root").agg(F.min("low").alias("component_id")))
+    names = materialize(together.join(lowest, "root").select("set_id", "component_id"))
     linked = rows.where("n > 0").join(names, "set_id").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return linked.union(rows.where("n = 0").select("doc_id", "n", "doc_id"))
