@@ -122,6 +122,45 @@ def binary_path(parent: str | Column, feature: str | Column, side: str,
                     _col(threshold).cast("string"))
 
 
+def sql_name(column: str) -> str:
+    """A column name in SQL text."""
+    return "`" + column.replace("`", "``") + "`"
+
+
+def sql_text(value) -> str:
+    """A text literal in SQL text."""
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_literal(value, kind: str) -> str:
+    """A value of type ``kind`` in SQL text; exact, as every type reads back its own text."""
+    if value is None:
+        return f"CAST(NULL AS {kind})"
+    if kind == "string":
+        return sql_text(value)
+    return f"CAST({sql_text(str(value).lower() if isinstance(value, bool) else value)} AS {kind})"
+
+
+def sql_path_part(expr: str) -> str:
+    """``path_part`` as SQL text."""
+    out = f"CAST({expr} AS STRING)"
+    for c, escaped in PATH_ESCAPES.items():
+        out = f"replace({out}, '{c}', '{escaped}')"
+    return out
+
+
+def escaped_part(text: str) -> str:
+    """``path_part`` of a text known here."""
+    for c, escaped in PATH_ESCAPES.items():
+        text = text.replace(c, escaped)
+    return text
+
+
+def is_whole(kind: str) -> bool:
+    """Whether a column type holds integers of at most 64 bits."""
+    return kind in ("tinyint", "smallint", "int", "bigint")
+
+
 def value_type_of(df, features: Sequence[str]) -> str:
     """One type that holds all features: int, bigint, double or string."""
     types = {df.schema[f].dataType.simpleString() for f in features}

@@ -65,3 +65,16 @@ def compact_rows(df: DataFrame, columns: Sequence[str], *,
     then read the compact table instead of the source.
     """
     return df.groupBy(*columns).agg(count_expr(weight).alias(out))
+
+
+# Merging must leave at most this share of the rows to pay for its exchange.
+MERGED_SHARE = 0.5
+
+
+def worth_merging(df: DataFrame, columns: Sequence[str]) -> bool:
+    """Whether ``compact_rows`` over ``columns`` makes the table much smaller.
+
+    One pass with a distinct-count sketch of the rows' hashes; no wide exchange.
+    """
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64(*columns), 0.02).alias("d")).first()
+    return row["d"] <= MERGED_SHARE * row["n"]

@@ -76,13 +76,13 @@ def node_stats(cont: DataFrame, keys: Sequence[str], first_feature: str | Column
 
 
 def weighted_scores(vstats: DataFrame, features: Sequence[str],
-                    keys: Sequence[str] = ()) -> DataFrame:
+                    keys: Sequence[str] = (), *more: Column) -> DataFrame:
     """``keys..., feature, feature_index, node_n, weighted_entropy, n_values``
-    from value statistics alone (A8, A10)."""
+    from value statistics alone (A8, A10); ``more`` aggregates beside."""
     return (vstats.groupBy(*keys, "feature")
                   .agg(F.sum("n").cast("long").alias("node_n"),
                        (F.sum(F.col("n") * F.col("entropy")) / F.sum("n")).alias("weighted_entropy"),
-                       F.count(F.lit(1)).alias("n_values"))
+                       F.count(F.lit(1)).alias("n_values"), *more)
                   .withColumn("feature_index", feature_index("feature", features)))
 
 

@@ -1,16 +1,18 @@
 """Multiway entropy (ID3) tree growth, level by level (T1-T6).
 
-One pass over the data per level: the contingency of *all* nodes of the level
+One pass over the data per level: the contingency of the nodes of the level
 is one ``groupBy(keys, node, feature, value, label)``; everything after it
 (entropies, scores, the arg-min per node, the child nodes) reads that small
-table.  Rows move to their child node through a join with the level's split
-table (node -> split feature), broadcast only when its bytes are proven few;
-the root's single split is applied as a projection (no join).  No exchange is
-keyed by node alone before a partial aggregate, so the root, which holds every
-row, is spread over its (feature, value, label) groups.
+table.  Below the root, the largest child of a node is not counted: it is the
+parent's contingency minus its siblings'.  Rows move to their child node by one
+compiled expression while a level has few splits, else through a join with the
+level's split table.  No exchange is keyed by node alone before a partial
+aggregate, so the root, which holds every row, is spread over its (feature,
+value, label) groups.
 
 Input rows are first merged into distinct (features, label) rows with a
-weight (``compact=True``), so a level reads the compact table, not the source.
+weight (``compact=True``), so a level reads the compact table, not the source;
+``compact="auto"`` merges only if a sketch says that it halves the rows at least.
 
 Tree table (one row per node)::
 
@@ -33,13 +35,17 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from entrotree.functions.exprs import child_path, pick_feature, value_type_of
-from entrotree.operators.counts import compact_rows, contingency
+from entrotree.functions.exprs import (NULL_BRANCH, child_path, escaped_part, pick_feature, sql_literal, sql_name,
+                                       sql_path_part, sql_text, value_type_of)
+from entrotree.operators.counts import compact_rows, contingency, worth_merging
 from entrotree.operators.entropy import best_feature, node_stats, value_stats, weighted_scores
-from entrotree.runtime import fits_broadcast, materialize
+from entrotree.runtime import materialize
+
+# Splits of a level that are compiled into one expression; more are joined.
+FEW_SPLITS = 64
 
 TREE_COLUMNS = ["node", "parent", "depth", "parent_feature", "branch_value",
                 "split_feature", "split_index", "n", "entropy", "majority",
@@ -48,20 +54,23 @@ TREE_COLUMNS = ["node", "parent", "depth", "parent_feature", "branch_value",
 
 def prepare_rows(df: DataFrame, features: Sequence[str], label: str, *,
                  by: Sequence[str] = (), weight: str | None = None,
-                 value_type: str = "int", compact: bool = True) -> tuple[DataFrame, str | None]:
+                 value_type: str | None = "int", compact: bool | str = True) -> tuple[DataFrame, str | None]:
     """Project (and by default compact) the fit input.
 
-    Returns ``(rows, weight_column)`` with columns ``by..., features..., _y,
+    Features are cast to ``value_type`` if given.  Returns ``(rows, weight_column)`` with columns ``by..., features..., _y,
     [_w,] node``; rows with a null label are dropped and every row starts at
     the root node ``""``.  The compacted table is materialised, so ``node`` is
     a stored column there (not a literal the optimiser would fold into the
     first level's join).
     """
-    cols = [*by, *[F.col(f).cast(value_type).alias(f) for f in features], F.col(label).alias("_y")]
+    cols = [*by, *[F.col(f).cast(value_type).alias(f) if value_type else F.col(f) for f in features],
+            F.col(label).alias("_y")]
     if weight:
         cols.append(F.col(weight).alias("_w"))
     rows = df.select(*cols).where(F.col("_y").isNotNull())
     w = "_w" if weight else None
+    if compact == "auto":
+        compact = worth_merging(rows, [*by, *features, "_y"])
     if compact:
         rows = compact_rows(rows, [*by, *features, "_y"], weight=w, out="_w")
         w = "_w"
@@ -87,36 +96,62 @@ def feature_set_exprs(feature_sets: Mapping, by: Sequence[str]):
             lambda f: F.array_contains(mine, F.lit(f)))
 
 
-def route_rows(data: DataFrame, splits: DataFrame, keys: Sequence[str], depth: int,
-               features: Sequence[str], value_type: str,
-               child: Callable[..., Column], extra: Sequence[str] = ()) -> DataFrame:
-    """Move rows to the child node chosen by their node's split.
+def case_of(splits: Sequence[Row], by: Sequence[str], by_types: Mapping[str, str],
+            then: Callable[[Row], str]) -> str:
+    """SQL text: what ``then`` gives for the split of a row's (by, node), else null."""
+    whens = []
+    for r in splits:
+        own = [f"{sql_name(k)} <=> {sql_literal(r[k], by_types[k])}" for k in by]
+        whens.append(f"WHEN {' AND '.join([*own, 'node = ' + sql_text(r['node'])])} THEN {then(r)}")
+    return f"CASE {' '.join(whens)} END"
+
 
-    ``splits`` holds ``keys, split_feature, split_index[, extra...]``; rows of
-    nodes without a split drop out.  ``child(node, feature, value, *extra)``
-    builds the child path.  The splits are broadcast when proven small (in
-    bytes).  The root of a single tree has exactly one split, which is read as
-    scalars: a projection, with no join against a constant node key.
+def route_rows(data: DataFrame, splits: DataFrame, few: Sequence[Row] | None, by: Sequence[str],
+               features: Sequence[str], value_type: str) -> DataFrame:
+    """Move rows to the child node chosen by their node's split; rows of nodes without a split drop out.
+
+    ``splits`` holds by, node, split_feature, split_index and _big (the largest
+    child).  ``few`` has its rows if they are few: the splits are then compiled
+    into one expression, with no join.  Adds ``_counted``: whether the row's
+    child is to be counted, i.e. is not the largest of its siblings.
+    """
+    keep = [c for c in data.columns if c not in ("node", "_counted", "_big")]
+    if few is not None:
+        def child(r: Row) -> str:
+            path = (f"concat({sql_text(r['node'] + '/' + escaped_part(r['split_feature']) + '=')}, coalesce("
+                    f"{sql_path_part(f'CAST({sql_name(r.split_feature)} AS {value_type})')}, {sql_text(NULL_BRANCH)}))")
+            return f"array(named_struct('node', {path}, '_big', {sql_text(r['_big'])}))"
+        # A generator, so that later levels read the node and do not evaluate its expression again.
+        routed = data.select(*keep, F.inline(F.expr(case_of(few, by, dict(data.dtypes), child))))
+    else:
+        value = pick_feature(features, "split_index", cast=value_type)
+        routed = data.select(*keep, "node").join(splits, [*by, "node"]).select(
+            *keep, child_path("node", "split_feature", value).alias("node"), "_big")
+    return routed.withColumn("_counted", F.col("node") != F.col("_big"))
+
+
+def with_largest_children(parents: DataFrame, counted: DataFrame, families: DataFrame, by: Sequence[str],
+                          rows_by: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Counts of all children: those counted, and each largest one as its parent minus its siblings.
+
+    ``parents`` and ``counted`` have rows_by, node, feature, values, label, n;
+    ``families`` has by, parent, big (the largest child) of every split node,
+    ``counted`` a column ``_big`` beside.
     """
-    cols = ["split_feature", "split_index", *extra]
-    if depth == 0 and list(keys) == ["node"]:
-        root = splits.first()
-        sf = root["split_feature"]
-        return data.withColumn("node", child(F.lit(""), F.lit(sf), F.col(sf).cast(value_type),
-                                             *[F.lit(root[c]) for c in extra]))
-    if fits_broadcast(splits):
-        splits = F.broadcast(splits)
-    value = pick_feature(features, "split_index", cast=value_type)
-    return (data.join(splits, list(keys))
-                .withColumn("node", child(F.col("node"), F.col("split_feature"), value,
-                                          *[F.col(c) for c in extra]))
-                .drop(*cols))
+    own = [*rows_by, "node", "feature", *values, "label"]
+    rest = [c for c in own if c != "node"]
+    both = F.explode(F.array(F.struct(F.col("node").alias("node"), F.col("n").alias("n")),
+                             F.struct(F.col("_big").alias("node"), (-F.col("n")).alias("n")))).alias("_c")
+    change = counted.select(*rest, both).select(*rest, F.col("_c.node").alias("node"), F.col("_c.n").alias("n"))
+    above = parents.join(families.withColumnRenamed("parent", "node"), [*by, "node"]).select(
+        *rest, F.col("big").alias("node"), "n")
+    return (change.unionByName(above).groupBy(*own).agg(F.sum("n").cast("long").alias("n")).where("n > 0"))
 
 
 def fit_id3(df: DataFrame, features: Sequence[str], label: str, max_depth: int = 3, *,
             by: Sequence[str] = (), weight: str | None = None, value_type: str | None = None,
             reuse_features: bool = True, split_pure_nodes: bool = True,
-            compact: bool = True, tie: str = "high",
+            compact: bool | str = True, tie: str = "high",
             feature_sets: Mapping | None = None) -> DataFrame:
     """Grow a multiway entropy tree; ``by`` grows one independent tree per key.
 
@@ -136,12 +171,17 @@ def fit_id3(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
     data, w = prepare_rows(df, features, label, by=by, weight=weight,
                            value_type=value_type, compact=compact)
 
-    nodes = None
+    nodes = cont = families = None
     levels = []
     for depth in range(max_depth):
         # The one pass over the rows of this level (all nodes at once).
-        cont = materialize(contingency(data, features, "_y", keys=keys, weight=w,
-                                       value_type=value_type, where=allowed))
+        if families is None:
+            cont = contingency(data, features, "_y", keys=keys, weight=w, value_type=value_type, where=allowed)
+        else:
+            counted = contingency(data.where("_counted"), features, "_y", keys=[*keys, "_big"], weight=w,
+                                  value_type=value_type, where=allowed)
+            cont = with_largest_children(cont, counted, families, by, by, ["value"])
+        cont = materialize(cont)
         vstats = value_stats(cont, keys, tie=tie)
         if nodes is None:
             nodes = node_stats(cont, keys, features[0] if first is None else first,
@@ -152,14 +192,15 @@ def fit_id3(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
                 F.lit(None).cast("string").alias("branch_value"),
                 "n", "entropy", "majority",
                 F.array().cast("array<string>").alias("_used"))
-        fs = weighted_scores(vstats, features, keys)
+        largest = F.max_by(child_path("node", "feature", "value"), F.struct("n", child_path("node", "feature", "value")))
+        fs = weighted_scores(vstats, features, keys, largest.alias("_big"))
         if not reuse_features:
             fs = (fs.join(nodes.select(*keys, "_used"), keys)
                     .where(~F.array_contains("_used", F.col("feature")))
                     .drop("_used"))
         best = best_feature(fs, keys).select(
             *keys, F.col("feature").alias("split_feature"),
-            F.col("feature_index").alias("split_index"), "weighted_entropy")
+            F.col("feature_index").alias("split_index"), "weighted_entropy", "_big")
         is_last = depth == max_depth - 1
         stop = F.col("split_feature").isNull() | F.lit(is_last)
         if not split_pure_nodes:
@@ -172,11 +213,12 @@ def fit_id3(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
         if is_last:
             break
 
-        expand = level.where(~F.col("is_leaf")).select(*keys, "split_feature", "split_index", "_used")
-        if expand.isEmpty():
+        expand = level.where(~F.col("is_leaf")).select(*keys, "split_feature", "split_index", "_used", "_big")
+        few = expand.limit(FEW_SPLITS + 1).collect()
+        if not few:
             break
         # Child nodes: the (feature, value) groups of each node's split feature.
-        nodes = (vstats.join(expand.withColumnRenamed("split_feature", "feature"), [*keys, "feature"])
+        nodes = (vstats.join(expand.drop("_big").withColumnRenamed("split_feature", "feature"), [*keys, "feature"])
                  .select(*by,
                          child_path("node", "feature", "value").alias("node"),
                          F.col("node").alias("parent"),
@@ -184,9 +226,9 @@ def fit_id3(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
                          F.col("value").cast("string").alias("branch_value"),
                          "n", "entropy", "majority",
                          F.array_union("_used", F.array(F.col("feature"))).alias("_used")))
+        families = expand.select(*by, F.col("node").alias("parent"), F.col("_big").alias("big"))
         # Rows follow their node's split (rows of leaves drop out).
-        data = route_rows(data, expand.drop("_used"), keys, depth, features, value_type,
-                          child_path)
+        data = route_rows(data, expand.drop("_used"), few if len(few) <= FEW_SPLITS else None, by, features, value_type)
 
     tree = reduce(lambda a, b: a.unionByName(b), levels)
     return tree.select(*by, *TREE_COLUMNS)

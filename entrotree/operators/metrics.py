@@ -28,18 +28,28 @@ def confusion_counts(scored: DataFrame, actual: str, predicted: str = "predictio
                   .agg(count_expr(weight).alias("n")))
 
 
+# Parts of the predicted labels that a matrix is built in.
+LABEL_PARTS = 64
+
+
 def confusion_matrix(conf: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
     """All label x label cells (M1) of the labels that occur; absent cells are 0.
 
-    A null label is a label of its own, as in the other metrics.
+    A null label is a label of its own, as in the other metrics.  Labels stay
+    rows: every actual label meets the predicted ones of each part in a join by
+    (key, part), so no row and no task holds all labels of a key squared.
     """
     cells = materialize(conf)  # read twice below: labels and cells
-    labels = (cells.select(*by, F.explode(F.array(F.struct(F.col("actual").alias("l")),
-                                                  F.struct(F.col("predicted").alias("l")))).alias("l"))
-                   .groupBy(*by).agg(F.collect_set("l").alias("ls")))
-    grid = (labels.select(*by, "ls", F.explode("ls").alias("a"))
-                  .select(*by, F.col("a.l").alias("actual"), F.explode("ls").alias("p"))
-                  .select(*by, "actual", F.col("p.l").alias("predicted")))
+    label = F.explode(F.array(F.struct(F.col("actual").alias("l")), F.struct(F.col("predicted").alias("l")))).alias("l")
+    labels = cells.select(*by, label).distinct()
+    # Keys packed as one struct column, whose null fields are equal to each other.
+    key = F.struct(F.lit(0).alias("_"), *[F.col(k) for k in by]).alias("_key")
+    part = F.pmod(F.xxhash64("l"), F.lit(LABEL_PARTS)).cast("int")
+    actual = labels.select(key, F.col("l.l").alias("actual"),
+                           F.explode(F.sequence(F.lit(0), F.lit(LABEL_PARTS - 1))).alias("_part"))
+    predicted = labels.select(key, F.col("l.l").alias("predicted"), part.alias("_part"))
+    grid = actual.join(predicted, ["_key", "_part"]).select(
+        *[F.col(f"_key.{k}").alias(k) for k in by], "actual", "predicted")
     keys = [*by, "actual", "predicted"]
     on = reduce(lambda x, y: x & y, [F.col(f"g.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys])
     return (grid.alias("g").join(cells.alias("c"), on, "left")

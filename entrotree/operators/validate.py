@@ -2,30 +2,33 @@
 
 Splits and folds are columns computed from a keyed hash of a row key, so they
 need no sort, no shuffle, and give the same rows under any partitioning and
-in any SQL engine; a null key counts as 0.  ``random_split`` keeps Spark's
-``randomSplit`` for the reference's literal form (its rows depend on the
-partitioning).
-
-Cross-validation grows all k fold models in the same level jobs: rows are
-compacted by (features, label, fold), then each compact row is replicated to
-the k-1 models whose held-out fold it is not in, and ``model`` becomes part of
-the node key.  Held-out rows are scored by their own fold's model.
+in any SQL engine; a null key counts as 0.  Their sizes are near the asked ones;
+``assign_equal_folds`` and ``exact_split`` give exact sizes, for the price of a
+ranking or of some counts.  ``random_split`` keeps Spark's ``randomSplit`` for the
+reference's literal form (its rows depend on the partitioning).
+
+Cross-validation grows all k fold models in the same level jobs.  Binary trees
+count every row once a level, by fold; a model's counts are the totals minus its
+held-out fold, and a row is routed once per different split of its node, however
+many models share it.  For multiway trees each compact row is replicated to the
+k-1 models whose held-out fold it is not in.  Held-out rows are scored by their
+own fold's model.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entrotree.functions.exprs import keyed_fold, keyed_train_flag
+from entrotree.functions.exprs import keyed_fold, keyed_train_flag, sql_name
 from entrotree.operators.binary import fit_binary
-from entrotree.operators.counts import compact_rows
+from entrotree.operators.counts import compact_rows, worth_merging
 from entrotree.operators.grow import fit_id3
 from entrotree.operators.metrics import confusion_counts, label_metrics, summary
 from entrotree.operators.score import predict
-from entrotree.runtime import materialize
+from entrotree.runtime import global_sum, materialize
 
 
 def keyed_split(df: DataFrame, key: str, *, seed: int = 200, train_percent: int = 80,
@@ -57,6 +60,70 @@ def assign_folds(df: DataFrame, key: str, *, k: int = 5, seed: int = 200,
     return df.withColumn(out, keyed_fold(key, seed, k))
 
 
+def _digest(key: str, seed: int) -> Column:
+    """Keyed digest as 32 hexadecimal digits; any SQL engine can repeat it."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+
+
+def _tied(df: DataFrame) -> list[Column]:
+    """Order among rows of equal key: by content; rows alike in all columns may swap places."""
+    return [F.xxhash64(*df.columns), F.monotonically_increasing_id()]
+
+
+def assign_equal_folds(df: DataFrame, key: str, *, k: int = 5, seed: int = 200, out: str = "fold") -> DataFrame:
+    """Add ``out`` in ``0 .. k-1`` so that fold sizes differ by at most one row (V3).
+
+    The fold is the exact rank of the row's keyed digest modulo k: totals of
+    ranges of the digest plus the rank within a range, so neither a task nor the
+    driver sees all rows.  The same rows under any partitioning.
+    """
+    packed = df.select(F.struct(*[F.col(sql_name(c)) for c in df.columns]).alias("_row"),
+                       _digest(key, seed).alias("_digest"), F.struct(*_tied(df)).alias("_tie"))
+    ranked = global_sum(packed, F.lit(1), F.col("_digest"), F.col("_tie"), name="_rank")
+    return ranked.select("_row.*", F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int").alias(out))
+
+
+# Digits of the digest that one level of the search for a split point counts.
+SPLIT_DIGITS = 3
+
+
+def exact_split(df: DataFrame, key: str, *, seed: int = 200, train_percent: int = 70,
+                out: str = "is_train") -> DataFrame:
+    """Add a boolean ``out``, false for exactly ``ceil((100 - train_percent) % of the rows)`` (V2).
+
+    The test side has the rows of the smallest keyed digests.  The split point is
+    found without a sort, by counting digests level by level: the counts of the
+    next digits name the group that holds it, until a group ends there.  Rows of
+    one key share a digest; where the split point falls among them, only those
+    rows are ranked.
+    """
+    digest = _digest(key, seed)
+    rows, prefix = df.select(digest.alias("d")), ""
+    need = -(-df.count() * (100 - train_percent) // 100)
+    if not need:
+        return df.withColumn(out, F.lit(True))
+    while True:
+        at = len(prefix)
+        counts = sorted((r["g"], r["count"]) for r in rows.where(F.col("d").startswith(prefix)).groupBy(
+            F.substring("d", at + 1, SPLIT_DIGITS).alias("g")).count().collect())  # at most 16 ** SPLIT_DIGITS
+        for group, n in counts:
+            if n >= need:
+                break
+            need -= n
+        prefix += group
+        head = F.substring(digest, 1, len(prefix))
+        if n == need:
+            return df.withColumn(out, head > prefix)
+        if len(prefix) == 32:  # rows of one key
+            break
+    same = df.where(digest == prefix)
+    packed = same.select(F.struct(*[F.col(sql_name(c)) for c in df.columns]).alias("_row"),
+                         F.struct(*_tied(df)).alias("_tie"))
+    ranked = global_sum(packed, F.lit(1), F.col("_tie"), name="_rank").select(
+        "_row.*", (F.col("_rank") > need).alias(out))
+    return df.where(digest != prefix).withColumn(out, digest > prefix).unionByName(ranked)
+
+
 def _fit(kind: str, df: DataFrame, features, label, max_depth, **kw) -> DataFrame:
     if kind == "binary":
         return fit_binary(df, features, label, max_depth, **kw)
@@ -68,7 +135,7 @@ def _fit(kind: str, df: DataFrame, features, label, max_depth, **kw) -> DataFram
 def cross_validate(df: DataFrame, features: Sequence[str], label: str, key: str, *,
                    k: int = 5, seed: int = 200, holdout_percent: int = 30,
                    max_depth: int = 3, kind: str = "binary", positive=1,
-                   compact: bool = True, holdout: bool = True) -> dict[str, DataFrame]:
+                   compact: bool | str = True, holdout: bool = True) -> dict[str, DataFrame]:
     """k-fold cross-validation on the keyed train part, then the hold-out check.
 
     Features may be numbers or nominal (``kind="id3"``), labels of any type;
@@ -77,21 +144,27 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, key: str,
     key ``model``), ``fold_metrics`` (V6), ``mean`` (A12), ``best`` (V7) and, with
     ``holdout``, ``holdout_confusion``, ``holdout_labels`` and ``holdout_summary``
     (V8).  The source is read once; ``compact=False`` keeps its rows as they are
-    where merging would not make them fewer.
+    where merging would not make them fewer, ``compact="auto"`` finds that out by a
+    sketch (one pass more).
     """
     features = list(features)
     part = F.when(keyed_train_flag(key, seed, 100 - holdout_percent), keyed_fold(key, seed, k)).otherwise(F.lit(-1))
     rows = (df.select(*features, F.col(label).alias("_y"), part.alias("fold"), F.lit(1).alias("w"))
               .where(F.col("_y").isNotNull()))
+    if compact == "auto":
+        compact = worth_merging(rows, [*features, "_y", "fold"])
     if compact:
         rows = compact_rows(rows, [*features, "_y", "fold"], out="w")
     rows = materialize(rows)
     train, test = rows.where("fold >= 0"), rows.where("fold < 0").drop("fold")
-    models = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda m: m != F.col("fold"))
-    # Each level reads the one table and replicates it on the fly (a narrow
-    # explode feeding the partial aggregate).
-    trees = _fit(kind, train.withColumn("model", F.explode(models)), features, "_y", max_depth,
-                 by=["model"], weight="w", compact=False)
+    if kind == "binary":  # all models from one pass a level: all rows minus the held-out fold
+        trees = fit_binary(train, features, "_y", max_depth, weight="w", compact=False, fold="fold", k=k)
+    else:
+        # Each level reads the one table and replicates it on the fly (a narrow
+        # explode feeding the partial aggregate).
+        models = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda m: m != F.col("fold"))
+        trees = _fit(kind, train.withColumn("model", F.explode(models)), features, "_y", max_depth,
+                     by=["model"], weight="w", compact=False)
 
     held = train.withColumn("model", F.col("fold"))
     scored = predict(held, trees, features, by=["model"])

@@ -8,6 +8,7 @@ with the equivalent SQL in ``entrotree.plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,12 +21,12 @@ from entrotree.operators.grow import fit_id3
 from entrotree.operators.metrics import confusion_counts, confusion_matrix, label_metrics, summary
 from entrotree.operators.prep import bin_occupancy, equal_width_bins
 from entrotree.operators.score import leaf_labels, predict, tree_listing
-from entrotree.operators.validate import (assign_folds, cross_validate, feature_group_error,
-                                          keyed_split, random_split, split_frames)
-from entrotree.sources.delimited import split_fields
+from entrotree.operators.validate import (assign_equal_folds, assign_folds, cross_validate, exact_split,
+                                          feature_group_error, keyed_split, random_split, split_frames)
+from entrotree.sources.delimited import read_binned_csv, split_fields, typed_fields
 from entrotree.sources.fixtures import (DOC_FEATURES, EV_FEATURES, LI_FEATURES, URL_FEATURES, doc_bins,
                                         ev_bins, li_bins, url_parts)
-from entrotree.runtime import materialize
+from entrotree.runtime import checkpoint_dir, materialize
 from entrotree.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -225,6 +226,20 @@ def score_rows(spark, sf):
     return predict(df, _li_tree(spark, sf), LI_FEATURES).select("k", "y", "prediction")
 
 
+def score_rows_compiled(spark, sf):
+    """The tree as one expression."""
+    df = li_bins(spark, sf)
+    scored = predict(df, _li_tree(spark, sf), LI_FEATURES, node_out="node", compiled_nodes=1_000)
+    return scored.select("k", "y", "node", "prediction")
+
+
+def score_rows_joined(spark, sf):
+    """The same walked by one join a level, as trees of many nodes are."""
+    df = li_bins(spark, sf)
+    scored = predict(df, _li_tree(spark, sf), LI_FEATURES, node_out="node", compiled_nodes=0)
+    return scored.select("k", "y", "node", "prediction")
+
+
 def _holdout_scored(spark, sf):
     df = li_bins(spark, sf)
     tree = _li_tree(spark, sf, train_only=True)
@@ -322,13 +337,33 @@ def fold_sizes(spark, sf):
         F.sum(F.col("is_train").cast("long")).alias("n_train"))
 
 
+def _keys_of(folded, *by):
+    return folded.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum("k").cast("long").alias("sum_k"))
+
+
+def fold_sizes_equal(spark, sf):
+    """Folds by exact rank: their sizes and, as a check of their rows, sums of keys."""
+    li = read_table(spark, sf, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("k"))
+    return _keys_of(assign_equal_folds(li, "k", k=7, seed=SEED), "fold")
+
+
+def holdout_exact_70(spark, sf):
+    li = read_table(spark, sf, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("k"))
+    return _keys_of(exact_split(li, "k", seed=SEED, train_percent=70), "is_train")
+
+
 def random_split_sizes(spark, sf):
-    """Spark's seeded ``randomSplit`` 80:20 (V1 literal form); sizes depend on
-    the input partitioning, so there is no SQL twin (rows-only check)."""
-    li = read_table(spark, sf, "lineitem").select("l_orderkey")
-    train, test = random_split(li, (0.8, 0.2), seed=SEED)
-    return (train.agg(F.count(F.lit(1)).alias("n")).select(F.lit("train").alias("side"), "n")
-            .unionByName(test.agg(F.count(F.lit(1)).alias("n")).select(F.lit("test").alias("side"), "n")))
+    """Spark's seeded ``randomSplit`` 80:20 (V1 literal form).  Which rows a side gets
+    depends on the input partitioning, so its size is held against its share."""
+    li = materialize(read_table(spark, sf, "lineitem").select("l_orderkey"))
+    sides = random_split(li, (0.8, 0.2), seed=SEED)
+    n, out = li.count(), None
+    for side, share, rows in zip(("train", "test"), (0.8, 0.2), sides, strict=True):
+        most = 6 * (0.16 * n) ** 0.5  # six standard deviations
+        one = rows.agg((F.abs(F.count(F.lit(1)) - share * n) <= most).alias("near_share")).select(
+            F.lit(side).alias("side"), "near_share")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def random_split_partition(spark, sf):
@@ -348,6 +383,53 @@ def text_fields(spark, sf):
     return li.select(line.alias("line")).select(*split_fields(F.col("line"), ["a", "b", "c"], sep="|"))
 
 
+_TYPED = ["a", "b", "c", "d", "e", "f"]
+
+
+def _typed_lines(spark, sf):
+    """Lines of an integer, a wide integer, a number, a text, and two columns with empty fields."""
+    li = read_table(spark, sf, "lineitem")
+    odd = F.col("l_linenumber") % 2 == 1
+    fields = [F.col("l_orderkey"), F.col("l_orderkey") * 4_000_000_000 + F.col("l_linenumber"), F.col("l_extendedprice"),
+              F.col("l_returnflag"), F.when(odd, F.col("l_partkey").cast("string")).otherwise(F.lit("")),
+              F.when(odd, F.col("l_linenumber").cast("string")).otherwise(F.lit(" x"))]
+    return li.select(F.concat_ws("|", *[f.cast("string") for f in fields]).alias("line"))
+
+
+def typed_fields_q(spark, sf):
+    """Types inferred from split lines."""
+    texts = _typed_lines(spark, sf).select(*split_fields(F.col("line"), _TYPED, sep="|", kind="string"))
+    return typed_fields(texts)
+
+
+def csv_scan(spark, sf):
+    """The same lines written as text files with a header, and read as a CSV with inferred types."""
+    path = f"{checkpoint_dir(spark)}/lines-{uuid.uuid4().hex}"
+    lines = _typed_lines(spark, sf).select(F.concat(F.lit("|".join(_TYPED) + "\n"), F.lit("")).alias("head"), "line")
+    # The files of a folder have the same header each: one line before every file's first.
+    first = F.monotonically_increasing_id() == F.spark_partition_id().cast("long") * (1 << 33)
+    lines.select(F.concat(F.when(first, F.col("head")).otherwise(F.lit("")), F.col("line"))).write.text(path)
+    return read_binned_csv(spark, path, columns=_TYPED, sep="|")
+
+
+CUT_CASES = {"near": ["near"], "huge": ["huge"], "endless": ["endless"], "wide": ["wide"]}
+
+
+def binary_tree_cuts(spark, sf):
+    """Values that a rounded midpoint cannot separate: neighbouring doubles, sums beyond the largest double,
+    infinity, and integers that doubles cannot tell apart.  One tree for each kind."""
+    n = F.col("l_linenumber")
+    li = read_table(spark, sf, "lineitem").select(
+        (F.lit(1.0) + n * F.lit(2.0 ** -52)).alias("near"), (n * F.lit(2.5e307)).alias("huge"),
+        F.when(n == 7, F.lit(float("inf"))).when(n == 1, F.lit(float("-inf"))).otherwise(n.cast("double")).alias("endless"),
+        (F.lit(1 << 53) + n).alias("wide"),
+        F.when((n >= 3) & ((F.col("l_orderkey") % 9 > 0) | (n == 7)), 1).otherwise(0).alias("y"))
+    each = li.withColumn("kind", F.explode(F.array(*map(F.lit, CUT_CASES))))
+    tree = fit_binary(each, list(CUT_CASES), "y", 3, by=["kind"], feature_sets=CUT_CASES)
+    return tree.select("kind", "depth", "split_feature", "threshold", "cut", "n", r6("entropy").alias("entropy"),
+                       "majority", r6("weighted_entropy").alias("weighted_entropy"), "is_leaf")
+
+
 def binary_root_split(spark, sf):
     tree = fit_binary(li_bins(spark, sf), LI_FEATURES, "y", 1)
     return tree.where(F.col("depth") == 0).select(
@@ -497,6 +579,8 @@ QUERIES: dict[str, Query] = {
     "tree_listing": tree_listing_q,
     "leaf_labels": leaf_labels_q,
     "score_rows": score_rows,
+    "score_rows_compiled": score_rows_compiled,
+    "score_rows_joined": score_rows_joined,
     "score_unseen": score_unseen,
     "id3_tree_no_reuse": id3_tree_no_reuse,
     "id3_tree_stop_pure": id3_tree_stop_pure,
@@ -516,10 +600,15 @@ QUERIES: dict[str, Query] = {
     "holdout_split": holdout_split,
     "holdout_split_70": holdout_split_70,
     "fold_sizes": fold_sizes,
+    "fold_sizes_equal": fold_sizes_equal,
+    "holdout_exact_70": holdout_exact_70,
     "random_split_sizes": random_split_sizes,
     "random_split_partition": random_split_partition,
     "text_fields": text_fields,
+    "typed_fields": typed_fields_q,
+    "csv_scan": csv_scan,
     "binary_root_split": binary_root_split,
+    "binary_tree_cuts": binary_tree_cuts,
     "binary_tree": binary_tree,
     "binary_tree_events": binary_tree_events,
     "binary_tree_wide": binary_tree_wide,

@@ -266,8 +266,16 @@ def _dist_counts(cols: Sequence[str], labels: Sequence) -> tuple[str, str, str]:
     return n, ent, maj
 
 
+def _middle(kind: str) -> str:
+    """A cut that separates ``value`` from the next one, ``nxt``."""
+    if kind == "BIGINT":
+        return "CAST((CAST(value AS HUGEINT) + nxt) // 2 AS BIGINT)"
+    return "CASE WHEN (value + nxt) / 2 >= value AND (value + nxt) / 2 < nxt THEN (value + nxt) / 2 ELSE value END"
+
+
 def binary_ctes(src: str, features: Sequence[str], depth: int, labels: Sequence,
-                prefix: str = "b", keys: Sequence[str] = (), weight: str | None = None) -> tuple[list[str], str]:
+                prefix: str = "b", keys: Sequence[str] = (), weight: str | None = None,
+                kind: str = "DOUBLE") -> tuple[list[str], str]:
     """CTEs growing the binary entropy tree over ``src`` (keys, features, y[, weight])."""
     p = prefix
     kk = [*keys, "node"]
@@ -275,7 +283,7 @@ def binary_ctes(src: str, features: Sequence[str], depth: int, labels: Sequence,
     cs = [f"c{i}" for i in range(K)]
     w = weight or "1"
     lit = [f"'{v}'" if isinstance(v, str) else str(v) for v in labels]
-    feats = ", ".join(f"CAST({f} AS DOUBLE) AS {f}" for f in features)
+    feats = ", ".join(f"CAST({f} AS {kind}) AS {f}" for f in features)
     ctes = [f"{p}_d0 AS (SELECT {_k(keys)}'' AS node, {feats}, y, {w} AS w FROM {src})"]
     levels = []
     for d in range(depth + 1):
@@ -283,7 +291,7 @@ def binary_ctes(src: str, features: Sequence[str], depth: int, labels: Sequence,
             sums = ", ".join(f"CAST(SUM(CASE WHEN label = {lit[i]} THEN w ELSE 0 END) AS BIGINT) AS c{i}"
                              for i in range(K))
             ctes.append(f"""{p}_x{d} AS (SELECT {_k(kk)}feature, value, {sums} FROM (
-        {unpivot_sql(f'{p}_d{d}', features, kk, 'DOUBLE', 'y', 'w')}) u GROUP BY {_k(kk)}feature, value)""")
+        {unpivot_sql(f'{p}_d{d}', features, kk, kind, 'y', 'w')}) u GROUP BY {_k(kk)}feature, value)""")
         if d == 0:
             n, ent, maj = _dist_counts(cs, labels)
             sums = ", ".join(f"SUM(c{i}) AS c{i}" for i in range(K))
@@ -294,7 +302,7 @@ def binary_ctes(src: str, features: Sequence[str], depth: int, labels: Sequence,
         if d == depth:
             ctes.append(f"""{p}_l{d} AS (SELECT {_k(kk)}parent, {d} AS depth, parent_feature, branch_value,
                CAST(NULL AS VARCHAR) AS split_feature, CAST(NULL AS INTEGER) AS split_index,
-               CAST(NULL AS DOUBLE) AS threshold, n, entropy, majority,
+               CAST(NULL AS {kind}) AS threshold, n, entropy, majority,
                CAST(NULL AS DOUBLE) AS weighted_entropy, CAST(NULL AS DOUBLE) AS gain, TRUE AS is_leaf
         FROM {p}_n{d})""")
             levels.append(f"SELECT * FROM {p}_l{d}")
@@ -310,9 +318,8 @@ def binary_ctes(src: str, features: Sequence[str], depth: int, labels: Sequence,
         SELECT {_k(kk)}feature, {fidx_sql('feature', features)} AS split_index, threshold,
                {', '.join(f'l{i}' for i in range(K))}, {', '.join(f'r{i}' for i in range(K))},
                ({ln} * {lent} + {rn} * {rent}) / ({ln} + {rn}) AS weighted_entropy
-        FROM (SELECT *, {rdefs} FROM (
+        FROM (SELECT *, {rdefs}, {_middle(kind)} AS threshold FROM (
                 SELECT {_k(kk)}feature, value, LEAD(value) OVER ({part} ORDER BY value) AS nxt,
-                       (value + LEAD(value) OVER ({part} ORDER BY value)) / 2 AS threshold,
                        {lsums}, {tsums}
                 FROM {p}_x{d}) a WHERE nxt IS NOT NULL) b)""")
         ctes.append(f"{p}_b{d} AS ({best_sql(f'{p}_k{d}', kk, 'round(weighted_entropy, 12), split_index, threshold')})")
@@ -342,7 +349,7 @@ def binary_ctes(src: str, features: Sequence[str], depth: int, labels: Sequence,
         FROM {p}_m{d} WHERE NOT is_leaf""")
         ctes.append(f"{p}_n{d + 1} AS ({' UNION ALL '.join(sides)})")
         on = " AND ".join(f"r.{k} = m.{k}" for k in kk)
-        val = pick_sql("m.split_feature", features, "DOUBLE", "r")
+        val = pick_sql("m.split_feature", features, kind, "r")
         ctes.append(f"""{p}_d{d + 1} AS (
         SELECT {_k(keys, 'r.')}r.node || '/' || m.split_feature || CASE WHEN {val} <= m.threshold THEN '<=' ELSE '>' END
                || CAST(m.threshold AS VARCHAR) AS node, {', '.join('r.' + f for f in features)}, r.y, r.w
@@ -563,6 +570,8 @@ def _add_later():
     ctes, tree = id3_ctes("li_bins", LI_FEATURES, DEPTH)
     rctes, routed = route_ctes("li_bins", ["k", *LI_FEATURES, "y"], tree, LI_FEATURES, DEPTH)
     ORACLE["score_rows"] = _with(LI_BINS, *ctes, *rctes) + f"SELECT k, y, prediction FROM {routed}"
+    for name in ("score_rows_compiled", "score_rows_joined"):
+        ORACLE[name] = _with(LI_BINS, *ctes, *rctes) + f"SELECT k, y, node, prediction FROM {routed}"
     ctes, tree = id3_ctes("seen", LI_FEATURES, DEPTH)
     rctes, routed = route_ctes("li_bins", ["k", *LI_FEATURES, "y"], tree, LI_FEATURES, DEPTH)
     ORACLE["score_unseen"] = _with(LI_BINS, f"seen AS (SELECT * FROM li_bins WHERE {SEEN})", *ctes, *rctes) + (
@@ -601,6 +610,26 @@ def _add_later():
         "FROM ls a JOIN ls p ON TRUE LEFT JOIN cc ON cc.actual = a.label AND cc.predicted = p.label")
     ORACLE["text_fields"] = """SELECT CAST(l_orderkey AS INTEGER) AS a, CAST(l_linenumber AS INTEGER) AS b,
        CAST(l_partkey AS INTEGER) AS c FROM lineitem"""
+    for name in ("typed_fields", "csv_scan"):
+        ORACLE[name] = """SELECT CAST(l_orderkey AS INTEGER) AS a, l_orderkey * 4000000000 + l_linenumber AS b,
+       CAST(l_extendedprice AS DOUBLE) AS c, l_returnflag AS d,
+       CASE WHEN l_linenumber % 2 = 1 THEN CAST(l_partkey AS INTEGER) END AS e,
+       CASE WHEN l_linenumber % 2 = 1 THEN CAST(l_linenumber AS VARCHAR) ELSE 'x' END AS f FROM lineitem"""
+    ORACLE["random_split_sizes"] = "SELECT 'train' AS side, TRUE AS near_share UNION ALL SELECT 'test', TRUE"
+    cuts, parts = [], []
+    for name, value, kind in (("near", "1.0::DOUBLE + l_linenumber * power(2.0, -52)", "DOUBLE"),
+                              ("huge", "l_linenumber * 2.5e307", "DOUBLE"),
+                              ("endless", "CASE l_linenumber WHEN 7 THEN 'inf'::DOUBLE WHEN 1 THEN '-inf'::DOUBLE "
+                                          "ELSE l_linenumber END", "DOUBLE"),
+                              ("wide", "9007199254740992 + l_linenumber", "BIGINT")):
+        bc, btree = binary_ctes(f"src_{name}", [name], 3, [0, 1], prefix=f"b{name}", kind=kind)
+        cuts += [f"src_{name} AS (SELECT {value} AS {name}, CASE WHEN l_linenumber >= 3 AND (l_orderkey % 9 > 0 "
+                 "OR l_linenumber = 7) THEN 1 ELSE 0 END AS y FROM lineitem)", *bc]
+        parts.append(f"SELECT '{name}' AS kind, depth, split_feature, CAST(threshold AS DOUBLE) AS threshold, "
+                     f"{'threshold' if kind == 'BIGINT' else 'CAST(NULL AS BIGINT)'} AS cut, n, "
+                     f"{r6('entropy')} AS entropy, majority, {r6('weighted_entropy')} AS weighted_entropy, is_leaf "
+                     f"FROM {btree}")
+    ORACLE["binary_tree_cuts"] = _with(*cuts) + " UNION ALL ".join(parts)
     ORACLE["random_split_partition"] = """SELECT CAST(COUNT(*) AS BIGINT) AS n, CAST(COUNT(*) AS BIGINT) AS n_sides,
        CAST(0 AS BIGINT) AS n_both FROM lineitem"""
     ORACLE["confusion"] = _holdout_sql(
@@ -623,6 +652,13 @@ def _add_later():
                                f"FROM lineitem GROUP BY 1")
     ORACLE["holdout_split_70"] = (f"SELECT {h} % 100 < 70 AS is_train, CAST(COUNT(*) AS BIGINT) AS n "
                                   f"FROM lineitem GROUP BY 1")
+    digest = f"md5('{SEED}:' || CAST(k AS VARCHAR))"
+    ranked = (f"SELECT k, row_number() OVER (ORDER BY {digest}, k) AS rk, COUNT(*) OVER () AS total "
+              f"FROM (SELECT {key} AS k FROM lineitem) a")
+    ORACLE["fold_sizes_equal"] = (f"SELECT CAST((rk - 1) % 7 AS INTEGER) AS fold, CAST(COUNT(*) AS BIGINT) AS n, "
+                                  f"CAST(SUM(k) AS BIGINT) AS sum_k FROM ({ranked}) b GROUP BY 1")
+    ORACLE["holdout_exact_70"] = (f"SELECT rk > ceil(0.3 * total) AS is_train, CAST(COUNT(*) AS BIGINT) AS n, "
+                                  f"CAST(SUM(k) AS BIGINT) AS sum_k FROM ({ranked}) b GROUP BY 1")
     ORACLE["fold_sizes"] = (f"SELECT CAST(CAST(floor(u2 / 100) AS BIGINT) % 5 AS INTEGER) AS fold, "
                             f"CAST(COUNT(*) AS BIGINT) AS n, "
                             f"CAST(SUM(CASE WHEN u2 % 100 < 80 THEN 1 ELSE 0 END) AS BIGINT) AS n_train "
