@@ -1,6 +1,8 @@
 """Operator 6: a hashed maximum-entropy language model with class-factored softmax.
 
-P(word | context) = P(class | context) * P(word | class).  The class softmax has
+P(word | context) = P(class | context) * P(word | class).  The class softmax is
+factored once more, P(group | context) * P(class | group, context) with 16 groups
+of 8 classes, so that a token costs 24 sums of weights and not 128; both have
 hashed features of the context: the last word, the last two, and the one before
 the last (a skip).  The most frequent words are classes of their own, all others
 are classed by the bytes they end in; within a class the only feature is the
@@ -28,7 +30,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from itertools import repeat
 
 import numpy as np
@@ -43,12 +45,14 @@ HEAD = 1 << 17
 SINGLES = 39  # most frequent words, each its own class; class 0 is the end
 ENDINGS = 88
 CLASSES = 1 + SINGLES + ENDINGS
+WIDTH = 8  # classes of a group
+GROUPS = CLASSES // WIDTH
 ROW_BITS = 12
 ROWS = 1 << ROW_BITS
 ROUNDS = 3
-RATE = 0.5
+RATE = 0.7
 BATCH = 4096  # tokens per local step
-BLOCK = 256  # weight rows per record of a change
+BLOCK = 1 << 15  # numbers per record of a change
 SALTS = 8
 FLUSH = 200_000  # tokens or distinct words held by a task
 _MIX = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
@@ -72,8 +76,10 @@ class Model:
     total: int = 0  # N
     types: int = 0  # V
     class_mass: np.ndarray = None  # per class, N_k + V_k + 1
-    weights: np.ndarray = None
-    bias: np.ndarray = None
+    outer: np.ndarray = None  # weights of the groups: rows x groups
+    inner: np.ndarray = None  # weights of the classes within a group: (rows x groups) x width
+    outer_bias: np.ndarray = None
+    inner_bias: np.ndarray = None  # groups x width
 
     def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
         """(ids, classes, first token of each text, other words of each text).
@@ -115,11 +121,12 @@ class Model:
             rows.append((((m ^ (m >> 15)) * 0x2C1B3C6D & 0xFFFFFFFF) >> (32 - ROW_BITS)).astype(np.int64))
         return np.stack(rows)
 
-    def exponentials(self, rows: np.ndarray, weights: np.ndarray, bias: np.ndarray,
+    @staticmethod
+    def exponentials(rows: np.ndarray, weights: np.ndarray, bias: np.ndarray,
                      space: np.ndarray | None = None) -> np.ndarray:
-        """exp of the class weights of each token, over the largest; in ``space`` (2, tokens, classes) if given."""
+        """exp of the summed weights of each token, over the largest; in ``space`` (2, tokens, width) if given."""
         if space is None:
-            space = np.empty((2, rows.shape[1], len(bias)), weights.dtype)
+            space = np.empty((2, rows.shape[1], weights.shape[1]), weights.dtype)
         z, more = space[0, :rows.shape[1]], space[1, :rows.shape[1]]
         np.take(weights, rows[0], axis=0, out=z, mode="clip")  # other modes copy once more
         for r in rows[1:]:
@@ -128,51 +135,81 @@ class Model:
         z -= z.max(axis=1, keepdims=True)
         return np.exp(z, out=z)
 
-    def probabilities(self, rows: np.ndarray, weights: np.ndarray, bias: np.ndarray,
-                      space: np.ndarray | None = None) -> np.ndarray:
-        z = self.exponentials(rows, weights, bias, space)
-        z /= z.sum(axis=1, keepdims=True)
-        return z
+    def probabilities(self, rows: np.ndarray) -> np.ndarray:
+        """P(class | context) of all classes."""
+        out = self.exponentials(rows, self.outer, self.outer_bias)
+        out = np.repeat(out / out.sum(axis=1, keepdims=True), WIDTH, axis=1)
+        for g in range(GROUPS):
+            z = self.exponentials(rows * GROUPS + g, self.inner, self.inner_bias[g])
+            out[:, g * WIDTH:(g + 1) * WIDTH] *= z / z.sum(axis=1, keepdims=True)
+        return out
 
     def class_scores(self, ids: np.ndarray, classes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
         """log10 P(class | context) of each token."""
         rows, out = self.features(ids, firsts), np.empty(len(ids))
-        space = np.empty((2, BATCH, CLASSES), np.float32)
+        group, within = np.divmod(classes, WIDTH)
         for i in range(0, len(ids), BATCH):
-            z = self.exponentials(rows[:, i:i + BATCH], self.weights, self.bias, space)
-            p = z[np.arange(len(z)), classes[i:i + BATCH]] / z.sum(axis=1)
-            out[i:i + BATCH] = np.log10(np.maximum(p, 1e-30))
+            r, g, at = rows[:, i:i + BATCH], group[i:i + BATCH], np.arange(len(ids[i:i + BATCH]))
+            z = self.exponentials(r, self.outer, self.outer_bias)
+            p = z[at, g] / z.sum(axis=1)
+            z = self.exponentials(r * GROUPS + g, self.inner, self.inner_bias[g])
+            out[i:i + BATCH] = np.log10(np.maximum(p * (z[at, within[i:i + BATCH]] / z.sum(axis=1)), 1e-30))
         return out
 
+    def flat(self) -> np.ndarray:
+        """All weights as one row of numbers."""
+        return np.concatenate([x.ravel() for x in (self.outer, self.inner, self.outer_bias, self.inner_bias)])
+
+    def moved(self, change: np.ndarray) -> None:
+        """Add a change of all weights."""
+        at = 0
+        for name in ("outer", "inner", "outer_bias", "inner_bias"):
+            x = getattr(self, name)
+            setattr(self, name, (x + change[at:at + x.size].reshape(x.shape)).astype(np.float32))
+            at += x.size
+
 
 class _Descent:
     """Local AdaGrad steps from the common weights."""
 
     def __init__(self, model: Model) -> None:
-        self.model, self.n = model, 0
-        self.weights, self.bias = model.weights.copy(), model.bias.copy()
-        self.seen = np.full(ROWS, 1.0, np.float32)
-        self.space = np.empty((2, BATCH, CLASSES), np.float32)  # kept, so that no step asks for new memory
-
-    def step(self, rows: np.ndarray, classes: np.ndarray) -> None:
-        # ROW_BITS fit 16 bits, which numpy sorts by radix.
-        by_last = np.argsort(rows[0].astype(np.int16), kind="stable")  # one of three sums then needs no reordering
-        rows, classes = rows[:, by_last], classes[by_last]
-        p = self.model.probabilities(rows, self.weights, self.bias, self.space)
-        spare = self.space[1, :len(p)]
-        p[np.arange(len(p)), classes] -= 1
+        self.model, self.n = replace(model, outer=model.outer.copy(), inner=model.inner.copy(),
+                                     outer_bias=model.outer_bias.copy(), inner_bias=model.inner_bias.copy()), 0
+        self.seen = np.ones(ROWS, np.float32), np.ones(ROWS * GROUPS, np.float32)
+        # Kept, so that no step asks for new memory.
+        self.space = np.empty((2, BATCH, GROUPS), np.float32), np.empty((2, BATCH, WIDTH), np.float32)
+
+    def _move(self, rows: np.ndarray, target: np.ndarray, weights: np.ndarray, bias: np.ndarray,
+              seen: np.ndarray, space: np.ndarray) -> np.ndarray:
+        """One step of the weights; the first of ``rows`` ascends.  Gives the slope of each token."""
+        p = Model.exponentials(rows, weights, bias, space)
+        p /= p.sum(axis=1, keepdims=True)
+        spare = space[1, :len(p)]
+        p[np.arange(len(p)), target] -= 1
         for k, r in enumerate(rows):
             ordered, slopes = r, p
             if k:
-                order = np.argsort(r.astype(np.int16), kind="stable")
+                order = np.argsort(r.astype(np.uint16), kind="stable")  # 16 bits are sorted by radix
                 ordered, slopes = r[order], np.take(p, order, axis=0, out=spare, mode="clip")
             first = np.flatnonzero(np.diff(ordered, prepend=-1))
             which = ordered[first]
             slope = np.add.reduceat(slopes, first, axis=0)
-            self.seen[which] += np.einsum("ij,ij->i", slope, slope)
-            self.weights[which] -= RATE / np.sqrt(self.seen[which])[:, None] * slope
-        self.bias -= np.float32(RATE / 10 / len(p)) * p.sum(axis=0)
-        self.n += len(p)
+            seen[which] += np.einsum("ij,ij->i", slope, slope)
+            weights[which] -= RATE / np.sqrt(seen[which])[:, None] * slope
+        return p
+
+    def step(self, rows: np.ndarray, classes: np.ndarray) -> None:
+        m, rate = self.model, np.float32(RATE / 10 / len(classes))
+        # In this order the first sums of both tables need no reordering.
+        by_last = np.argsort((rows[0] * GROUPS + classes // WIDTH).astype(np.uint16), kind="stable")
+        rows, (group, within) = rows[:, by_last], np.divmod(classes[by_last], WIDTH)
+        slopes = self._move(rows, group, m.outer, m.outer_bias, self.seen[0], self.space[0])
+        m.outer_bias -= rate * slopes.sum(axis=0)
+        slopes = self._move(rows * GROUPS + group, within, m.inner, m.inner_bias[group], self.seen[1], self.space[1])
+        by_group = np.argsort(group.astype(np.uint16), kind="stable")
+        first = np.flatnonzero(np.diff(group[by_group], prepend=-1))
+        m.inner_bias[group[by_group][first]] -= rate * np.add.reduceat(slopes[by_group], first, axis=0)
+        self.n += len(classes)
 
     def learn(self, texts: list[bytes | None]) -> None:
         ids, classes, firsts, _ = self.model.encode(texts)
@@ -260,8 +297,7 @@ def _round(texts: DataFrame, model: Model) -> None:
             local.learn(group)
         if not local.n:
             return
-        change = np.concatenate([local.weights - sent.value.weights, (local.bias - sent.value.bias)[None]])
-        change = (change * local.n).astype(np.float32)
+        change = ((local.model.flat() - sent.value.flat()) * local.n).astype(np.float32)
         salt = TaskContext.get().partitionId() % SALTS
         parts = [change[i:i + BLOCK] for i in range(0, len(change), BLOCK)]
         yield pa.RecordBatch.from_arrays(
@@ -271,12 +307,10 @@ def _round(texts: DataFrame, model: Model) -> None:
 
     changes = texts.mapInArrow(run, "block int, salt int, n long, change binary")
     total = _summed(_summed(changes, "block", "salt").withColumn("salt", F.lit(0)), "block")
-    got = sorted(total.collect())  # ROWS x CLASSES numbers
+    got = sorted(total.collect())  # the weights' number of numbers
     sent.unpersist()
     if got:
-        mean = np.concatenate([np.frombuffer(r["change"], np.float32) / r["n"] for r in got]).reshape(-1, CLASSES)
-        model.weights = (model.weights + mean[:ROWS]).astype(np.float32)
-        model.bias = (model.bias + mean[ROWS]).astype(np.float32)
+        model.moved(np.concatenate([np.frombuffer(r["change"], np.float32) / r["n"] for r in got]))
 
 
 def fit(docs: DataFrame, rounds: int = ROUNDS, head: int = HEAD) -> tuple[Model, DataFrame]:
@@ -302,8 +336,11 @@ def fit(docs: DataFrame, rounds: int = ROUNDS, head: int = HEAD) -> tuple[Model,
     for k, n, v in per:
         mass[1 + SINGLES + k], freq[1 + SINGLES + k] = n + v + 1, 1 + n
     model.class_mass = mass
-    model.weights = np.zeros((ROWS, CLASSES), np.float32)
-    model.bias = np.log(freq / freq.sum()).astype(np.float32)
+    freq = freq.reshape(GROUPS, WIDTH)
+    model.outer = np.zeros((ROWS, GROUPS), np.float32)
+    model.inner = np.zeros((ROWS * GROUPS, WIDTH), np.float32)
+    model.outer_bias = np.log(freq.sum(axis=1) / freq.sum()).astype(np.float32)
+    model.inner_bias = np.log(freq / freq.sum(axis=1, keepdims=True)).astype(np.float32)
     for r in range(rounds):
         _round(train.where(F.col("hash") % rounds == r).select("text"), model)
     return model, vocab

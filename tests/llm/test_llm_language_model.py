@@ -72,7 +72,7 @@ def test_probabilities_sum_to_one(spark):
     for context in ([b"w1ing"], [b"w2ing", "é3eux".encode()], []):
         ids, _, _, _ = model.encode([b" ".join(context)])
         rows_ = model.features(ids, start)[:, -1:]
-        p = model.probabilities(rows_, model.weights, model.bias)[0]
+        p = model.probabilities(rows_)[0]
         total = p[0]
         for w, n in counts.items():
             i = model.index.get(w)
@@ -83,28 +83,45 @@ def test_probabilities_sum_to_one(spark):
         assert abs(total + unknown + empty - 1) < 1e-4
 
 
+def plain_step(weights, seen, rows, slopes):
+    for k in rows:
+        slope = np.zeros_like(weights)
+        np.add.at(slope, k, slopes)
+        seen += (slope * slope).sum(axis=1)
+        weights -= lm.RATE / np.sqrt(seen)[:, None] * slope
+
+
 def test_all_classes_and_steps_equal_plain_descent():
-    assert (lm.SINGLES, lm.ENDINGS, lm.CLASSES) == (39, 88, 128)
+    assert (lm.SINGLES, lm.ENDINGS, lm.CLASSES) == (39, 88, 128) and lm.GROUPS * lm.WIDTH == lm.CLASSES
     r = np.random.default_rng(4)
     n = 3000
-    model = lm.Model(weights=r.normal(0, 0.1, (lm.ROWS, lm.CLASSES)).astype(np.float32),
-                     bias=np.zeros(lm.CLASSES, np.float32))
+    model = lm.Model(outer=r.normal(0, 0.1, (lm.ROWS, lm.GROUPS)).astype(np.float32),
+                     inner=r.normal(0, 0.1, (lm.ROWS * lm.GROUPS, lm.WIDTH)).astype(np.float32),
+                     outer_bias=np.zeros(lm.GROUPS, np.float32), inner_bias=np.zeros((lm.GROUPS, lm.WIDTH), np.float32))
     rows, classes = r.integers(0, lm.ROWS, (3, n)) // 7, r.integers(0, lm.CLASSES, n)
     local = lm._Descent(model)
     local.step(rows, classes)
-    z = np.exp(sum(model.weights[k].astype(float) for k in rows))
-    p = z / z.sum(axis=1, keepdims=True)
-    p[np.arange(n), classes] -= 1
-    weights, seen = model.weights.astype(float), np.ones(lm.ROWS)
-    for k in rows:
-        slope = np.zeros_like(weights)
-        np.add.at(slope, k, p)
-        seen += (slope * slope).sum(axis=1)
-        weights -= lm.RATE / np.sqrt(seen)[:, None] * slope
-    assert np.abs(local.weights - weights).max() < 1e-4
+    group, within = classes // lm.WIDTH, classes % lm.WIDTH
+    want = np.zeros(n)
+    for mine, weights, k, target, width in ((local.model.outer, model.outer, rows, group, lm.GROUPS),
+                                            (local.model.inner, model.inner, rows * lm.GROUPS + group, within, lm.WIDTH)):
+        z = np.exp(sum(weights[i].astype(float) for i in k))
+        p = z / z.sum(axis=1, keepdims=True)
+        want += np.log10(p[np.arange(n), target])
+        p[np.arange(n), target] -= 1
+        moved = weights.astype(float)
+        plain_step(moved, np.ones(len(weights)), k, p)
+        assert np.abs(mine - moved).max() < 1e-4
+        if width == lm.GROUPS:
+            bias = -lm.RATE / 10 / n * p.sum(axis=0)
+            assert np.abs(local.model.outer_bias - bias).max() < 1e-6
+        else:
+            bias = np.zeros((lm.GROUPS, lm.WIDTH))
+            np.add.at(bias, group, -lm.RATE / 10 / n * p)
+            assert np.abs(local.model.inner_bias - bias).max() < 1e-6
     model.features = lambda ids, firsts: rows
-    want = np.log10(z[np.arange(n), classes] / z.sum(axis=1))
     assert np.abs(model.class_scores(np.zeros(n), classes, None) - want).max() < 1e-4
+    assert np.abs(np.log10(model.probabilities(rows)[np.arange(n), classes]) - want).max() < 1e-4
 
 
 def test_edges(spark):
