@@ -17,8 +17,8 @@ hash: passages that many documents share do not make large tiles.
 Scale: equal sets are one set from the start.  Before the tiles, sets that share
 a least hash are compared to one pivot each, and the links found are contracted;
 tiles then compare only sets of different classes, so a group of near copies,
-however large, is never compared pair by pair.  A first round of tiles tries few
-pairs per pair of classes, a last one all that are left: no link between
+however large, is never compared pair by pair.  A first round tries few pairs of
+every two classes that meet, a last one all that are left: no link between
 different classes is lost.  A tile of more than ``FULL`` sets is cut into blocks:
 those of its largest class meet only the others.  Arrays are made again from the
 texts, only of sets in a pair to decide.  The driver holds the counting buckets
@@ -56,8 +56,8 @@ BLOCK = 1 << 16  # buckets per record of counts
 SALTS = 8
 PIVOTS = 3
 FULL = 2048  # sets of a tile that one task compares
-FEW = 8  # pairs tried per two classes of a tile in the first round
-BITS = (64, 2048)  # least and most bits of a bitmap
+FEW = 8  # pairs of two classes that are tried in the first round
+BITS = (128, 8192)  # least and most bits of a bitmap
 SLICE = 1 << 20
 KNOWN = 500_000  # words whose hashes a worker remembers
 BUFFER = 16_384  # rows of tiles compared at once
@@ -139,11 +139,16 @@ def crowding(docs: DataFrame, shingle: int = SHINGLE) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        counts = np.zeros(SKETCH, np.int64)
+        counts, held, size = np.zeros(SKETCH, np.int64), [], 0
         for batch in batches:
             for text in _binary(batch, 0):
-                counts += 0 if text is None else np.bincount(
-                    (shingle_set(text, shingle) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+                held.append((shingle_set(text, shingle) % np.uint64(SKETCH)).astype(np.int64))
+                size += len(held[-1])
+                if size >= SKETCH:
+                    counts += np.bincount(np.concatenate(held), minlength=SKETCH)
+                    held, size = [], 0
+        if held:
+            counts += np.bincount(np.concatenate(held), minlength=SKETCH)
         salt = TaskContext.get().partitionId() % SALTS
         for block in range(SKETCH // BLOCK):
             part = counts[block * BLOCK:(block + 1) * BLOCK]
@@ -183,9 +188,9 @@ class Rule:
         return F.floor(F.log(n.cast("double")) / F.lit(self.base)).cast("int")
 
     def width(self, band: int) -> int:
-        """Bits of the bitmaps of a tile: about as many as its larger sets have shingles."""
+        """Bits of the bitmaps of a tile: two to four times as many as its larger sets have shingles."""
         least, most = BITS
-        return min(most, max(least, 1 << math.ceil(self.base * (band + 1) / math.log(2))))
+        return min(most, max(least, 2 << math.ceil(self.base * (band + 1) / math.log(2))))
 
 
 def _bitmap(found: np.ndarray, width: int) -> bytes:
@@ -298,8 +303,13 @@ def _folded(bits: list[bytes], width: int) -> np.ndarray:
     return rows
 
 
-def _compared(rows: dict[str, np.ndarray], rule: Rule, few: int | None) -> list[np.ndarray]:
-    """[u, v] of the pairs of different classes that may be similar, in whole tiles ordered by size within."""
+def _compared(rows: dict[str, np.ndarray], rule: Rule, few: int | None) -> dict[str, np.ndarray]:
+    """Pairs of different classes that may be similar, in whole tiles ordered by size within.
+
+    u, v, their classes low and high, and spare, by how much the bound exceeds
+    the overlap asked for.  With ``few`` only so many of two classes of a tile;
+    ``cut`` has the keys of tiles that have more.
+    """
     group, band, n, label, ids = (rows[c] for c in ("group", "t", "n", "label", "id"))
     out = []
     for t in np.unique(band):
@@ -322,8 +332,8 @@ def _compared(rows: dict[str, np.ndarray], rule: Rule, few: int | None) -> list[
             out.append(np.stack([x[may], y[may], spare[may]]))
             shift += 1
     x, y, spare = np.concatenate(out, axis=1) if out else np.empty((3, 0), np.int64)
+    low, high, cut = np.minimum(label[x], label[y]), np.maximum(label[x], label[y]), np.empty(0, np.int64)
     if few is not None and len(x):  # the most promising pairs of every two classes of a tile
-        low, high = np.minimum(label[x], label[y]), np.maximum(label[x], label[y])
         order = np.lexsort((-spare, high, low, group[x]))
         same = np.ones(len(x), bool)
         for c in (group[x][order], low[order], high[order]):
@@ -331,9 +341,10 @@ def _compared(rows: dict[str, np.ndarray], rule: Rule, few: int | None) -> list[
         same[0] = False
         starts = np.flatnonzero(~same)
         place = np.arange(len(x)) - np.repeat(starts, np.diff(np.append(starts, len(x))))
+        cut = np.unique(rows["key"][x[order[place >= few]]])
         keep = order[place < few]
-        x, y = x[keep], y[keep]
-    return [ids[x], ids[y]]
+        x, y, spare, low, high = x[keep], y[keep], spare[keep], low[keep], high[keep]
+    return {"u": ids[x], "v": ids[y], "low": low, "high": high, "spare": spare, "cut": cut}
 
 
 def _meetings(unique: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
@@ -357,9 +368,10 @@ def _meetings(unique: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _candidates(meets: DataFrame, attributes: DataFrame, labels: DataFrame, rule: Rule, few: int | None) -> DataFrame:
-    """(u, v): sets of different classes that may be similar, from all tiles.
+    """(u, v, low, high, spare) of sets of different classes that may be similar, from all tiles.
 
-    ``meets`` (key, id, n, short) has the prefixes, ``labels`` (id, label) the
+    With ``few`` only so many of two classes of a tile; rows that have just ``cut``
+    name the shingles whose tiles have more.  ``meets`` (key, id, n, short) has the prefixes, ``labels`` (id, label) the
     classes of sets that are linked already.
     """
     own = rule.band(F.col("n"))
@@ -407,7 +419,12 @@ def _candidates(meets: DataFrame, attributes: DataFrame, labels: DataFrame, rule
             if whole < table.num_rows:
                 held.extend(table.slice(whole).to_batches())
             rows = {c: x[:whole] for c, x in rows.items()} | {"group": np.cumsum(new[:whole])}
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _compared(rows, rule, few)], ["u", "v"])
+            out = _compared(rows, rule, few)
+            pairs, cut = len(out["u"]), out.pop("cut")
+            columns = [pa.array(x, pa.int64()) for x in out.values()]
+            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(pairs, pa.int64())], [*out, "cut"])
+            yield pa.RecordBatch.from_arrays([*[pa.nulls(len(cut), pa.int64())] * len(out), pa.array(cut, pa.int64())],
+                                             [*out, "cut"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, BUFFER):
@@ -417,7 +434,7 @@ def _candidates(meets: DataFrame, attributes: DataFrame, labels: DataFrame, rule
         if held:
             yield from compared(True)
 
-    return placed.mapInArrow(run, "u long, v long").distinct()
+    return placed.mapInArrow(run, "u long, v long, low long, high long, spare long, cut long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -436,11 +453,30 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     links = materialize(_verified(_pivot_pairs(unique), texts, rule))
     classes = materialize(components(links)).toDF("id", "label")
     meets = materialize(_meetings(unique, classes, rule))
-    for few in (FEW, None):
-        more = _verified(_candidates(meets, unique.select("id", "bits"), classes, rule, few), texts, rule)
+    bits = unique.select("id", "bits")
+
+    def linked_with(more: DataFrame) -> tuple[DataFrame, DataFrame]:
         # Classes stand for the links they were made of.
-        links = materialize(classes.where("id <> label").toDF("u", "v").union(more))
-        classes = materialize(components(links)).toDF("id", "label")
+        now = materialize(classes.where("id <> label").toDF("u", "v").union(_verified(more, texts, rule)))
+        return now, materialize(components(now)).toDF("id", "label")
+
+    # First the most promising pairs of every two classes that meet, ...
+    found = materialize(_candidates(meets, bits, classes, rule, FEW))
+    pairs = found.where("u is not null").groupBy("u", "v", "low", "high").agg(F.max("spare").alias("spare"))
+    best = Window.partitionBy("low", "high").orderBy(F.desc("spare"), "u", "v")
+    pairs = materialize(pairs.withColumn("turn", F.row_number().over(best)))
+    links, classes = linked_with(pairs.where(F.col("turn") <= FEW).select("u", "v"))
+    # ... then all others, of classes that are still apart.
+    rest = pairs.where(F.col("turn") > FEW).select("u", "v")
+    cut = materialize(found.where("cut is not null").select(F.col("cut").alias("key")).distinct())
+    if not cut.isEmpty():
+        again = _candidates(meets.join(cut, "key", "left_semi"), bits, classes, rule, None).select("u", "v").distinct()
+        rest = rest.union(again.join(pairs.where(F.col("turn") <= FEW).select("u", "v"), ["u", "v"], "left_anti"))
+    apart = (rest.distinct().join(classes.toDF("u", "class_u"), "u", "left").join(classes.toDF("v", "class_v"), "v", "left")
+             .where(F.coalesce("class_u", "u") != F.coalesce("class_v", "v")).select("u", "v"))
+    apart = materialize(apart)
+    if not apart.isEmpty():
+        links, classes = linked_with(apart)
     together = (named.join(classes, "id", "left")
                 .select("set_id", F.coalesce("label", "id").alias("root"), "low"))
     together = materialize(together)
