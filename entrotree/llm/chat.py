@@ -14,8 +14,8 @@ Scale: conversations are read by streaming sweeps over rows sorted by
 (conversation, turn); a sweep holds one turn and a digest, not a conversation.
 A first turn that a third of all conversations share is merged before the
 shuffle of nodes.  Offsets are running sums over range partitions.  Reading back
-joins each conversation with the chains on its path; a hot chain is a hot key
-that the planner may split.  One conversation's turns are read in order by one
+joins each conversation's intervals with the segments of the chains that begin
+there; a hot chain is a hot key that the planner may split.  One conversation's turns are read in order by one
 task, in constant memory.
 
 Defined cases: null text and role are empty; rows with a null conv_id are one
@@ -112,7 +112,7 @@ def pack(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     (token interval), position (of its first token in its conversation), role,
     segment, learned (tokens under the loss mask: start and end within the
     segment), path (chain), attends (ancestor intervals, its own chain up to
-    itself last).  index: conv_id, path and end of its last node.
+    itself last).  index: conv_id and ``last``, the end of its last node.
     """
     role, text = text_of("role"), text_of("text")
     segment = F.concat(F.lit(TURN), escape(F.col("_role")), F.lit(TEXT), escape(F.col("_text")), F.lit(END))
@@ -151,7 +151,7 @@ def pack(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         "start", "end", "position", "role", "segment", mask.alias("learned"), "path",
         F.concat(F.slice("spans", 1, F.size("spans") - 1), F.array(own)).alias("attends"))
     last = pathed.groupBy("conv_id").agg(F.max_by("node", "depth").alias("node"))
-    index = last.join(placed.select("node", "path", "end"), "node").select("conv_id", "path", "end")
+    index = last.join(placed.select("node", "end"), "node").select("conv_id", F.col("end").alias("last"))
     return packed, index
 
 
@@ -182,6 +182,8 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if state is None or row["conv_id"] != state[0]:
                 close()
                 state = [row["conv_id"], 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+            if row["position"] != state[5]:
+                raise ValueError(f"conversation {row['conv_id']}: position {row['position']} follows {state[5]} tokens")
             role, text = parse(row["segment"])
             state[1] += 1
             state[2].update(f"{role}\n{text}\n".encode())
@@ -201,13 +203,15 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_back(packed: DataFrame, index: DataFrame) -> DataFrame:
     """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars from the packed output.
 
-    A conversation is what its last node attends to.
+    A conversation is what its last node attends to: the segments that lie in its
+    intervals, each of which begins where a chain does.  Their position ids must
+    follow each other without a gap.
     """
-    wanted = _prefixes(index.withColumnRenamed("end", "upto"), "path")
-    segments = packed.select(F.col("path").alias("chain"), "start", "end", "segment", "learned")
-    rows = wanted.join(segments, "chain").where("chain <> path or end <= upto").select(
-        "conv_id", "start", "segment", "learned")
-    return _by_conversation(rows, "start").mapInArrow(
+    ends = index.join(packed.select(F.col("end").alias("last"), "attends"), "last")
+    wanted = ends.select("conv_id", F.inline("attends")).toDF("conv_id", "chain", "upto")
+    segments = packed.select(F.element_at("attends", -1)["start"].alias("chain"), "end", "position", "segment", "learned")
+    rows = wanted.join(segments, "chain").where("end <= upto").select("conv_id", "position", "segment", "learned")
+    return _by_conversation(rows, "position").mapInArrow(
         _read, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
                "formatted_chars long")
 

@@ -3,14 +3,16 @@
 Every document gets a virtual finish time: the words of its source up to and
 including it, in a keyed pseudo-random order, divided by the source's target.
 Passing over a source again continues its clock.  Documents are served in the
-global order of their finish times until the budget is spent; the document a
-source has on the wire at that moment is cut there, so that a source's words
-equal its target up to rounding.
+global order of their finish times until the running sum of their words reaches
+the budget.  The document a source has on the wire when its share ends is two
+entries of that queue, cut there, so that a source's words equal its target up to
+rounding.
 
 Scale: only (doc_id, source, size) leaves the scan.  A source's running sum is
 taken in two steps -- within 4,096 slices of the shuffle key, and over the
 slice totals -- so a source that holds a third of all rows is spread over
-4,096 groups.
+4,096 groups.  The queue is sorted in ranges, and summed within them and over
+their totals.
 
 Defined cases: a null text has size 0; a null source is a source of its own,
 last in order; a null doc_id is an ordinary row; repeated rows each count; an
@@ -22,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import global_rank, materialize, text_of, words
+from .common import global_rank, global_sum, materialize, text_of, words
 
 WEIGHTS = (1, 2, 3)
 MAX_PASSES = 3
@@ -70,7 +72,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_passes: int = M
                          F.lit(":"), F.col("size").cast("string")))
     sized = materialize(docs.select("doc_id", "source", size.alias("size"))
                         .withColumn("key", key)
-                        .withColumn("slice", F.substring("key", 1, SLICE_DIGITS)))
+                        .withColumn("slice", F.substring("key", 1, SLICE_DIGITS))
+                        .withColumn("_row", F.monotonically_increasing_id()))
     slices = sized.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
     before = F.sum("slice_size").over(Window.partitionBy("source").orderBy("slice")
                                       .rowsBetween(Window.unboundedPreceding, -1))
@@ -85,11 +88,27 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_passes: int = M
     served = d.join(offsets, F.col("d.source").eqNullSafe(F.col("o.source"))
                     & (F.col("d.slice") == F.col("o.slice")))
     end = F.col("before") + F.col("within")
-    room = F.round("target").cast("long") - end + F.col("size")  # words left before this document
-    taken = sum((F.greatest(F.lit(0), F.least(F.col("size"), room - F.col("source_size") * p))
-                 for p in range(max_passes)), F.lit(0))
-    return (served.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"),
-                          F.when(F.col("target") > 0, end / F.col("target")).alias("finish"))
+    served = served.select(F.col("d._row").alias("_row"), "doc_id", "size", "source_size", "target", "key", end.alias("end"))
+    budget = targets.agg(F.sum(F.round("target")).cast("long")).first()[0] or 0
+    # The queue: each pass over a document, cut in two where its source's share ends.
+    due = F.round("target").cast("long") - F.col("end") + F.col("size") - F.col("source_size") * F.col("pass")
+    due = F.greatest(F.lit(0), F.least(F.col("size"), due)).cast("long")
+    time = F.when(F.col("target") > 0, (F.col("end") + F.col("pass") * F.col("source_size")) / F.col("target"))
+    piece = F.explode(F.array(
+        F.struct(F.least(time, F.lit(1.0)).alias("finish"), F.lit(0).alias("late"), due.alias("words")),
+        F.struct(F.greatest(time, F.lit(1.0)).alias("finish"), F.lit(1).alias("late"),
+                 (F.col("size") - due).alias("words")))).alias("p")
+    queue = (served.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(max_passes - 1))))
+             .select("_row", "pass", "key", piece)
+             .select("_row", "pass", "key", "p.*").where("words > 0"))
+    # Served in the global order of finish times until the budget is spent.
+    order = [F.col(c) for c in ("finish", "late", "key", "pass", "_row")]
+    ordered = global_sum(queue, F.col("words"), *order, name="upto")
+    taken = F.greatest(F.lit(0), F.least(F.col("words"), F.lit(budget) - F.col("upto") + F.col("words")))
+    per_row = ordered.groupBy("_row").agg(F.sum(taken).cast("long").alias("taken"))
+    first = F.when(F.col("target") > 0, F.col("end") / F.col("target")).alias("finish")
+    return (served.join(per_row, "_row", "left")
+            .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), first)
             .orderBy("finish", "doc_id"))
 
 

@@ -69,3 +69,15 @@ def test_escape_is_reversible(spark, text):
 
 def test_empty_table(spark):
     assert chat.read_back(*chat.pack(spark.createDataFrame([], ROWS))).count() == 0
+
+
+def test_reading_back_checks_positions_and_follows_intervals(spark):
+    rows = [(c, t, "user", f"{c % 2 if t else 0} {t}") for c in range(4) for t in range(3)]
+    packed, index = chat.pack(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert chat.read_back(packed, index).count() == 4
+    shifted = packed.withColumn("position", F.col("position") + F.when(F.col("position") > 0, 1).otherwise(0))
+    with pytest.raises(Exception, match="position"):
+        chat.read_back(shifted, index).collect()
+    alone = packed.withColumn("attends", F.slice("attends", -1, 1))  # without the ancestors' intervals
+    with pytest.raises(Exception, match="position"):
+        chat.read_back(alone, index).collect()

@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import uuid
+from pyspark.sql import functions as F
+from entrotree.runtime import checkpoint_dir
+
 import base64
 import hashlib
 import random
@@ -99,3 +103,16 @@ def test_rules_equal_brute_force(spark):
     assert sorted(map(str, got)) == sorted(str((p, *plain(u, rules))) for p, u in rows)
     assert urls.judge(pages.limit(0), table).count() == 0
     assert urls.judge(pages, table.limit(0)).where("verdict <> 'allow' or rule is not null").count() == 0
+
+
+def test_records_are_read_and_checked(spark):
+    pages = spark.createDataFrame([(1, "http://a/", "<p>é"), (2, "http://b/", "<p>é"), (3, None, None)],
+                                  "page_id long, url string, html string")
+    path = f"{checkpoint_dir(spark)}/warc-test-{uuid.uuid4().hex}"
+    warc.write_archive(pages, path)
+    records = warc.read_records(spark, path)
+    assert sorted(r.payload_bytes for r in warc.parsed(records).collect()) == [0, 5, 5]
+    for record in (F.concat(F.substring("record", 1, F.octet_length("record") - 5), F.lit(b"?\r\n\r\n")),
+                   F.encode(F.replace(F.decode("record", "UTF-8"), F.lit("sha1:"), F.lit("sha1:A")), "UTF-8")):
+        with pytest.raises(Exception, match="does not match its header"):
+            warc.parsed(records.withColumn("record", record)).collect()
