@@ -9,8 +9,8 @@ Lexicon, exceptions and curve are learned from labels, on at most
 ``TRAIN_ROWS`` documents of each label (smallest id hash); every document is
 scored, whole.  Labels, lang, source and doc_id never enter a score.
 
-Scale: one Arrow pass over the texts, no shuffle; the model is at most
-``CANDIDATES`` short strings.  Learning reads the bounded sample alone.
+Scale: one Arrow pass over the texts, no shuffle; the model is
+short strings found in the bounded sample, which learning reads alone.
 
 Defined cases: null and empty texts score as texts without a match; repeated
 documents are scored one by one; null ids and labels are never trained on;
@@ -39,7 +39,6 @@ MIN_SPREAD = 0.4  # different words before an entry, per toxic document that hol
 FREQUENT = 0.01  # share of the toxic documents from which a term counts as frequent
 CLEAN_COST = 3  # toxic texts an entry must add for each clean one that holds it
 MIN_LOG_ODDS = 2.5
-CANDIDATES = 5_000
 RIDGE = 1e-3
 
 #: Characters that look like Latin letters, and digits or signs used for them (fixed values).
@@ -117,13 +116,20 @@ def _probability(x: np.ndarray, curve: tuple[float, ...]) -> np.ndarray:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """(text, toxic): at most ``rows`` documents of each label, none that is held out."""
+    """(text, toxic): at most ``rows`` documents of each label, none that is held out.
+
+    A label names an id, which several rows may have: equal rows count once, and
+    the bound is taken over the rows, by hash.
+    """
     known = (labels.where("toxic in (0, 1) and doc_id is not null")
              .where(F.crc32(F.col("doc_id").cast("string")) % HELD_OUT_OF != HELD_OUT)
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     chosen = [known.where(f"toxic = {k}").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for k in (0, 1)]
     chosen = chosen[0].union(chosen[1])  # at most 2 x rows
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    found = (docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("_h")).join(F.broadcast(chosen), "doc_id")
+             .groupBy("toxic", "doc_id", "_h").agg(F.first("text").alias("text")))
+    parts = [found.where(f"toxic = {k}").orderBy("_h", "doc_id").limit(rows) for k in (0, 1)]
+    return parts[0].union(parts[1]).select("text", "toxic")
 
 
 def _terms(sample: DataFrame, lister) -> DataFrame:
@@ -149,7 +155,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     odds = (F.log((F.col("pos") + 0.5) / (size[1] + 1.0)) - F.log((F.col("neg") + 0.5) / (size[0] + 1.0)))
     found = (_terms(sample, _stems).withColumn("w", odds)
              .where((F.col("pos") >= MIN_SUPPORT) & (F.col("w") >= MIN_LOG_ODDS))
-             .orderBy(F.desc("pos"), F.length("term"), "term").limit(CANDIDATES).collect())
+             .orderBy(F.desc("pos"), F.length("term"), "term").collect())  # of the bounded sample
     weight = {r["term"]: r["w"] for r in found}
     clean_docs = {r["term"]: r["neg"] for r in found}
 
@@ -201,7 +207,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
         return out
 
     clean = (_terms(sample, phrases).withColumn("w", odds).where("neg >= 2 and w <= 0")
-             .orderBy(F.desc("neg"), "term").limit(CANDIDATES).collect())
+             .orderBy(F.desc("neg"), "term").collect())  # of the bounded sample
     exceptions = [r["term"] for r in clean]
     judged = Matcher(lexicon, exceptions)
 

@@ -106,7 +106,7 @@ def test_rules_equal_brute_force(spark):
 
 
 def test_records_are_read_and_checked(spark):
-    pages = spark.createDataFrame([(1, "http://a/", "<p>é"), (2, "http://b/", "<p>é"), (3, None, None)],
+    pages = spark.createDataFrame([(1, "http://a/", "<p>ee"), (2, "http://é/", "<p>ee"), (3, None, None)],
                                   "page_id long, url string, html string")
     path = f"{checkpoint_dir(spark)}/warc-test-{uuid.uuid4().hex}"
     warc.write_archive(pages, path)

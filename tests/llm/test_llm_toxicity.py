@@ -64,3 +64,14 @@ def test_held_out_accuracy_on_the_table(spark):
     assert right >= 0.95 * len(rows)
     wrong = sum(r.predicted and not r.toxic for r in rows)
     assert wrong <= 0.01 * len(rows)
+
+
+def test_the_sample_keeps_its_bound_with_repeated_ids(spark):
+    ids = [i for i in range(1, 400) if zlib.crc32(str(i).encode()) % 5]
+    docs = spark.range(50_000).selectExpr(f"{ids[0]}L AS doc_id", "concat('text ', id) AS text").union(
+        spark.createDataFrame([(i, f"other {i}") for i in ids[1:]] + [(ids[1], f"other {ids[1]}")], "doc_id long, text string"))
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, toxic int")
+    got = {r["toxic"]: r["count"] for r in tx.training_sample(docs, labels, 100).groupBy("toxic").count().collect()}
+    assert got == {0: 100, 1: 100}
+    few = tx.training_sample(docs.where(f"doc_id = {ids[1]}"), labels, 100).collect()
+    assert len(few) == 1  # equal rows count once
