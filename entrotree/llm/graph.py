@@ -1,6 +1,9 @@
-"""Connected components of an edge table, by alternating star contraction.
+"""Connected components of an edge table, by local contraction and alternating stars.
 
-Large-star links every larger neighbour of a node to the smallest node of its
+Links are cut into parts of at most about ``EDGES`` rows, as many as they make;
+every task joins what is linked within its part and gives back one link per
+node, to the smallest node it found.  Stars then bring the parts together:
+large-star links every larger neighbour of a node to the smallest node of its
 neighbourhood, small-star every smaller one; repeating both ends, after a
 number of rounds logarithmic in the input, in one star per component.  Every
 step is a grouped minimum (merged before the shuffle) and a join with it; rounds
@@ -15,12 +18,45 @@ it deal the minima out anew.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
 
 
+# Links that one task contracts.
+EDGES = 200_000
+
+
+def _contracted(edges: DataFrame, parts: int) -> DataFrame:
+    """Links (u, v) of every node to the smallest one it is linked with in its part."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        above: dict = {}
+
+        def root(x):
+            top = x
+            while (y := above.get(top, top)) != top:
+                top = y
+            while x != top:  # later look-ups go there at once
+                above[x], x = top, above[x]
+            return top
+        schema = None
+        for batch in batches:
+            schema = batch.schema
+            for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                a, b = root(u), root(v)
+                if a != b:
+                    above[max(a, b)] = min(a, b)
+        if above:
+            nodes = list(above)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, schema.field(0).type),
+                                              pa.array([root(x) for x in nodes], schema.field(1).type)], schema=schema)
+    return edges.coalesce(parts).mapInArrow(run, edges.schema)
+
+
 def _star(edges: DataFrame, larger: bool) -> DataFrame:
     """One large-star (or small-star) step over edges (u, v), u > v."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -51,7 +87,9 @@ def components(edges: DataFrame) -> DataFrame:
     """
     now = materialize(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                       .where("u <> v").distinct())
-    while not _stars(now):
-        now = materialize(_star(_star(now, True), False))
+    parts = max(1, -(-now.count() // EDGES))
+    now = materialize(_contracted(now, parts))
+    while parts > 1 and not _stars(now):
+        now = materialize(_contracted(_star(_star(now, True), False), parts))
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
         now.select(F.col("v"), F.col("v")).distinct())

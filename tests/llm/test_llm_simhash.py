@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 import xxhash
 
 from entrotree.llm import graph, simhash
@@ -109,8 +110,22 @@ def test_crowded_blocks_lose_no_pair(spark):
         assert got == want
 
 
-def test_components_on_chains_and_hubs(spark):
+@pytest.mark.parametrize("edges_a_task", [graph.EDGES, 7])
+def test_components_on_chains_and_hubs(spark, monkeypatch, edges_a_task):
+    monkeypatch.setattr(graph, "EDGES", edges_a_task)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7), (200, 201), (200, 201)]
     want = plain_components({x for e in edges if e[0] != e[1] for x in e}, edges)
     got = graph.components(spark.createDataFrame(edges, "u long, v long"))
     assert dict(map(tuple, got.collect())) == want
+
+
+def test_hubs_meet_their_minimum_by_plain_exchanges(spark):
+    """Both sides of the join come from an exchange of the join, so that the planner can split a hub."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = graph._star(spark.createDataFrame([(i, 0) for i in range(1, 50)], "u long, v long"), True)
+        text = plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join = text[text.index("SortMergeJoin"):]
+    assert join.count("Exchange hashpartitioning(u#") >= 2 and join.count("_h#") >= 4
