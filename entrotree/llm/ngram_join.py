@@ -59,7 +59,7 @@ FULL = 2048  # sets of a tile that one task compares
 FEW = 8  # pairs of two classes that are tried in the first round
 BITS = (128, 8192)  # least and most bits of a bitmap
 SLICE = 1 << 20
-KNOWN = 500_000  # words whose hashes a worker remembers
+KNOWN = 250_000  # words whose hashes a worker remembers
 BUFFER = 16_384  # rows of tiles compared at once
 _ODD = 0x9E3779B97F4A7C15
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else 32 if c in b"\t\n\x0b\x0c\r" else c for c in range(256))
@@ -347,6 +347,11 @@ def _compared(rows: dict[str, np.ndarray], rule: Rule, few: int | None) -> dict[
     return {"u": ids[x], "v": ids[y], "low": low, "high": high, "spare": spare, "cut": cut}
 
 
+def _small(table: DataFrame) -> DataFrame:
+    """The table, to be broadcast if its bytes are few."""
+    return F.broadcast(table) if fits_broadcast(table) else table
+
+
 def _meetings(unique: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
     """(key, id, n, short): the prefix shingles that sets of different classes share.
 
@@ -354,7 +359,7 @@ def _meetings(unique: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
     be those of a large part of all sets, are counted first and then joined.
     """
     short = F.col("place") < rule.short_prefix(F.col("n"))
-    each = (unique.join(labels, "id", "left")
+    each = (unique.join(_small(labels), "id", "left")
             .select("id", "n", "plain", F.coalesce("label", "id").alias("label"),
                     F.posexplode("keys").alias("place", "key"))
             .select("key", "id", "n", short.alias("short"), "label", (F.col("place") < F.col("plain")).alias("_plain")))
@@ -375,8 +380,10 @@ def _candidates(meets: DataFrame, attributes: DataFrame, labels: DataFrame, rule
     classes of sets that are linked already.
     """
     own = rule.band(F.col("n"))
-    laid = (meets.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-            .select("key", "id", "n", "short", "label", own.alias("own"), F.explode(F.array(own, own + 1)).alias("t")))
+    # In the tiles of the next band a set is the smaller one, whose shingle must be in its short prefix.
+    bands = F.when(F.col("short"), F.array(own, own + 1)).otherwise(F.array(own))
+    laid = (meets.join(_small(labels), "id", "left").withColumn("label", F.coalesce("label", "id"))
+            .select("key", "id", "n", "short", "label", own.alias("own"), F.explode(bands).alias("t")))
     # Tiles with sets of different classes: their size, their largest class and its size.
     sizes = (laid.groupBy("key", "t", "label").agg(F.count("*").alias("c")).groupBy("key", "t")
              .agg(F.sum("c").alias("all"), F.max(F.struct("c", "label")).alias("main"), F.count("*").alias("classes"))
