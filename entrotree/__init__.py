@@ -8,17 +8,17 @@ from entrotree.operators.grow import fit_id3
 from entrotree.operators.metrics import confusion_counts, confusion_matrix, label_metrics, summary
 from entrotree.operators.prep import bin_occupancy, column_bounds, equal_width_bins, select_features
 from entrotree.operators.score import leaf_labels, predict, tree_listing
-from entrotree.operators.validate import (assign_folds, cross_validate, feature_group_error,
-                                          keyed_split, random_split, split_frames)
-from entrotree.sources.delimited import read_binned_csv, read_lines_as_fields
+from entrotree.operators.validate import (assign_equal_folds, assign_folds, cross_validate, exact_split,
+                                          feature_group_error, keyed_split, random_split, split_frames)
+from entrotree.sources.delimited import infer_kinds, read_binned_csv, read_lines_as_fields, typed_fields
 
 __version__ = "0.1.0"
 
 __all__ = [
-    "assign_folds", "best_feature", "bin_occupancy", "class_histogram", "column_bounds",
+    "assign_equal_folds", "assign_folds", "best_feature", "bin_occupancy", "class_histogram", "column_bounds",
     "compact_rows", "confusion_counts", "confusion_matrix", "contingency", "cross_validate",
-    "dataset_entropy", "equal_width_bins", "feature_group_error", "feature_scores", "fit_binary",
-    "fit_id3", "keyed_split", "label_metrics", "label_stats", "leaf_labels", "predict",
+    "dataset_entropy", "equal_width_bins", "exact_split", "feature_group_error", "feature_scores", "fit_binary",
+    "fit_id3", "infer_kinds", "keyed_split", "label_metrics", "label_stats", "leaf_labels", "predict",
     "random_split", "read_binned_csv", "read_lines_as_fields", "select_features", "split_frames", "summary",
-    "tree_listing", "unpivot_features", "value_stats", "weighted_scores",
+    "tree_listing", "typed_fields", "unpivot_features", "value_stats", "weighted_scores",
 ]

@@ -35,7 +35,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from entrotree.functions.exprs import (NULL_BRANCH, child_path, escaped_part, pick_feature, sql_literal, sql_name,
