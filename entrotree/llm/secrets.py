@@ -10,11 +10,14 @@ patterns catch are random strings, the other tokens of a sample of the texts ide
 
 Scale: every text is read whole, in place; nothing but the training sample and
 a table of ``CODES`` squared numbers leaves the scan, so there is no
-shuffle of documents.
-
-Defined cases: a null text is empty; rows are scanned one by one, so repeats
-and null ids are ordinary rows; without any labelled sample the method adds
-nothing; an empty table gives no rows; extra columns pass through ``scan``.
+shuffle of documents.  Time grows with the length of a text: positions are
+running sums in blocks, and texts are rebuilt from chunks.
+
+Defined cases: a null text is empty; very long texts are scanned whole; equal
+starts are ordered by kind; rows are scanned one by one, so repeats and null
+ids are ordinary rows; without any labelled sample the method adds nothing; an
+empty table gives no rows; extra columns pass through ``scan``, where ``base``
+and ``found`` replace columns of those names, and all stay in ``redact``.
 """
 
 from __future__ import annotations
@@ -44,31 +47,44 @@ SAMPLE_DOCS = 2_000
 SAMPLE_VALUES = 20_000
 SMOOTHING = 0.5
 BACKOFF = 5.0  # weight of the single-character frequencies in a transition
+BLOCK, CHUNK = 512, 1024  # values and code points handled at once in one text
 #: Mean log-likelihood ratio (nats per transition) from which a token is a finding.
 THRESHOLD = 1.5
 
 
+def _running(values: Column, combine) -> Column:
+    """Running ``combine`` (sum or maximum, from 0) of an array of counts.
+
+    An accumulator that grows is copied at every step, so blocks of ``BLOCK``
+    values are run one by one and then moved by what the blocks before give.
+    """
+    def within(part: Column) -> Column:
+        return F.aggregate(part, F.array().cast("array<int>"), lambda acc, x: F.concat(acc, F.array(
+            combine(F.coalesce(F.get(acc, F.size(acc) - 1), F.lit(0)), x))))
+
+    def blocks(v: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor(F.greatest(F.size(v) - 1, F.lit(0)) / BLOCK).cast("int")),
+                           lambda i: within(F.slice(v, i * BLOCK + 1, BLOCK)))
+
+    def moved(done: Column) -> Column:
+        return let(within(F.transform(done, lambda d: F.get(d, F.size(d) - 1))), lambda before: F.flatten(F.transform(
+            done, lambda d, i: let(F.coalesce(F.get(before, i - 1), F.lit(0)), lambda at: F.transform(
+                d, lambda x: combine(at, x))))))
+    return let(values, lambda v: let(blocks(v), moved))
+
+
 def _found(text: Column, pattern: str, kind: int, keep) -> Column:
     """Array of (start, kind, end) of leftmost non-overlapping matches that ``keep`` accepts.
 
-    ``split`` gives the texts between the matches, so starts are running sums of
+    ``split`` gives the texts between the matches, so ends are running sums of
     lengths in code points.
     """
     def spans(m: Column, gaps: Column) -> Column:
-        empty = F.array().cast("array<struct<start:int,kind:int,end:int,ok:boolean>>")
-        zero = F.struct(F.lit(0).alias("at"), empty.alias("out"))
-
-        def step(acc: Column, x: Column) -> Column:
-            start = acc["at"] + F.length(x["gap"])
-            end = start + F.length(x["m"])
-            one = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"),
-                           keep(x["m"]).alias("ok"))
-            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
-        pairs = F.slice(F.arrays_zip(gaps.alias("gap"), m.alias("m")), 1, F.size(m))
-        named = F.transform(pairs, lambda p: F.struct(p["gap"].alias("gap"), p["m"].alias("m")))
-        return F.aggregate(named, zero, step, lambda acc: F.transform(
-            F.filter(acc["out"], lambda s: s["ok"]),
-            lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))))
+        sizes = F.zip_with(F.slice(gaps, 1, F.size(m)), m, lambda g, x: F.length(g) + F.length(x))
+        pairs = F.zip_with(m, _running(sizes, lambda a, b: a + b), lambda x, end: F.struct(
+            (end - F.length(x)).alias("start"), F.lit(kind).alias("kind"), end.alias("end"), keep(x).alias("ok")))
+        return F.transform(F.filter(pairs, lambda s: s["ok"]), lambda s: F.struct(
+            s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
 
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     hit = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -76,6 +92,27 @@ def _found(text: Column, pattern: str, kind: int, keep) -> Column:
         F.split(text, pattern), lambda g: spans(m, g)))).otherwise(none)
 
 
+def _rebuilt(text: Column, spans: Column, fill) -> Column:
+    """The text with sorted spans replaced: ``fill(span, at)``, ``at`` being where the spans before end.
+
+    The text is taken in chunks, for ``substring`` walks from the start of what it is given.
+    """
+    def cut(chunks: Column, start: Column, end: Column) -> Column:
+        first = F.floor(start / CHUNK).cast("int")
+        some = F.floor(F.greatest(end - 1, start) / CHUNK).cast("int") - first + 1
+        return F.substring(F.array_join(F.slice(chunks, first + 1, some), ""), start - first * CHUNK + 1, end - start)
+
+    def joined(chunks: Column, tops: Column) -> Column:
+        parts = F.transform(spans, lambda s, i: let(F.coalesce(F.get(tops, i - 1), F.lit(0)), lambda at: F.concat(
+            cut(chunks, at, F.greatest(s["start"], at)), fill(s, at))))
+        return F.concat(F.array_join(parts, ""), cut(chunks, F.get(tops, F.size(tops) - 1), F.length(text)))
+
+    ends = _running(F.transform(spans, lambda s: s["end"]), F.greatest)
+    return F.when(F.size(spans) == 0, text).otherwise(let(
+        F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)),
+        lambda chunks: let(ends, lambda tops: joined(chunks, tops))))
+
+
 def base_spans(text: Column) -> Column:
     """Array of (start, kind, end) of the three fixed patterns, sorted."""
     def any_match(_: Column) -> Column:
@@ -136,19 +173,26 @@ def token_ratio(token: Column, table: Column) -> Column:
     return let(F.transform(F.split(token, ""), F.ascii), total)
 
 
+def _row(docs: DataFrame) -> Column:
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def scan(docs: DataFrame, samples: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``base`` and ``found``: arrays of (start, kind, end), sorted by start and kind.
 
-    ``found`` holds the base findings and the tokens the models add outside them.
+    ``found`` holds the base findings and what the models add outside them: a
+    token that a base finding overlaps is scored without the overlapped part.
     ``samples`` (sample, random) train the models; by default they come from ``docs``.
     """
     ratios = train(labelled_samples(docs) if samples is None else samples)
     table = F.split(F.lit(",".join(map(str, ratios))), ",").cast("array<double>")
-    t = F.col("_t")
-    tokens = _found(t, f"[{TOKEN_CLASS}]{{{MIN_TOKEN},}}", 3, lambda m: token_ratio(m, table) >= threshold)
-    scanned = docs.withColumn("_t", text_of()).withColumn("base", base_spans(t)).withColumn("_m", tokens)
-    extra = F.filter("_m", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    return scanned.withColumn("found", F.sort_array(F.concat("base", extra))).drop("_t", "_m")
+    based = docs.select(_row(docs).alias("_row"), text_of().alias("_t")).withColumn("_base", base_spans(F.col("_t")))
+    masked = based.withColumn("_t", _rebuilt(F.col("_t"), F.col("_base"), lambda s, at: F.repeat(
+        F.lit(" "), F.greatest(s["end"], at) - F.greatest(s["start"], at))))
+    tokens = _found(F.col("_t"), f"[{TOKEN_CLASS}]{{{MIN_TOKEN},}}", 3, lambda m: token_ratio(m, table) >= threshold)
+    return masked.withColumn("_found", F.sort_array(F.concat("_base", tokens))).select(
+        *[F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c not in ("base", "found")],
+        F.col("_base").alias("base"), F.col("_found").alias("found"))
 
 
 def digest(spans: Column) -> Column:
@@ -169,19 +213,14 @@ def report(docs: DataFrame, samples: DataFrame | None = None) -> DataFrame:
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every finding replaced by ``mark``; n_chars follows a changed text."""
-    def fill(text: Column) -> Column:
-        zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-        def step(acc: Column, s: Column) -> Column:
-            gap = F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
-            more = F.when(s["start"] >= acc["at"], F.concat(gap, F.lit(mark))).otherwise(F.lit(""))
-            return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], more).alias("out"))
-        return F.aggregate("found", zero, step, lambda acc: F.concat(
-            acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    def marked(text: Column) -> Column:
+        return _rebuilt(text, F.col("found"), lambda s, at: F.when(s["start"] >= at, F.lit(mark)).otherwise(F.lit("")))
 
     hit = F.size("found") > 0
-    clean = scan(docs).withColumn("text", F.when(hit, let(F.col("text"), fill)).otherwise(F.col("text")))
+    clean = scan(docs.select(_row(docs).alias("_doc"), "doc_id", "text")).withColumn(
+        "text", F.when(hit, let(F.col("text"), marked)).otherwise(F.col("text")))
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        clean = clean.withColumn("n_chars", F.when(hit, F.length("text").cast(docs.schema["n_chars"].dataType))
-                                 .otherwise(F.col("n_chars")))
-    return clean.select(docs.columns)
+        new["n_chars"] = F.when(hit, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(
+            F.col("_doc.n_chars"))
+    return clean.select(*[new.get(c, F.col(f"_doc.`{c}`")).alias(c) for c in docs.columns])

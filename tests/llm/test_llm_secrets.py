@@ -73,3 +73,62 @@ def test_redaction_and_edges(spark):
     got = {r.doc_id: (r.text, r.n_chars) for r in secrets.redact(clean).collect()}
     assert got == {1: ("plain words stay", 16), 2: (None, None), 3: ("a [SECRET] b", 12)}
     assert secrets.report(clean.limit(0)).count() == 0
+
+
+def markov_by_hand(text, ratios, taken):
+    """Tokens outside the base findings whose mean ratio reaches the threshold."""
+    covered = [False] * len(text)
+    for a, _, b in taken:
+        covered[a:b] = [True] * (b - a)
+    masked = "".join(" " if c else x for x, c in zip(text, covered, strict=True))
+    out = []
+    for m in re.finditer("[A-Za-z0-9+/_=-]{16,}", masked):
+        codes = [ord(x) - secrets.FIRST for x in m[0]]
+        steps = [ratios[a * secrets.CODES + b] for a, b in zip(codes, codes[1:], strict=False)]
+        if sum(steps) / len(steps) >= secrets.THRESHOLD:
+            out.append((m.start(), 3, m.end()))
+    return out
+
+
+def trained(spark):
+    r = random.Random(8)
+    chars = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    samples = [("".join(r.choice(chars) for _ in range(30)), True) for _ in range(400)]
+    samples += [(n, False) for n in ["getUserNameFromRequest", "configuration", "parseDocumentHeader"] * 30]
+    return spark.createDataFrame(samples, "sample string, random boolean"), r, chars
+
+
+def test_all_spans_equal_brute_force_and_tails_are_found(spark):
+    samples, r, chars = trained(spark)
+    ratios = secrets.train(samples)
+    tail = "0123456789abcdef01234567-Zm9vYmFyQUJD8x1Kq2Rr7Tt0Zq"
+    many = " ".join("".join(r.choice(chars) for _ in range(20)) if k % 3 else f"é𝒳 password=hunter{k:06d}"
+                    for k in range(1_500))  # several blocks and chunks
+    texts = [t for t in odd_texts()] + [tail, f"𝒳 {tail} {tail}", many]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x.spans for x in secrets.report(docs, samples).collect()}
+    hits = 0
+    for i, t in enumerate(texts):
+        taken = base(t)[2]
+        extra = markov_by_hand(t or "", ratios, taken)
+        hits += len(extra)
+        want = ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in sorted(taken + extra))
+        assert got[i] == want
+    assert hits > 1_000 and got[len(texts) - 3] == "hex:0:24,markov:24:51"
+
+
+def test_clashing_columns_keep_their_values(spark):
+    row = [(1, "a password=hunter22 b", 5, "f", 7, 8, 21, None)]
+    docs = spark.createDataFrame(row, "doc_id long, text string, base long, found string, _t long, _row long, "
+                                      "n_chars long, `_doc` string")
+    out = secrets.redact(docs)
+    assert out.columns == docs.columns
+    assert tuple(out.first()) == (1, "a [SECRET] b", 5, "f", 7, 8, 12, None)
+    assert secrets.scan(docs).select("_t", "_row", "n_chars").first() == (7, 8, 21)
+
+
+def test_redaction_of_many_findings_equals_plain_splicing(spark):
+    text = "é𝒳 " + " | ".join(f"password=hunter{k:06d}" for k in range(2_000)) + " end"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    want = ASSIGN.sub("[SECRET]", text)
+    assert secrets.redact(docs).first().text == want
