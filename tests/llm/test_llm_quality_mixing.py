@@ -4,7 +4,9 @@ import os
 import random
 import sys
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import brute  # noqa: E402
@@ -74,6 +76,34 @@ def test_threshold_without_held_out_documents(spark):
     assert quality.fit_threshold(docs, labels_of(spark), quality.fit_ratio(docs, labels_of(spark))) == float("-inf")
 
 
+def test_every_trusted_document_fits_the_model_and_sets_the_threshold(spark, monkeypatch):
+    r = random.Random(8)
+    rows = [(i, " ".join(f"w{r.randint(0, 40 + i % 90)}" for _ in range(40)), "s") for i in range(400)]
+    docs = docs_of(spark, rows).withColumn("text", F.concat_ws(" ", "text", F.concat(F.lit("own"), "doc_id")))
+    labels = labels_of(spark, [(i, 1, 0) for i in range(0, 400, 2)])
+    ratio = quality.fit_ratio(docs, labels)
+    # The word that only one document has: above what is expected for each trusted one.
+    own = docs.select("doc_id", F.pmod(F.xxhash64(F.concat(F.lit("own"), "doc_id")), F.lit(quality.BUCKETS)).alias("b"))
+    for doc_id, b in own.where("doc_id % 2 = 0").collect():
+        assert ratio[-1][b] > 0, doc_id
+    # The threshold equals that of all trusted documents, each scored without its own fold.
+    fold = {i: k for i, k in docs.select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit("held out")), F.lit(quality.FOLDS))).collect()}
+    scores = []
+    for k in range(quality.FOLDS):
+        alone = ratio.copy()
+        alone[-1] = ratio[k]
+        mine = quality._scored(docs, alone).select("doc_id", "score", "base_failed").collect()
+        scores += [x.score for x in mine if fold[x.doc_id] == k and x.doc_id % 2 == 0 and not x.base_failed]
+    assert len(scores) == 200
+    middle, low = np.percentile(scores, [50, 5])
+    want = middle - quality.SPREAD * (middle - low)
+    assert quality.fit_threshold(docs, labels, ratio) == pytest.approx(want, abs=1e-9)
+    # As with a plain join, where the ids are too many to broadcast.
+    monkeypatch.setattr(quality, "fits_broadcast", lambda ids: False)
+    assert (quality.fit_ratio(docs, labels) == ratio).all()
+    assert quality.fit_threshold(docs, labels, ratio) == pytest.approx(want, abs=1e-9)
+
+
 def test_quality_odd_inputs(spark):
     docs = docs_of(spark, [(None, None, None), (None, "x y " * 30, None), (1, "a", "s"), (1, "a", "s")])
     out = quality.judge(docs.withColumn("score_", docs.n_chars), labels_of(spark, [(None, 1, 0), (None, None, None)]))
