@@ -15,6 +15,7 @@ from entrotree.operators.binary import fit_binary
 from entrotree.operators.grow import fit_id3
 from entrotree.operators.score import predict
 from entrotree.operators.validate import cross_validate
+from entrotree.runtime import materialize
 from entrotree.sources.fixtures import LI_FEATURES, li_bins
 
 INF = float("inf")
@@ -126,3 +127,24 @@ def test_compiled_scores_of_keyed_trees(spark):
         assert sorted(one.collect()) == sorted(two.collect())
         assert predict(df.withColumn("part", F.lit("?")), tree, LI_FEATURES, by=["part"]).where(
             "prediction is not null").count() == 0
+
+
+def test_no_task_gets_all_rows_of_a_node(spark, monkeypatch):
+    """The counts of a node stay spread: joins with one row a node or label are broadcast."""
+    monkeypatch.setattr(binary, "RANGE_ROWS", 100)
+    monkeypatch.setattr(binary, "materialize", lambda df: plans.append(df) or materialize(df))
+    monkeypatch.setattr(grow, "materialize", lambda df: plans.append(df) or materialize(df))
+    for broadcast in ("-1", "10MB"):
+        plans = []
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+        try:
+            df = spark.range(1000).select(F.col("id").alias("a"), (F.col("id") % 7).alias("b"),
+                                          F.when(F.col("id") % 3 > 0, F.col("id") % 2).otherwise(F.lit(0)).alias("y"))
+            binary.fit_binary(df, ["a", "b"], "y", 3).collect()
+            grow.fit_id3(df, ["a", "b"], "y", 3, value_type="bigint").collect()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        joins = [line for df in plans for line in df._jdf.queryExecution().executedPlan().toString().splitlines()
+                 if "SortMergeJoin [node" in line or "SortMergeJoin [feature" in line]
+        # Between ranges only: a key with the number of the range, or a table of one row a node on both sides.
+        assert not [line for line in joins if "_range" not in line and "LeftOuter" not in line], joins
