@@ -13,8 +13,9 @@ scores when buckets fill up.
 Scale: the model is ``FOLDS`` + 1 arrays of ``BUCKETS`` numbers (fixed by
 parameters, not by the data); counting them is one partially aggregated pass,
 scoring one narrow pass that looks the numbers up, and the threshold takes one
-more scan that scores only trusted documents and ranks their scores over ranges.
-Documents are shuffled only to find the trusted ones, and only if their ids are
+more scan that joins the n-grams of trusted documents with the broadcast fold
+models, sums them by row (partly before the shuffle) and ranks the scores over
+ranges.  Documents are shuffled only to find the trusted ones, and only if their ids are
 more than a broadcast may hold.  Repeated windows are found by sorting 64-bit
 hashes inside the row.
 
@@ -149,21 +150,22 @@ def _scored(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
     return rule_counts(docs).withColumn("score", total).drop("_h", "_h2")
 
 
-def _scored_by_others(trusted: DataFrame, ratio: np.ndarray) -> DataFrame:
-    """``trusted`` with the rule counts and ``score`` by the model without the row's ``_fold``.
+def _scores_by_others(trusted: DataFrame, ratio: np.ndarray) -> DataFrame:
+    """``score`` of each row of ``trusted`` by the model without the row's ``_fold``, null where the base rules fail.
 
-    The models are sent as they are: one literal of each in the plan is more than a driver should print.
+    The models are a broadcast table with a row per bucket: as literals they are
+    more than a driver should print.
     """
-    sent = trusted.sparkSession.sparkContext.broadcast(ratio[:FOLDS].astype(np.int32))
-
-    @F.arrow_udf("double")
-    def score(grams: pa.Array, fold: pa.Array) -> pa.Array:
-        sizes = grams.value_lengths().to_numpy(zero_copy_only=False)
-        each = sent.value[np.repeat(fold.to_numpy(zero_copy_only=False), sizes), grams.flatten().to_numpy()]
-        sums, ends = np.append(0, np.cumsum(each, dtype=np.int64)), np.cumsum(sizes)
-        return pa.array((sums[ends] - sums[ends - sizes]) / (1000.0 * np.maximum(sizes, 1)))
-
-    return rule_counts(trusted).withColumn("score", score(_grams(F.col("_h"), F.col("_h2")), "_fold")).drop("_h", "_h2")
+    held = [f"_m{k}" for k in range(FOLDS)]
+    models = trusted.sparkSession.createDataFrame(pa.table(
+        {"_bucket": np.arange(BUCKETS, dtype=np.int32), **dict(zip(held, ratio[:FOLDS].astype(np.int32), strict=True))}))
+    mine = F.coalesce(*[F.when(F.col("_fold") == k, F.col(m)) for k, m in enumerate(held)])
+    grams = F.when(~F.col("base_failed"), _grams(F.col("_h"), F.col("_h2")))
+    each = (rule_counts(trusted).select("base_failed", "_fold", grams.alias("_b"), F.monotonically_increasing_id().alias("_row"))
+            .select("_row", "base_failed", "_fold", F.explode_outer("_b").alias("_bucket")))
+    total = F.sum(mine) / (F.lit(1000.0) * F.greatest(F.count("_bucket"), F.lit(1)))
+    return (each.join(F.broadcast(models), "_bucket", "left").groupBy("_row", "base_failed")
+            .agg(F.when(~F.col("base_failed"), F.coalesce(total, F.lit(0.0))).alias("score")).select("score"))
 
 
 def _percentiles(scores: DataFrame, *shares: float) -> list[float]:
@@ -181,9 +183,7 @@ def _percentiles(scores: DataFrame, *shares: float) -> list[float]:
 def fit_threshold(docs: DataFrame, labels: DataFrame, ratio: np.ndarray) -> float:
     """The score below which a document goes, from all trusted documents that pass the base rules."""
     trusted = docs.select("doc_id", "text").join(_trusted(labels), "doc_id")
-    scored = _scored_by_others(trusted, ratio)
-    # A filter would be moved below the columns it reads, and compute them once more.
-    scores = materialize(scored.select(F.when(~F.col("base_failed"), F.col("score")).alias("score")))
+    scores = materialize(_scores_by_others(trusted, ratio))
     found = _percentiles(scores.where("score is not null"), 0.5, 0.05)
     if not found:
         return float("-inf")

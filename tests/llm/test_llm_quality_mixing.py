@@ -104,6 +104,24 @@ def test_every_trusted_document_fits_the_model_and_sets_the_threshold(spark, mon
     assert quality.fit_threshold(docs, labels, ratio) == pytest.approx(want, abs=1e-9)
 
 
+def test_fold_models_score_without_python_on_the_executors(spark, monkeypatch):
+    docs = docs_of(spark, [(i, " ".join(f"w{(i * 7 + j) % 31}" for j in range(30)), "s") for i in range(20)] + [
+        (3, None, "s"), (4, "few words", "s"), (5, "a b c d e " * 30, "s"), (None, "x y z " * 9, "s")])
+    labels = labels_of(spark, [(i, 1, 0) for i in range(10)])
+    ratio, plans, checkpoint = quality.fit_ratio(docs, labels), [], type(docs).checkpoint
+
+    def kept(df, *a, **b):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return checkpoint(df, *a, **b)
+    monkeypatch.setattr(type(docs), "checkpoint", kept)
+    quality.fit_threshold(docs, labels, ratio)
+    assert plans and not [p for p in plans if "Python" in p or "Pandas" in p or "Arrow" in p]
+    # A score for every trusted row, copies of an id too; null where the base rules fail.
+    trusted = docs.select("doc_id", "text").join(quality._trusted(labels), "doc_id")
+    scores = [r.score for r in quality._scores_by_others(trusted, ratio).collect()]
+    assert len(scores) == 13 and scores.count(None) == 3
+
+
 def test_quality_odd_inputs(spark):
     docs = docs_of(spark, [(None, None, None), (None, "x y " * 30, None), (1, "a", "s"), (1, "a", "s")])
     out = quality.judge(docs.withColumn("score_", docs.n_chars), labels_of(spark, [(None, 1, 0), (None, None, None)]))
