@@ -5,7 +5,8 @@ can only be similar if they share one of their first shingles in any common
 order (prefix filter), so these are the places where sets meet:
 
 * a tile holds the sets that share such a shingle and whose sizes lie in two
-  neighbouring bands, as similar sets have similar sizes;
+  neighbouring bands, as similar sets have similar sizes; shingles that exactly
+  the same sets share make one tile;
 * within a tile, hashed bitmaps are compared: every bit that one set has and the
   other lacks stands for a shingle they do not share, so bit counts bound the
   overlap from above;
@@ -357,19 +358,26 @@ def _meetings(unique: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
 
     Sets meet in one exchange by shingle.  Shingles of crowded buckets, which may
     be those of a large part of all sets, are counted first and then joined.
+    All shingles that the same sets share are one key, made of these sets' ids
+    (if other sets had the same key, they would only meet more), ``short`` where
+    one of them is.
     """
+    who = F.bit_xor(F.xxhash64("id"))
     short = F.col("place") < rule.short_prefix(F.col("n"))
     each = (unique.join(_small(labels), "id", "left")
             .select("id", "n", "plain", F.coalesce("label", "id").alias("label"),
                     F.posexplode("keys").alias("place", "key"))
             .select("key", "id", "n", short.alias("short"), "label", (F.col("place") < F.col("plain")).alias("_plain")))
     together = Window.partitionBy("key")
-    plain = (each.where("_plain").withColumns({"_low": F.min("label").over(together), "_high": F.max("label").over(together)})
-             .where("_low < _high").select("key", "id", "n", "short"))
+    plain = (each.where("_plain").withColumns({"_low": F.min("label").over(together), "_high": F.max("label").over(together),
+                                               "_who": who.over(together)})
+             .where("_low < _high").select("_who", "id", "n", "short"))
     crowded = each.where("not _plain")
-    several = materialize(crowded.groupBy("key").agg(F.min("label").alias("_low"), F.max("label").alias("_high"))
-                          .where("_low < _high").select("key"))
-    return plain.union(crowded.join(several, "key").select("key", "id", "n", "short"))
+    several = materialize(crowded.groupBy("key").agg(F.min("label").alias("_low"), F.max("label").alias("_high"),
+                                                     who.alias("_who"))
+                          .where("_low < _high").select("key", "_who"))
+    met = plain.union(crowded.join(several, "key").select("_who", "id", "n", "short"))
+    return met.groupBy(F.col("_who").alias("key"), "id", "n").agg(F.max("short").alias("short"))
 
 
 def _candidates(meets: DataFrame, attributes: DataFrame, labels: DataFrame, rule: Rule, few: int | None) -> DataFrame:
@@ -385,9 +393,13 @@ def _candidates(meets: DataFrame, attributes: DataFrame, labels: DataFrame, rule
     laid = (meets.join(_small(labels), "id", "left").withColumn("label", F.coalesce("label", "id"))
             .select("key", "id", "n", "short", "label", own.alias("own"), F.explode(bands).alias("t")))
     # Tiles with sets of different classes: their size, their largest class and its size.
-    sizes = (laid.groupBy("key", "t", "label").agg(F.count("*").alias("c")).groupBy("key", "t")
-             .agg(F.sum("c").alias("all"), F.max(F.struct("c", "label")).alias("main"), F.count("*").alias("classes"))
-             .where("classes > 1"))
+    # A pair has a set with the shingle in its short prefix and one of the tile's own band.
+    sizes = (laid.groupBy("key", "t", "label")
+             .agg(F.count("*").alias("c"), F.max("short").alias("s"), F.max(F.col("own") == F.col("t")).alias("o"))
+             .groupBy("key", "t")
+             .agg(F.sum("c").alias("all"), F.max(F.struct("c", "label")).alias("main"), F.count("*").alias("classes"),
+                  F.max("s").alias("s"), F.max("o").alias("o"))
+             .where("classes > 1 and s and o"))
     blocks = F.when(F.col("all") <= FULL, F.struct(F.lit(0).alias("main"), F.lit(1).alias("rest"))).otherwise(
         F.struct(F.ceil(F.col("main.c") / FULL).cast("int").alias("main"),
                  F.ceil((F.col("all") - F.col("main.c")) / FULL).cast("int").alias("rest")))

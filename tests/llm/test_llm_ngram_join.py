@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from entrotree.llm import ngram_join, queries
 
@@ -123,3 +124,26 @@ def test_slices_give_the_same_set(monkeypatch):
     monkeypatch.setattr(ngram_join, "SLICE", 7)
     monkeypatch.setattr(ngram_join, "KNOWN", 2)
     assert np.array_equal(ngram_join.shingle_set(text), whole) and len(whole) == len(plain_set(text.decode()))
+
+
+def test_shingles_of_the_same_sets_are_one_key(spark):
+    """Sets that share many prefix shingles meet once, and all that shared one still meet."""
+    r = random.Random(6)
+    rows = []
+    for i in range(40):
+        w = [f"w{r.randint(0, 5000)}" for _ in range(120)]
+        rows += [(10 * i + k, " ".join(w[:100] + [f"own{i}x{k}x{j}" for j in range(8)])) for k in range(2)]
+    rule, docs = ngram_join.Rule(), frame(spark, rows)
+    unique = ngram_join.sets(docs, ngram_join.crowding(docs), rule).withColumn("id", F.col("doc_id"))
+    labels = spark.createDataFrame([], "id long, label long")
+    meets = ngram_join._meetings(unique, labels, rule).collect()
+    keys = {u.id: set(u["keys"]) for u in unique.select("id", "keys").collect()}
+    want = {(a, b) for a in keys for b in keys if a < b and keys[a] & keys[b]}
+    by_key = {}
+    for m in meets:
+        by_key.setdefault(m.key, []).append(m.id)
+    assert {(a, b) for ids in by_key.values() for a in ids for b in ids if a < b} == want and len(want) >= 40
+    assert len(meets) <= 3 * len(want) < sum(len(keys[a] & keys[b]) for a, b in want)
+    # Short for a set where one of the shingles is in its short prefix.
+    low = {a: max(m.short for m in meets if m.id == a) for a in keys if any(m.id == a for m in meets)}
+    assert any(low.values())
