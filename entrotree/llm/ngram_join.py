@@ -369,8 +369,10 @@ def _meetings(unique: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
                     F.posexplode("keys").alias("place", "key"))
             .select("key", "id", "n", short.alias("short"), "label", (F.col("place") < F.col("plain")).alias("_plain")))
     together = Window.partitionBy("key")
-    plain = (each.where("_plain").withColumns({"_low": F.min("label").over(together), "_high": F.max("label").over(together),
-                                               "_who": who.over(together)})
+    # Dealt before the hash is added, which would else go through the exchange of the window.
+    plain = (each.where("_plain").select("key", "id", "n", "short", "label").repartition("key").withColumn("_hash", F.xxhash64("id"))
+             .withColumns({"_low": F.min("label").over(together), "_high": F.max("label").over(together),
+                           "_who": F.bit_xor("_hash").over(together)})
              .where("_low < _high").select("_who", "id", "n", "short"))
     crowded = each.where("not _plain")
     several = materialize(crowded.groupBy("key").agg(F.min("label").alias("_low"), F.max("label").alias("_high"),
