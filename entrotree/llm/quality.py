@@ -13,9 +13,7 @@ scores when buckets fill up.
 Scale: the model is ``FOLDS`` + 1 arrays of ``BUCKETS`` numbers (fixed by
 parameters, not by the data); counting them is one partially aggregated pass,
 scoring one narrow pass that looks the numbers up, and the threshold takes one
-more scan that joins the n-grams of trusted documents with the broadcast fold
-models, sums them by row (partly before the shuffle) and ranks the scores over
-ranges.  Documents are shuffled only to find the trusted ones, and only if their ids are
+more such pass over the trusted documents and ranks the scores over ranges.  Documents are shuffled only to find the trusted ones, and only if their ids are
 more than a broadcast may hold.  Repeated windows are found by sorting 64-bit
 hashes inside the row.
 
@@ -140,32 +138,31 @@ def fit_ratio(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     return ratio
 
 
-def _scored(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
-    """``docs`` with the rule counts and ``score`` (mean log ratio) by the model of all trusted documents."""
-    # One text literal that folds to one array literal of BUCKETS numbers.
-    table = F.split(F.lit(",".join(map(str, ratio[FOLDS].tolist()))), ",").cast("array<int>")
+def _with_score(counted: DataFrame, ratio: np.ndarray, model: Column) -> DataFrame:
+    """``counted`` with ``score``: mean log ratio by the row ``model`` of ``ratio``, 0 without n-grams.
+
+    The numbers are the one value of a scalar subquery, which every task gets with its
+    plan.  As a literal they are printed with each plan, and as a table to join they are
+    held by the driver several times over, as rows and as a hash table.  The subquery is a
+    column of its own because lambdas may hold none; the planner moves it to its only use.
+    """
+    numbers = pa.array([ratio.astype(np.int32).ravel()], pa.list_(pa.int32()))
+    table = counted.sparkSession.createDataFrame(pa.table({"numbers": numbers}))
     total = let(_grams(F.col("_h"), F.col("_h2")), lambda b: F.aggregate(
-        b, F.lit(0).cast("long"), lambda acc, x: acc + F.get(table, x),
+        b, F.lit(0).cast("long"), lambda acc, x: acc + F.get(F.col("_ratio"), model * BUCKETS + x),
         lambda acc: F.when(F.size(b) > 0, acc / (1000.0 * F.size(b))).otherwise(F.lit(0.0))))
-    return rule_counts(docs).withColumn("score", total).drop("_h", "_h2")
+    return counted.withColumn("_ratio", table.scalar()).withColumn("score", total).drop("_ratio", "_h", "_h2")
 
 
-def _scores_by_others(trusted: DataFrame, ratio: np.ndarray) -> DataFrame:
-    """``score`` of each row of ``trusted`` by the model without the row's ``_fold``, null where the base rules fail.
+def _scored(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
+    """``docs`` with the rule counts and ``score`` (mean log ratio) by the model of all trusted documents."""
+    return _with_score(rule_counts(docs), ratio[FOLDS:], F.lit(0))
 
-    The models are a broadcast table with a row per bucket: as literals they are
-    more than a driver should print.
-    """
-    held = [f"_m{k}" for k in range(FOLDS)]
-    models = trusted.sparkSession.createDataFrame(pa.table(
-        {"_bucket": np.arange(BUCKETS, dtype=np.int32), **dict(zip(held, ratio[:FOLDS].astype(np.int32), strict=True))}))
-    mine = F.coalesce(*[F.when(F.col("_fold") == k, F.col(m)) for k, m in enumerate(held)])
-    grams = F.when(~F.col("base_failed"), _grams(F.col("_h"), F.col("_h2")))
-    each = (rule_counts(trusted).select("base_failed", "_fold", grams.alias("_b"), F.monotonically_increasing_id().alias("_row"))
-            .select("_row", "base_failed", "_fold", F.explode_outer("_b").alias("_bucket")))
-    total = F.sum(mine) / (F.lit(1000.0) * F.greatest(F.count("_bucket"), F.lit(1)))
-    return (each.join(F.broadcast(models), "_bucket", "left").groupBy("_row", "base_failed")
-            .agg(F.when(~F.col("base_failed"), F.coalesce(total, F.lit(0.0))).alias("score")).select("score"))
+
+def _scores_by_others(trusted: DataFrame, ratio: np.ndarray) -> DataFrame:
+    """``score`` of each row of ``trusted`` by the model without the row's ``_fold``, null where the base rules fail."""
+    scored = _with_score(rule_counts(trusted), ratio[:FOLDS], F.col("_fold"))
+    return scored.select(F.when(~F.col("base_failed"), F.col("score")).alias("score"))
 
 
 def _percentiles(scores: DataFrame, *shares: float) -> list[float]:

@@ -122,6 +122,25 @@ def test_fold_models_score_without_python_on_the_executors(spark, monkeypatch):
     assert len(scores) == 13 and scores.count(None) == 3
 
 
+def test_models_are_neither_printed_with_plans_nor_joined(spark):
+    r = random.Random(5)
+    docs = docs_of(spark, [(i, " ".join(f"w{r.randint(0, 60)}" for _ in range(30)), "s") for i in range(60)])
+    labels = labels_of(spark, [(i, 1, 0) for i in range(0, 60, 2)])
+    ratio = quality.fit_ratio(docs, labels)
+    trusted = docs.select("doc_id", "text").join(quality._trusted(labels), "doc_id")
+    scored, others = quality._scored(docs, ratio), quality._scores_by_others(trusted, ratio)
+    for df, joins in ((scored, 0), (others, 1)):  # one join finds the trusted documents
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert len(plan) < 100_000 and plan.count("Join") == joins
+        assert "Subquery" in plan and "_ratio" not in plan  # no row holds the numbers
+    # Both equal the mean of the model's numbers.
+    counted = quality.rule_counts(trusted).select("doc_id", "_fold", quality._grams(F.col("_h"), F.col("_h2"))).collect()
+    whole = {x.doc_id: x.score for x in scored.collect()}
+    want = [ratio[k][b].sum() / (1000.0 * len(b)) for _, k, b in counted]
+    assert sorted(x.score for x in others.collect()) == pytest.approx(sorted(want), abs=1e-12)
+    assert all(whole[i] == pytest.approx(ratio[-1][b].sum() / (1000.0 * len(b)), abs=1e-12) for i, _, b in counted)
+
+
 def test_quality_odd_inputs(spark):
     docs = docs_of(spark, [(None, None, None), (None, "x y " * 30, None), (1, "a", "s"), (1, "a", "s")])
     out = quality.judge(docs.withColumn("score_", docs.n_chars), labels_of(spark, [(None, 1, 0), (None, None, None)]))
